@@ -1,3 +1,10 @@
 """Queries bound to the TPC-H-like tables, each with its SQL counterpart."""
 
-from rollcall.catalogue import attendance_queries  # noqa: F401
+from rollcall.catalogue import (  # noqa: F401
+    aggregate_queries,
+    attendance_queries,
+    column_queries,
+    join_queries,
+    set_queries,
+    source_queries,
+)

@@ -23,6 +23,9 @@ NETWORK = "eduroam"
 CAMPUS_EVENTS = ["click", "view", "purchase"]
 GROUP_WORDS = ["widget", "gizmo"]
 UNMATCHED_WORD = "anvil"
+# five blocks of two hours, 135 minutes apart from 08:15
+SLOT_FROM = [81500, 103000, 124500, 150000, 171500]
+SLOT_UNTIL = [101500, 123000, 144500, 170000, 191500]
 
 
 class Views:
@@ -122,12 +125,12 @@ class Views:
             .join(o, F.col("l_orderkey") == F.col("o_orderkey"))
         )
         k = F.col("o_orderkey")
-        start = F.lit(495) + (F.floor(k / 30) % 5) * 135
+        slot = (clock.whole(k, 30) % 5).cast("int")
         return pairs.select(
             k.alias("LectureID"),
             (20240101 + k % 30).cast("int").alias("DateKey"),
-            clock.seconds_key(start * 60).alias("FromTimeKey"),
-            clock.seconds_key((start + 120) * 60).alias("UntilTimeKey"),
+            F.get(F.array(*[F.lit(t) for t in SLOT_FROM]), slot).alias("FromTimeKey"),
+            F.get(F.array(*[F.lit(t) for t in SLOT_UNTIL]), slot).alias("UntilTimeKey"),
             F.col("o_custkey").alias("ClassKey"),
             "SubgroupKey",
             "RoomKey",
@@ -224,7 +227,7 @@ class Views:
             distinct_list((F.col("l_suppkey") % 25).cast("string"), "|").alias("Classgroups"),
             distinct_list(F.col("l_suppkey").cast("string"), "|").alias("Rooms"),
         )
-        minutes = F.lit(495) + (F.floor(k / 30) % 5) * 135
+        minutes = F.lit(495) + (clock.whole(k, 30) % 5) * 135
         day = F.lpad((1 + k % 30).cast("string"), 2, "0")
         form = F.substring("o_orderpriority", 1, 1)
         stamp = lambda m: F.concat(F.lit("01/"), day, F.lit("/2024 "), clock.hhmm(m * 60), F.lit(":00"))
@@ -362,7 +365,7 @@ CTES: dict[str, str] = {
         FROM (SELECT ClassName, NormalizedClassName, LessonType, FullDate, SessionID, min(StartSecond) AS a, max(EndSecond) AS b,
                      count(DISTINCT StartSecond) AS NumberOfTimeBlocks, (max(EndSecond) - min(StartSecond)) / 60.0 AS SessionDurationMinutes,
                      FullDate + to_seconds(min(StartSecond)) AS SessionStart, FullDate + to_seconds(max(EndSecond)) AS SessionEnd
-              FROM course_blocks GROUP BY ALL)""",
+              FROM course_blocks GROUP BY ClassName, NormalizedClassName, LessonType, FullDate, SessionID)""",
     "course_links": """SELECT DISTINCT SessionID, SubgroupKey FROM typed_schedule s
         JOIN course_blocks k ON k.ClassName = s.ClassName AND k.FullDate = s.FullDate AND k.StartSecond = s.StartSecond AND k.EndSecond = s.EndSecond""",
     "course_results": f"""SELECT s.* EXCLUDE (a, b), coalesce(e.n, 0) AS ExpectedStudents, coalesce(p.n, 0) AS PresentStudents,

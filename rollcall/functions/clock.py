@@ -60,24 +60,29 @@ def time_key(c: str | Column) -> Column:
     return (F.hour(ts) * 10000 + F.minute(ts) * 100 + F.second(ts)).cast("int")
 
 
+def whole(c: Column, by: int) -> Column:
+    """Whole-number division."""
+    return F.call_function("div", c, F.lit(by))
+
+
 def key_date(c: str | Column) -> Column:
-    key = _col(c).cast("int")
-    return F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100)
+    return F.to_date(_col(c).cast("string"), "yyyyMMdd")
 
 
 def key_seconds(c: str | Column) -> Column:
-    """Seconds since midnight of an HHmmss key."""
-    key = _col(c).cast("int")
-    hours = F.floor(key / 10000).cast("int")
-    minutes = F.floor(key / 100).cast("int") % 100
-    return (hours * 3600 + minutes * 60 + key % 100).cast("int")
+    """Seconds since midnight of an HHmmss key.
+
+    10000 h + 100 m + s, less 40 per hundred and 2400 per ten thousand, is
+    3600 h + 60 m + s.
+    """
+    key = _col(c)
+    return (key - whole(key, 100) * 40 - whole(key, 10000) * 2400).cast("int")
 
 
 def seconds_key(c: str | Column) -> Column:
-    s = _col(c).cast("int")
-    return (
-        F.floor(s / 3600).cast("int") * 10000 + (F.floor(s / 60).cast("int") % 60) * 100 + s % 60
-    ).cast("int")
+    """HHmmss key of seconds since midnight, the reverse of ``key_seconds``."""
+    s = _col(c)
+    return (s + whole(s, 60) * 40 + whole(s, 3600) * 4000).cast("int")
 
 
 def at_second(day: str | Column, seconds: str | Column) -> Column:
@@ -85,15 +90,15 @@ def at_second(day: str | Column, seconds: str | Column) -> Column:
     s = _col(seconds).cast("int")
     return F.make_timestamp_ntz(
         F.year(_col(day)), F.month(_col(day)), F.dayofmonth(_col(day)),
-        F.floor(s / 3600).cast("int"), F.floor(s / 60).cast("int") % 60,
+        whole(s, 3600).cast("int"), (whole(s, 60) % 60).cast("int"),
         (s % 60).cast("decimal(8,6)"),
     )
 
 
 def hhmm(seconds: str | Column) -> Column:
     s = _col(seconds).cast("int")
-    hours = F.lpad(F.floor(s / 3600).cast("int").cast("string"), 2, "0")
-    minutes = F.lpad((F.floor(s / 60).cast("int") % 60).cast("string"), 2, "0")
+    hours = F.lpad(whole(s, 3600).cast("string"), 2, "0")
+    minutes = F.lpad((whole(s, 60) % 60).cast("string"), 2, "0")
     return F.concat(hours, F.lit(":"), minutes)
 
 

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rollcall.functions.clock import whole
 from rollcall.operators.dedupe import keep_one
 
 
@@ -144,10 +145,10 @@ def interval_join(
     once.  The join stays a hash or merge join, its keys split a busy day or group by
     hour, and candidates are limited to one bucket.
     """
-    p = points.withColumn("_bucket", F.floor(F.col(at) / bucket))
+    p = points.withColumn("_bucket", whole(F.col(at), bucket))
     i = intervals.where(F.col(start) <= F.col(end)).withColumn(
         "_bucket",
-        F.explode(F.sequence(F.floor(F.col(start) / bucket), F.floor(F.col(end) / bucket))),
+        F.explode(F.sequence(whole(F.col(start), bucket), whole(F.col(end), bucket))),
     )
     return p.join(i, [*on, "_bucket"]).where(F.col(at).between(F.col(start), F.col(end))).drop("_bucket")
 

@@ -61,25 +61,33 @@ def subgroups_per_user(links: DataFrame) -> DataFrame:
 # --- wifi ----------------------------------------------------------------------------
 
 
-def wifi_rows(
+def wifi_points(
     feed: DataFrame,
     name: str = "username",
     step_seconds: int = 60,
     source_timezone: str | None = None,
     local_timezone: str = "Europe/Brussels",
     network: str = NETWORK,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Distinct (UserName, DateKey, TimeKey) of the campus network.
+    """(UserName, DateKey, TimeKey) of each connection to the campus network.
 
     With ``source_timezone='UTC'`` times are moved to local time first; without it the
-    times are local already.  The date is taken after rounding.
+    times are local already.  The date is taken after rounding.  No state, no shuffle:
+    the same expression serves a table and a stream.
     """
-    rows = feed.where((F.col("ssid") == network) & F.col(name).isNotNull() & (F.length(name) > 0))
+    rows = feed.where((F.col("ssid") == network) & (F.length(name) > 0) & F.col("timestamp").isNotNull())
     ts = F.col("timestamp").cast("timestamp_ntz")
     if source_timezone:
         ts = F.convert_timezone(F.lit(source_timezone), F.lit(local_timezone), ts)
     day, time = clock.rounded_keys(ts, step_seconds)
-    return rows.select(F.col(name).alias("UserName"), day.alias("DateKey"), time.alias("TimeKey")).dropna().distinct()
+    user = F.substring(F.col(name), 1, USER_NAME_WIDTH)
+    return rows.select(user.alias("UserName"), day.alias("DateKey"), time.alias("TimeKey"), *(keep or []))
+
+
+def wifi_rows(feed: DataFrame, **options) -> DataFrame:
+    """Distinct connections, see ``wifi_points``."""
+    return wifi_points(feed, **options).distinct()
 
 
 def wifi_fact(rows: DataFrame, users: DataFrame) -> DataFrame:

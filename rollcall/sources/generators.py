@@ -87,11 +87,11 @@ def calendar_between(spark: SparkSession, first: str, last: str) -> DataFrame:
 def dim_time(spark: SparkSession) -> DataFrame:
     """One row per minute of the day."""
     minute = spark.range(1440).select((F.col("id") * 60).cast("int").alias("_s"))
-    hour = F.floor(F.col("_s") / 3600).cast("int")
+    hour = clock.whole(F.col("_s"), 3600).cast("int")
     return minute.select(
         clock.seconds_key("_s").alias("TimeKey"),
         hour.alias("Hour"),
-        (F.floor(F.col("_s") / 60).cast("int") % 60).alias("Minutes"),
+        (clock.whole(F.col("_s"), 60) % 60).cast("int").alias("Minutes"),
         F.lit(0).alias("Seconds"),
         F.concat(clock.hhmm("_s"), F.lit(":00")).alias("FullTime"),
         clock.half_of_day(hour).alias("TimeAM_PM"),

@@ -83,7 +83,7 @@ def main() -> int:
     args = parser.parse_args()
     sf_dir = f"/root/testdata/sf{args.sf}"
     spark = build_session(
-        master=f"local[{args.cores}]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"}
+        master=f"local[{args.cores}]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
