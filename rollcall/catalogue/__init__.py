@@ -4,7 +4,9 @@ from rollcall.catalogue import (  # noqa: F401
     aggregate_queries,
     attendance_queries,
     column_queries,
+    domain_queries,
     join_queries,
+    scalar_queries,
     set_queries,
     source_queries,
 )

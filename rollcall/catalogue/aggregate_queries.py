@@ -13,14 +13,17 @@ from rollcall.operators.joins import lookup
 from rollcall.plans import attendance_model, course_types, lectures, loads, presence, programs, sanity, sessions, slots
 
 _D = lambda c: f"CAST({c} AS DOUBLE)"
+_r9 = r9
 
 
 def _q(c: str, p: float) -> str:
     return r9(f"quantile_cont(CAST({c} AS DOUBLE), {p})")
 
 
-def metric_sql(source: str, keys: str, counted: str = "") -> str:
+def metric_sql(source: str, keys: str, rounded: bool = True) -> str:
     """The metric block per group of sessions."""
+    r9 = _r9 if rounded else lambda e: e
+    _q = lambda c, p: r9(f"quantile_cont(CAST({c} AS DOUBLE), {p})")
     r = "AttendanceRate"
     return f"""SELECT {keys}, count(SessionID) AS SessionCount, count({r}) AS ValidAttendanceRates,
         sum(ExpectedStudents)::BIGINT AS ExpectedStudentsSum, sum(PresentStudents)::BIGINT AS PresentStudentsSum,
@@ -240,7 +243,7 @@ for _column in ("NameDayDutch", "FromHour", "ClassProgramStage", "ActivityDomain
 
 
 @query("ag_26_contrast", f"""
-WITH m AS ({metric_sql('course_valid', 'LessonType')})
+WITH m AS ({metric_sql('course_valid', 'LessonType', rounded=False)})
 SELECT label AS Metric, {r9('g')} AS Groepswerk, {r9('r')} AS GewoonVak, {r9('g - r')} AS VerschilGroepswerkMinGewoon FROM (
 """ + " UNION ALL ".join(
     f"SELECT '{label}' AS label, max(CASE WHEN LessonType = 'Groepswerk' THEN CAST({c} AS DOUBLE) END) AS g, max(CASE WHEN LessonType = 'Gewoon vak' THEN CAST({c} AS DOUBLE) END) AS r FROM m"

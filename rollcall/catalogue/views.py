@@ -471,4 +471,7 @@ def with_views(body: str) -> str:
     if not needed:
         return body
     parts = ",\n".join(f"{name} AS MATERIALIZED ({CTES[name]})" for name in needed)
-    return f"WITH {parts}\n{body}"
+    rest = body.strip()
+    if rest.upper().startswith("WITH "):
+        return f"WITH {parts},\n{rest[5:]}"
+    return f"WITH {parts}\n{rest}"
