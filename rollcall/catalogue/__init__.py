@@ -6,7 +6,9 @@ from rollcall.catalogue import (  # noqa: F401
     column_queries,
     domain_queries,
     join_queries,
+    model_queries,
     scalar_queries,
     set_queries,
     source_queries,
+    stream_queries,
 )

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from rollcall.catalogue.registry import query
 from rollcall.catalogue.views import r9, secs
-from rollcall.functions import clock, maths
-from rollcall.operators.joins import interval_join
-from rollcall.plans import course_types, presence, sessions
+from rollcall.plans import presence
 
 _OVER = f"(f.DateKey < 20240125 OR (f.DateKey = 20240125 AND {secs('f.UntilTimeKey')} <= 43200))"
 
 
-@query("dom_03_user_count", f"""
+DOM_03_SQL = f"""
 SELECT f.LectureID, f.SubgroupKey, f.DateKey, f.FromTimeKey, f.UntilTimeKey, f.ClassKey, f.RoomKey, f.ActivityKey,
        CASE WHEN {_OVER} THEN coalesce(w.n, 0) END AS UserCount, coalesce(r.TotalStudents, 0) AS TotalStudents,
        {r9("CASE WHEN coalesce(r.TotalStudents, 0) = 0 THEN 0.0 WHEN " + _OVER + " THEN coalesce(w.n, 0) / CAST(r.TotalStudents AS DOUBLE) END")} AS AttendanceRate
@@ -24,7 +20,10 @@ LEFT JOIN (SELECT l.LectureID, l.SubgroupKey, count(DISTINCT c.UserKey) AS n
            JOIN fact_wifi c ON c.UserKey = b.UserKey AND c.DateKey = l.DateKey
              AND {secs('c.TimeKey')} BETWEEN {secs('l.FromTimeKey')} + 900 AND {secs('l.UntilTimeKey')}
            GROUP BY 1, 2) w ON w.LectureID = f.LectureID AND w.SubgroupKey = f.SubgroupKey
-LEFT JOIN roster r ON r.SubgroupKey = f.SubgroupKey""")
+LEFT JOIN roster r ON r.SubgroupKey = f.SubgroupKey"""
+
+
+@query("dom_03_user_count", DOM_03_SQL)
 def dom_03(v):
     return presence.refresh_attendance(v.fact_base, v.wifi, v.bridge, v.users, v.subgroups, v.now)
 

@@ -649,7 +649,7 @@ def dom_34(v):
     return loads.catalogue_rows(course_list(v)).select("code", "faculty", "program_stage", "credits", "second_chance")
 
 
-@query("dom_35_room_list", "SELECT DISTINCT s_name AS Room FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_name LIKE '%_1%'")
+@query("dom_35_room_list", "SELECT DISTINCT s_name AS Room FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE contains(n_name, '_1')")
 def dom_35(v):
     s, n = v.raw("supplier"), v.raw("nation")
     rooms = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("n_name").alias("Building"), F.col("s_name").alias("Room"))
