@@ -9,6 +9,7 @@ from rollcall.catalogue.domain_queries import _assigned, _presence
 from rollcall.catalogue.registry import query
 from rollcall.catalogue.views import CTES, r9
 from rollcall.plans import attendance_model as model, slots
+from rollcall.session import stored
 
 _LAG = "avg(AttendanceRate) OVER (PARTITION BY {g} ORDER BY ClassKey, DateKey, FromTimeKey, LectureID, SubgroupKey ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
 CTES.setdefault("features", f"""
@@ -41,7 +42,7 @@ def ml_02(v):
 WITH c AS (SELECT quantile_cont(CAST(epoch(CAST(FullDate AS TIMESTAMP)) AS DOUBLE), 0.8) AS cut FROM features)
 SELECT epoch(CAST(FullDate AS TIMESTAMP)) <= cut AS Train, count(*) AS Rows, min(DateKey) AS FirstDate, max(DateKey) AS LastDate FROM features, c GROUP BY 1""")
 def ml_03(v):
-    train, test = model.split_by_time(features(v))
+    train, test = model.split_by_time(stored_features(v))
     part = lambda df, flag: df.agg(
         F.lit(flag).alias("Train"), F.count(F.lit(1)).alias("Rows"), F.min("DateKey").alias("FirstDate"), F.max("DateKey").alias("LastDate")
     )
@@ -62,7 +63,7 @@ CTES.setdefault("feature_spread", "SELECT " + ", ".join(
     f"{r9('CASE WHEN m_' + c + ' > 0 THEN ' + _scaled_sql(c) + ' ELSE 0.0 END')} AS {c}" for c in model.NUMERIC
 ) + " FROM features, feature_spread")
 def ml_04(v):
-    rows = features(v)
+    rows = stored_features(v)
     prepared = model.preparation(rows).transform(model.as_inputs(rows))
     values = vector_to_array("scaled")
     return prepared.select(
@@ -70,8 +71,13 @@ def ml_04(v):
     )
 
 
+def stored_features(v):
+    """Features as a table: every stage of a training run reads them again."""
+    return stored(features(v), "features")
+
+
 def _scored(v, estimator):
-    train, test = model.split_by_time(features(v))
+    train, test = model.split_by_time(stored_features(v))
     return model.predict(model.train(train, estimator), test)
 
 
@@ -102,7 +108,7 @@ def ml_08(v):
 
 @query("ml_09_feature_importance")
 def ml_09(v):
-    train, _ = model.split_by_time(features(v))
+    train, _ = model.split_by_time(stored_features(v))
     return model.importances(model.train(train, model.random_forest()))
 
 

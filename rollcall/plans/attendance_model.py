@@ -107,7 +107,11 @@ def preparation(rows: DataFrame) -> PipelineModel:
 
 
 def random_forest(trees: int = 100, depth: int = 10, seed: int = 42) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol=TARGET, numTrees=trees, maxDepth=depth, seed=seed, predictionCol="Predicted")
+    return RandomForestRegressor(
+        labelCol=TARGET, numTrees=trees, maxDepth=depth, seed=seed, predictionCol="Predicted",
+        # room for the statistics of many tree nodes per pass over the data
+        maxMemoryInMB=1024,
+    )
 
 
 def boosted_trees(rounds: int = 200, rate: float = 0.1, depth: int = 6, seed: int = 42) -> GBTRegressor:
