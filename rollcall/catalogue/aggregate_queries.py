@@ -10,6 +10,7 @@ from rollcall.functions import clock, maths
 from rollcall.operators import aggregates, dedupe, windows
 from rollcall.operators.columns import tag_source_file
 from rollcall.operators.joins import lookup
+from rollcall.session import stored
 from rollcall.plans import attendance_model, course_types, lectures, loads, presence, programs, sanity, sessions, slots
 
 _D = lambda c: f"CAST({c} AS DOUBLE)"
@@ -264,7 +265,8 @@ def _lag_sql(group: str, n: int) -> str:
 SELECT LectureID, SubgroupKey, {r9(_lag_sql('ClassKey', 5))} AS avg_attendance_class_5, {r9(_lag_sql('SubgroupKey', 5))} AS avg_attendance_subgroup_5,
        {r9(_lag_sql('Weekday', 10))} AS avg_attendance_weekday FROM facts_wide WHERE AttendanceRate <> 0""")
 def wn_01(v):
-    rows = v.facts_wide.where("AttendanceRate <> 0")
+    columns = ["LectureID", "SubgroupKey", "ClassKey", "DateKey", "FromTimeKey", "Weekday", "AttendanceRate"]
+    rows = stored(v.facts_wide.where("AttendanceRate <> 0").select(*columns), "facts")
     return attendance_model.lagged_features(rows).select(
         "LectureID", "SubgroupKey", "avg_attendance_class_5", "avg_attendance_subgroup_5", "avg_attendance_weekday"
     )

@@ -105,11 +105,8 @@ def jn_11(v):
 SELECT DISTINCT c.SessionID, w.UserKey FROM course_sessions c JOIN course_links l ON l.SessionID = c.SessionID JOIN bridge b ON b.SubgroupKey = l.SubgroupKey
 JOIN fact_wifi w ON w.UserKey = b.UserKey AND w.DateKey = CAST(strftime(c.FullDate, '%Y%m%d') AS INTEGER) AND {secs('w.TimeKey')} BETWEEN c.a AND c.b""")
 def jn_12(v):
-    known = course_types.classified(v.typed_schedule)
-    blocks = sessions.course_blocks(known)
-    return course_types.present_users(
-        sessions.course_sessions(blocks), course_types.session_links(known, blocks), v.wifi, v.bridge
-    )
+    built = sessions.course_session_sets(course_types.classified(v.typed_schedule))
+    return course_types.present_users(built, v.wifi, v.bridge)
 
 
 @query("jn_13_window_users_no_grace", f"""

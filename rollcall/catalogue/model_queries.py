@@ -25,7 +25,8 @@ _COLUMNS = ", ".join(
 def features(v):
     regular = v.regular_titles.withColumnRenamed("NormalizedClassName", "ClassName")
     classes = v.classes.join(regular, "ClassName", "left_semi")
-    return model.features(v.facts_wide.withColumnRenamed("FromHour", "Hour"), classes)
+    facts = stored(v.facts_wide.withColumnRenamed("FromHour", "Hour"), "facts")
+    return model.features(facts, classes)
 
 
 @query("ml_01_features", f"SELECT LectureID, SubgroupKey, {_COLUMNS} FROM features")

@@ -12,7 +12,7 @@ def island_sessions(
 ) -> DataFrame:
     """Number the sessions of each group: a gap above ``max_gap`` starts a new one.
 
-    Blocks must be distinct, which bounds a group by the minutes of a day.
+    A group holds the blocks of one day, which bounds it; equal blocks get one number.
     """
     ordered = Window.partitionBy(*keys).orderBy(start, end)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -65,6 +65,22 @@ def bounded_sessions(
     )
 
 
+def chunk_tails(df: DataFrame, group: list[str], chunk: list[str], order: list[str], value: str, n: int) -> DataFrame:
+    """Per (group, chunk) the last ``n`` values of the chunks before it, oldest first."""
+    backwards = Window.partitionBy(*group, *chunk).orderBy(*[F.desc(c) for c in order])
+    tails = (
+        df.select(*dict.fromkeys([*group, *chunk, *order, value]))
+        .withColumn("_back", F.row_number().over(backwards))
+        .where(F.col("_back") <= n)
+        .groupBy(*group, *chunk)
+        .agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("p"), F.col(value).alias("v")))).alias("_t"))
+        .withColumn("_t", F.transform("_t", lambda x: x["v"]))
+    )
+    # every chunk has a row, so n chunks back are enough for n rows
+    chunks = Window.partitionBy(*group).orderBy(*chunk).rowsBetween(-n, -1)
+    return tails.select(*group, *chunk, F.flatten(F.collect_list("_t").over(chunks)).alias("_halo"))
+
+
 def lagged_mean(
     df: DataFrame,
     group: list[str],
@@ -73,12 +89,15 @@ def lagged_mean(
     value: str,
     n: int,
     out: str,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Mean of the ``n`` rows before the current one, null on the first row of a group.
 
     ``chunk`` is a leading part of ``order``.  Windows run per (group, chunk), so a
     group with a third of the table is spread over its chunks; the first ``n`` rows of
-    a chunk take what they miss from the last rows of the chunks before it.
+    a chunk take what they miss from the last rows of the chunks before it.  ``rows``
+    is the table to take those from; give the original one when several lagged columns
+    are added in a row, so that the earlier steps are not run again.
     """
     inside = Window.partitionBy(*group, *chunk).orderBy(*order)
     frame = inside.rowsBetween(-n, -1)
@@ -87,21 +106,7 @@ def lagged_mean(
         "_sum": F.coalesce(F.sum(value).over(frame), F.lit(0.0)),
         "_cnt": F.count(value).over(frame),
     })
-
-    backwards = Window.partitionBy(*group, *chunk).orderBy(*[F.desc(c) for c in order])
-    tails = (
-        df.select(*dict.fromkeys([*group, *chunk, *order, value]))
-        .withColumn("_back", F.row_number().over(backwards))
-        .where(F.col("_back") <= n)
-        .groupBy(*group, *chunk)
-        .agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("p"), F.col(value).alias("v")))).alias("_t"))
-        .withColumn("_t", F.transform("_t", lambda x: x["v"]))
-    )
-    # every chunk has a row, so n chunks back are enough for n rows
-    chunks = Window.partitionBy(*group).orderBy(*chunk).rowsBetween(-n, -1)
-    halo = tails.select(
-        *group, *chunk, F.flatten(F.collect_list("_t").over(chunks)).alias("_halo")
-    )
+    halo = chunk_tails(df if rows is None else rows, group, chunk, order, value, n)
     joined = base.join(halo, [*group, *chunk], "left")
     need = F.greatest(F.lit(n) - (F.col("_rn") - 1), F.lit(0))
     take = F.least(need, F.size("_halo"))

@@ -40,9 +40,10 @@ def lagged_features(rows: DataFrame, chronological: bool = False) -> DataFrame:
     """
     order = BY_DATE if chronological else BY_CLASS
     chunk = ["DateKey"] if chronological else ["ClassKey", "DateKey"]
-    out = lagged_mean(rows, ["ClassKey"], ["DateKey"], [c for c in order if c != "ClassKey"], TARGET, 5, "avg_attendance_class_5")
-    out = lagged_mean(out, ["SubgroupKey"], chunk, order, TARGET, 5, "avg_attendance_subgroup_5")
-    return lagged_mean(out, ["Weekday"], chunk, order, TARGET, 10, "avg_attendance_weekday")
+    in_class = [c for c in order if c != "ClassKey"]
+    out = lagged_mean(rows, ["ClassKey"], ["DateKey"], in_class, TARGET, 5, "avg_attendance_class_5", rows)
+    out = lagged_mean(out, ["SubgroupKey"], chunk, order, TARGET, 5, "avg_attendance_subgroup_5", rows)
+    return lagged_mean(out, ["Weekday"], chunk, order, TARGET, 10, "avg_attendance_weekday", rows)
 
 
 def features(facts: DataFrame, non_group_classes: DataFrame, chronological: bool = False) -> DataFrame:

@@ -61,20 +61,14 @@ def classified(schedule: DataFrame) -> DataFrame:
     return schedule.where(F.col("LessonType").isin(GROUP, REGULAR))
 
 
-def session_links(schedule: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Distinct (session, subgroup)."""
-    on = ["ClassName", "FullDate", "StartSecond", "EndSecond"]
-    return schedule.join(blocks.select(*on, "SessionID"), on).select("SessionID", "SubgroupKey").distinct()
-
-
-def present_users(sessions: DataFrame, links: DataFrame, wifi: DataFrame, bridge: DataFrame) -> DataFrame:
+def present_users(sessions: DataFrame, wifi: DataFrame, bridge: DataFrame) -> DataFrame:
     """Distinct (session, user): expected users with a connection inside the session.
 
     Expected users are reached through their subgroup, which is an equality key of the
     interval join, so the list of expected users per session is never written out.
     """
-    windows = sessions.select("SessionID", "FullDate", "SessionStartSecond", "SessionEndSecond").join(
-        links, "SessionID"
+    windows = sessions.select(
+        "SessionID", "FullDate", "SessionStartSecond", "SessionEndSecond", F.explode("_set").alias("SubgroupKey")
     )
     points = wifi.join(bridge, "UserKey").select(
         "UserKey", "SubgroupKey", clock.key_date("DateKey").alias("FullDate"),
@@ -88,18 +82,15 @@ def present_users(sessions: DataFrame, links: DataFrame, wifi: DataFrame, bridge
 
 def session_results(schedule: DataFrame, wifi: DataFrame, bridge: DataFrame, min_minutes: int = 1) -> DataFrame:
     """One row per session with expected and present students and the rate."""
-    known = classified(schedule)
-    blocks = build.course_blocks(known)
-    sessions = build.course_sessions(blocks, min_minutes)
-    links = session_links(known, blocks)
-    expected = presence.expected_users(links, "SessionID", bridge, "_expected")
-    present = present_users(sessions, links, wifi, bridge).groupBy("SessionID").agg(
-        F.count(F.lit(1)).alias("_present")
+    sessions = build.course_session_sets(classified(schedule), min_minutes=min_minutes).withColumn(
+        "_sig", presence.signature("_set")
     )
-    joined = sessions.join(expected, "SessionID", "left").join(present, "SessionID", "left").withColumns({
+    expected = presence.expected_by_set(sessions, bridge, "_expected")
+    present = present_users(sessions, wifi, bridge).groupBy("SessionID").agg(F.count(F.lit(1)).alias("_present"))
+    joined = sessions.join(expected, "_sig", "left").join(present, "SessionID", "left").withColumns({
         "ExpectedStudents": F.coalesce("_expected", F.lit(0)),
         "PresentStudents": F.coalesce("_present", F.lit(0)),
-    }).drop("_expected", "_present")
+    }).drop("_expected", "_present", "_set", "_sig")
     rated = joined.withColumn("AttendanceRate", maths.ratio("PresentStudents", "ExpectedStudents"))
     return rated.withColumn("AttendancePercentage", F.col("AttendanceRate") * 100)
 
@@ -182,30 +173,31 @@ def lecture_results(schedule: DataFrame, wifi: DataFrame, bridge: DataFrame) ->
 
     No sessions and no grace: a connection between start and end counts.
     """
-    links = schedule.select("LectureID", "SubgroupKey").distinct()
-    expected = presence.expected_users(links, "LectureID", bridge, "_total")
+    first = F.struct("SubgroupCode", "FullDate", "StartSecond", "EndSecond", "ClassName", "NormalizedClassName",
+                     "LessonType", "ProgramName")
+    lectures = schedule.groupBy("LectureID").agg(
+        F.min(first).alias("_first"),
+        aggregates.distinct_list("SubgroupCode").alias("SubgroupCodes"),
+        F.array_sort(F.collect_set("SubgroupKey")).alias("_set"),
+    ).withColumn("_sig", presence.signature("_set"))
+    expected = presence.expected_by_set(lectures, bridge, "_total")
     in_window = presence.window_users(schedule, wifi, bridge)
     present = (
-        schedule.select("LectureID", *presence.WINDOW).distinct()
+        schedule.select("LectureID", *presence.WINDOW)
         .join(in_window, presence.WINDOW)
         .select("LectureID", "UserKey").distinct()
         .groupBy("LectureID").agg(F.count(F.lit(1)).alias("_present"))
     )
-    first = F.struct("SubgroupCode", "FullDate", "StartSecond", "EndSecond", "ClassName", "NormalizedClassName",
-                     "LessonType", "ProgramName")
-    lectures = schedule.groupBy("LectureID").agg(
-        F.min(first).alias("_first"), aggregates.distinct_list("SubgroupCode").alias("SubgroupCodes")
-    )
-    lectures = lectures.select(
+    named = lectures.select(
         "LectureID", "_first.FullDate", "_first.StartSecond", "_first.EndSecond", "_first.ClassName",
-        "_first.NormalizedClassName", "_first.LessonType", "_first.ProgramName", "SubgroupCodes",
+        "_first.NormalizedClassName", "_first.LessonType", "_first.ProgramName", "SubgroupCodes", "_sig",
     ).withColumns({
         "LectureStart": clock.at_second("FullDate", "StartSecond"),
         "LectureEnd": clock.at_second("FullDate", "EndSecond"),
     }).drop("StartSecond", "EndSecond")
-    joined = lectures.join(expected, "LectureID", "left").join(present, "LectureID", "left").withColumns({
+    joined = named.join(expected, "_sig", "left").join(present, "LectureID", "left").withColumns({
         "TotalStudents": F.coalesce("_total", F.lit(0)), "UserCount": F.coalesce("_present", F.lit(0)),
-    }).drop("_total", "_present")
+    }).drop("_total", "_present", "_sig")
     return joined.withColumn("AttendanceRate", maths.ratio("UserCount", "TotalStudents"))
 
 

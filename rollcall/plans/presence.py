@@ -114,29 +114,39 @@ def cohorts(bridge: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = bridge.groupBy("UserKey").agg(
         F.array_sort(F.collect_set("SubgroupKey")).alias("_subgroups")
     )
-    sizes = members.groupBy("_subgroups").agg(F.count(F.lit(1)).alias("CohortUsers")).withColumn(
-        "Cohort", F.array_join(F.transform("_subgroups", lambda s: s.cast("string")), ",")
-    )
+    sizes = members.groupBy("_subgroups").agg(F.count(F.lit(1)).alias("CohortUsers"))
+    sizes = sizes.withColumn("Cohort", signature("_subgroups"))
     pairs = sizes.select("Cohort", F.explode("_subgroups").alias("SubgroupKey"))
     return pairs, sizes.select("Cohort", "CohortUsers")
 
 
-def expected_users(links: DataFrame, unit: str, bridge: DataFrame, out: str) -> DataFrame:
-    """Distinct users over the subgroups of each unit (lecture or session).
+def signature(c) -> Column:
+    """Text of a sorted set of keys."""
+    return F.array_join(F.transform(c, lambda s: s.cast("string")), ",")
 
-    Units with the same set of subgroups are answered once, through cohorts.
-    Units without any user are absent.
+
+def expected_by_set(sets: DataFrame, bridge: DataFrame, out: str) -> DataFrame:
+    """Distinct users per distinct set of subgroups: (``_sig``, count).
+
+    ``sets`` has the sorted set as ``_set`` and its text as ``_sig``.
     """
-    sets = links.groupBy(unit).agg(F.array_sort(F.collect_set("SubgroupKey")).alias("_set")).withColumn(
-        "_sig", F.array_join(F.transform("_set", lambda s: s.cast("string")), ",")
-    )
     pairs, sizes = cohorts(bridge)
-    distinct_sets = sets.groupBy("_sig").agg(F.any_value("_set").alias("_set"))
-    per_set = (
-        distinct_sets.select("_sig", F.explode("_set").alias("SubgroupKey"))
+    return (
+        sets.groupBy("_sig").agg(F.any_value("_set").alias("_set"))
+        .select("_sig", F.explode("_set").alias("SubgroupKey"))
         .join(pairs, "SubgroupKey")
         .select("_sig", "Cohort").distinct()
         .join(sizes, "Cohort")
         .groupBy("_sig").agg(F.sum("CohortUsers").alias(out))
     )
-    return sets.select(unit, "_sig").join(per_set, "_sig").select(unit, out)
+
+
+def expected_users(links: DataFrame, unit: str, bridge: DataFrame, out: str) -> DataFrame:
+    """Distinct users over the subgroups of each unit (lecture or session).
+
+    Units with the same set of subgroups are answered once, through cohorts.
+    Units without any user are absent.
+    """
+    sets = links.groupBy(unit).agg(F.array_sort(F.collect_set("SubgroupKey")).alias("_set"))
+    sets = sets.withColumn("_sig", signature("_set"))
+    return sets.select(unit, "_sig").join(expected_by_set(sets, bridge, out), "_sig").select(unit, out)

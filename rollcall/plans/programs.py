@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.functions import text
 from rollcall.operators.aggregates import labelled_counts
@@ -29,8 +29,8 @@ def lecture_links(schedule: DataFrame, lecture: str = "Id", groups: str = "Class
     ).distinct()
 
 
-def votes(links: DataFrame, known: DataFrame, missing: DataFrame, candidate: str) -> DataFrame:
-    """(subgroup, candidate) with the number of lectures that hold both.
+def lecture_sets(links: DataFrame, known: DataFrame, missing: DataFrame, candidate: str) -> DataFrame:
+    """(missing subgroup, set of known candidates in a lecture) with the number of lectures.
 
     Each lecture carries the set of programmes of its known subgroups.  Rows of missing
     subgroups take that set as one value and are counted per set before the sets are
@@ -41,19 +41,27 @@ def votes(links: DataFrame, known: DataFrame, missing: DataFrame, candidate: str
         .groupBy("Id")
         .agg(F.array_sort(F.collect_set(candidate)).alias("_set"))
     )
-    per_set = (
+    return (
         links.join(missing.select("SubgroupCode"), "SubgroupCode", "left_semi")
         .join(programs, "Id")
         .groupBy("SubgroupCode", "_set")
         .agg(F.count(F.lit(1)).alias("_lectures"))
     )
+
+
+def unfold(per_set: DataFrame, items: Column, candidate: str) -> DataFrame:
     return (
-        per_set.select("SubgroupCode", F.explode("_set").alias(candidate), "_lectures")
+        per_set.select("SubgroupCode", F.explode(items).alias(candidate), "_lectures")
         .groupBy("SubgroupCode", candidate)
         .agg(F.sum("_lectures").alias("EvidenceCount"))
     )
 
 
+def votes(links: DataFrame, known: DataFrame, missing: DataFrame, candidate: str) -> DataFrame:
+    """(subgroup, candidate) with the number of lectures that hold both."""
+    return unfold(lecture_sets(links, known, missing, candidate), F.col("_set"), candidate)
+
+
 def accepted(counts: DataFrame, candidate: str, min_evidence: int, min_confidence: float) -> DataFrame:
     """Best candidates that clear the evidence, the share and the uniqueness rule."""
     best = best_candidate(counts, ["SubgroupCode"], candidate, "EvidenceCount")
@@ -88,10 +96,12 @@ def evidence(subgroups: DataFrame, schedule: DataFrame) -> tuple[DataFrame, Data
         ["SubgroupCode"], ["ProgramName"],
     )
     missing = rows.where("ProgramName is null and SubgroupCode is not null").select("SubgroupCode").distinct()
-    return tuple(
-        with_share(votes(links, known, missing, c), ["SubgroupCode"], "EvidenceCount")
-        for c in ("ProgramName", "ProgramFamily")
-    )
+    per_set = lecture_sets(links, known, missing, "ProgramName")
+    # the family is a part of the name, so the sets of names give the sets of families
+    families = F.array_distinct(F.transform("_set", lambda name: text.program_family(name)))
+    exact = unfold(per_set, F.col("_set"), "ProgramName")
+    family = unfold(per_set, families, "ProgramFamily")
+    return tuple(with_share(t, ["SubgroupCode"], "EvidenceCount") for t in (exact, family))
 
 
 def infer_programs(

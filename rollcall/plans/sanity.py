@@ -199,25 +199,40 @@ def very_low_lectures(facts: DataFrame, n: int = 10) -> DataFrame:
 
 
 def status_table(facts: DataFrame) -> DataFrame:
-    """One row per check with the number of suspect records and a verdict."""
-    exact = duplicates(facts, exact=True).agg(F.count(F.lit(1)).alias("n"))
-    keys = duplicates(facts).agg(F.count(F.lit(1)).alias("n"))
-    rate = with_recalculated(facts).agg(F.count_if(F.col("AttendanceRateDifference") > 1e-4).alias("n"))
-    same = lecture_structure(facts).agg(F.count_if((F.col("FactRows") > 1) & F.col("SameUserCount")).alias("n"))
-    capacity = suspicious_capacity(lecture_capacity(facts)).agg(F.count(F.lit(1)).alias("n"))
-    over = facts.agg(F.count_if(F.col("AttendanceRate") > 1).alias("n"))
-
-    def line(frame: DataFrame, label: str, status) -> DataFrame:
-        return frame.select(F.lit(label).alias("Controle"), F.col("n").alias("VerdachteRecords"), status.alias("Status"))
-
-    clean = F.col("n") == 0
-    look = F.when(clean, OK).otherwise(LOOK)
-    judge = F.when(clean, OK).otherwise(JUDGE)
-    parts = [
-        line(exact, CHECK_EXACT, look), line(keys, CHECK_KEY, look), line(rate, CHECK_RATE, look),
-        line(same, CHECK_REPEATED, F.lit(JUDGE)), line(capacity, CHECK_CAPACITY, judge), line(over, CHECK_OVER, judge),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """One row per check with the number of suspect records and a verdict.
+
+    Two passes over the facts: copies of rows and keys, and one row per lecture that
+    carries everything the other checks need.
+    """
+    copies = (
+        facts.groupBy(*facts.columns).agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*KEY).agg(F.sum("_n").alias("_rows"), F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("_same"))
+        .agg(
+            F.coalesce(F.sum("_same"), F.lit(0)).alias(CHECK_EXACT),
+            F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows")).otherwise(0)), F.lit(0)).alias(CHECK_KEY),
+        )
+    )
+    rate, room = F.col("AttendanceRate"), F.col("_capacity")
+    lectures = with_recalculated(facts).groupBy("LectureID").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.min("UserCount").alias("_low"),
+        F.max("UserCount").alias("_high"),
+        F.sum("TotalStudents").alias("_students"),
+        F.min_by("RoomCapacity", "SubgroupKey").alias("_capacity"),
+        F.count_if(F.col("AttendanceRateDifference") > 1e-4).alias("_different"),
+        F.count_if(rate > 1).alias("_over"),
+    ).agg(
+        F.coalesce(F.sum("_different"), F.lit(0)).alias(CHECK_RATE),
+        F.count_if((F.col("_rows") > 1) & (F.col("_low") == F.col("_high"))).alias(CHECK_REPEATED),
+        F.count_if((F.col("_students") > room) | (F.col("_high") > room)).alias(CHECK_CAPACITY),
+        F.coalesce(F.sum("_over"), F.lit(0)).alias(CHECK_OVER),
+    )
+    counts = aggregates.unpivot_row(copies, copies.columns, "Controle", "VerdachteRecords").unionByName(
+        aggregates.unpivot_row(lectures, lectures.columns, "Controle", "VerdachteRecords")
+    )
+    label, clean = F.col("Controle"), F.col("VerdachteRecords") == 0
+    status = (
+        F.when(label == CHECK_REPEATED, JUDGE).when(clean, OK)
+        .when(label.isin(CHECK_EXACT, CHECK_KEY, CHECK_RATE), LOOK).otherwise(JUDGE)
+    )
+    return counts.withColumn("Status", status)

@@ -97,6 +97,30 @@ def course_sessions(blocks: DataFrame, min_minutes: int = 1) -> DataFrame:
     return _shape(sessions).where(F.col("SessionDurationMinutes") >= min_minutes)
 
 
+def course_session_sets(schedule: DataFrame, max_break: int = MAX_BREAK_MINUTES, min_minutes: int = 1) -> DataFrame:
+    """Sessions per class and day, each with the sorted set of its subgroups.
+
+    One window over distinct (block, subgroup) rows: a repeated block never opens a
+    session, so blocks need not be joined back to the timetable.
+    """
+    keys = ["ClassName", "NormalizedClassName", "LessonType", "FullDate"]
+    rows = schedule.select(*keys, "StartSecond", "EndSecond", "SubgroupKey").distinct()
+    numbered = island_sessions(rows, ["ClassName", "FullDate"], "StartSecond", "EndSecond", max_break * 60)
+    sessions = numbered.groupBy(*keys, "SessionNumber").agg(
+        F.min("StartSecond").alias("SessionStartSecond"),
+        F.max("EndSecond").alias("SessionEndSecond"),
+        F.size(F.collect_set("StartSecond")).alias("NumberOfTimeBlocks"),
+        F.array_sort(F.collect_set("SubgroupKey")).alias("_set"),
+    )
+    named = sessions.withColumn(
+        "SessionID",
+        F.concat_ws(
+            "_", "NormalizedClassName", F.date_format("FullDate", "yyyyMMdd"), F.col("SessionNumber").cast("string")
+        ),
+    ).drop("SessionNumber")
+    return _shape(named).where(F.col("SessionDurationMinutes") >= min_minutes)
+
+
 def session_rows(schedule: DataFrame, blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Schedule rows with the session of their block."""
     keys = keys or ["FullDate"]
