@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rollcall.functions import clock
 from rollcall.operators.aggregates import distinct_list
 from rollcall.plans import course_types, presence, sessions
-from rollcall.plans.loads import wifi_rows
+from rollcall.session import stored
 from rollcall.sources import generators
 
 NOW = "2024-01-25 12:00:00"
@@ -182,7 +182,9 @@ class Views:
 
     @cached_property
     def course_results(self) -> DataFrame:
-        return course_types.session_results(self.typed_schedule, self.wifi, self.bridge)
+        known = course_types.classified(self.typed_schedule)
+        sets = stored(sessions.course_session_sets(known), "course-sessions")
+        return course_types.rate_sessions(sets, self.wifi, self.bridge)
 
     @cached_property
     def course_valid(self) -> DataFrame:

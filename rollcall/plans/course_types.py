@@ -80,14 +80,28 @@ def present_users(sessions: DataFrame, wifi: DataFrame, bridge: DataFrame) -> Da
     return hits.select("SessionID", "UserKey").distinct()
 
 
-def session_results(schedule: DataFrame, wifi: DataFrame, bridge: DataFrame, min_minutes: int = 1) -> DataFrame:
-    """One row per session with expected and present students and the rate."""
-    sessions = build.course_session_sets(classified(schedule), min_minutes=min_minutes).withColumn(
-        "_sig", presence.signature("_set")
-    )
-    expected = presence.expected_by_set(sessions, bridge, "_expected")
-    present = present_users(sessions, wifi, bridge).groupBy("SessionID").agg(F.count(F.lit(1)).alias("_present"))
-    joined = sessions.join(expected, "_sig", "left").join(present, "SessionID", "left").withColumns({
+def present_counts(sessions: DataFrame, wifi: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Present students per (date, start, end, set of subgroups).
+
+    Sessions that agree on all four have the same students, so one of them stands for
+    the others in the interval join.
+    """
+    span = ["FullDate", "SessionStartSecond", "SessionEndSecond", "_sig"]
+    one = sessions.groupBy(*span).agg(F.min("SessionID").alias("SessionID"), F.any_value("_set").alias("_set"))
+    counts = present_users(one, wifi, bridge).groupBy("SessionID").agg(F.count(F.lit(1)).alias("_present"))
+    return one.select(*span, "SessionID").join(counts, "SessionID").drop("SessionID")
+
+
+def rate_sessions(sessions: DataFrame, wifi: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Expected and present students and the rate of sessions from ``course_session_sets``.
+
+    The sessions are read three times: hand in a stored table when they are costly.
+    """
+    signed = sessions.withColumn("_sig", presence.signature("_set"))
+    expected = presence.expected_by_set(signed, bridge, "_expected")
+    present = present_counts(signed, wifi, bridge)
+    span = ["FullDate", "SessionStartSecond", "SessionEndSecond", "_sig"]
+    joined = signed.join(expected, "_sig", "left").join(present, span, "left").withColumns({
         "ExpectedStudents": F.coalesce("_expected", F.lit(0)),
         "PresentStudents": F.coalesce("_present", F.lit(0)),
     }).drop("_expected", "_present", "_set", "_sig")
@@ -95,6 +109,11 @@ def session_results(schedule: DataFrame, wifi: DataFrame, bridge: DataFrame, min
     return rated.withColumn("AttendancePercentage", F.col("AttendanceRate") * 100)
 
 
+def session_results(schedule: DataFrame, wifi: DataFrame, bridge: DataFrame, min_minutes: int = 1) -> DataFrame:
+    """One row per session of the classified timetable."""
+    return rate_sessions(build.course_session_sets(classified(schedule), min_minutes=min_minutes), wifi, bridge)
+
+
 def valid(results: DataFrame) -> DataFrame:
     return results.where("ExpectedStudents > 0")
 

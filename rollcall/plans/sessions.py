@@ -151,15 +151,18 @@ def session_attendance(rows: DataFrame, schedule: DataFrame) -> DataFrame:
     subgroups, so a student of two half blocks counts once.
     """
     per_subgroup = rows.groupBy("FullDate", "SessionID", "SubgroupCode").agg(
-        F.max("UserCount").alias("_present"), F.max("TotalStudents").alias("_students")
+        F.max("UserCount").alias("_present"),
+        F.max("TotalStudents").alias("_students"),
+        F.collect_set("RoomCode").alias("_rooms"),
     )
+    rooms = F.array_sort(F.array_distinct(F.flatten(F.collect_list("_rooms"))))
     per_session = per_subgroup.groupBy("FullDate", "SessionID").agg(
         F.sum("_present").alias("EstimatedPresentStudents"),
         F.sum("_students").alias("AdministrativeExpectedStudents"),
         F.count(F.lit(1)).alias("NumberOfSubgroups"),
+        rooms.alias("_rooms"),
     )
-    rooms = rows.select("FullDate", "SessionID", "RoomCode").distinct().groupBy("FullDate", "SessionID").agg(
-        F.count("RoomCode").alias("NumberOfDistinctRooms"), distinct_list("RoomCode").alias("Rooms")
-    )
-    on = ["FullDate", "SessionID"]
-    return per_session.join(schedule, on, "left").join(rooms, on, "left")
+    named = per_session.withColumns({
+        "NumberOfDistinctRooms": F.size("_rooms"), "Rooms": F.array_join("_rooms", ", "),
+    }).drop("_rooms")
+    return named.join(schedule, ["FullDate", "SessionID"], "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rollcall.functions import clock, maths
 from rollcall.operators.aggregates import quantile
@@ -38,11 +38,18 @@ def slot_maximum(sessions: DataFrame) -> DataFrame:
 
 
 def corrected_sessions(sessions: DataFrame) -> DataFrame:
-    """Rates against the highest count of the slot and against the administration."""
-    expected = slot_expectation(sessions).select(
-        "SessionSlot", "ExpectedStudentsForSlot", "P95StudentsForSlot", "NumberOfObservedSessions"
-    )
-    return sessions.join(expected, "SessionSlot", "left").withColumns({
+    """Rates against the highest count of the slot and against the administration.
+
+    Sessions are one row each and a weekly slot has as many as there are weeks, so the
+    slot values come from a window over the slot and the sessions are built once.
+    """
+    slot = Window.partitionBy("SessionSlot")
+    present = F.col("EstimatedPresentStudents")
+    return sessions.withColumns({
+        "ExpectedStudentsForSlot": F.max(present).over(slot),
+        "P95StudentsForSlot": quantile(present, 0.95).over(slot),
+        "NumberOfObservedSessions": F.count("SessionID").over(slot),
+    }).withColumns({
         "CorrectedAttendanceRate": maths.ratio("EstimatedPresentStudents", "ExpectedStudentsForSlot"),
         "AdministrativeAttendanceRate": maths.ratio("EstimatedPresentStudents", "AdministrativeExpectedStudents"),
     }).withColumn("CorrectedAttendanceRateCapped", maths.cap_at_one("CorrectedAttendanceRate"))
@@ -73,9 +80,9 @@ def slot_comparison(corrected: DataFrame) -> DataFrame:
 
 def first_week_sensitivity(sessions: DataFrame) -> DataFrame:
     """Slot maximum with and without the first week the slot was seen in."""
-    first = sessions.groupBy("SessionSlot").agg(F.min("YearWeek").alias("FirstObservedWeek"))
+    first = F.min("YearWeek").over(Window.partitionBy("SessionSlot"))
     later = F.when(F.col("YearWeek") != F.col("FirstObservedWeek"), F.col("EstimatedPresentStudents"))
-    return sessions.join(first, "SessionSlot").groupBy("SessionSlot", "FirstObservedWeek").agg(
+    return sessions.withColumn("FirstObservedWeek", first).groupBy("SessionSlot", "FirstObservedWeek").agg(
         F.max("EstimatedPresentStudents").alias("MaximumIncludingFirstWeek"),
         F.max(later).alias("MaximumWithoutFirstWeek"),
     )
