@@ -293,17 +293,9 @@ def dom_14(v):
     return slots.first_week_sensitivity(v.lab_attendance)
 
 
-def _presence(v):
-    return slots.session_presence(v.lab_sessions, slots.course_wifi(v.wifi, v.bridge, v.fact_base))
-
-
-def _assigned(v):
-    return slots.assign_slots(slots.user_slot_counts(_presence(v), v.lab_sessions))
-
-
 @query("dom_15_slot_assignment", f"SELECT * REPLACE ({r9('AssignmentConfidence')} AS AssignmentConfidence) FROM lab_assigned")
 def dom_15(v):
-    return _assigned(v)
+    return v.lab_assigned
 
 
 @query("dom_15_latest_on_tie", """
@@ -311,7 +303,7 @@ WITH c AS (SELECT *, max(SessionsObserved) OVER (PARTITION BY UserKey) AS m, sum
 SELECT UserKey, CASE WHEN max(total) < 2 THEN 'Unassigned' ELSE arg_max(SessionSlot, strftime(LastSeen, '%Y%m%d') || SessionSlot) FILTER (SessionsObserved = m) END AS AssignedSessionSlot,
   CASE WHEN max(total) < 2 THEN 'Too few observations' WHEN count(*) FILTER (SessionsObserved = m) = 1 THEN 'Unique maximum' ELSE 'Tie resolved by latest' END AS AssignmentReason FROM c GROUP BY 1""")
 def dom_15_latest(v):
-    counts = slots.user_slot_counts(_presence(v), v.lab_sessions)
+    counts = slots.user_slot_counts(v.lab_presence, v.lab_sessions)
     return slots.assign_slots(counts, tie="latest").select("UserKey", "AssignedSessionSlot", "AssignmentReason")
 
 
@@ -319,34 +311,34 @@ def dom_15_latest(v):
 SELECT AssignedSessionSlot, count(*) AS ExpectedStudents, {r9('avg(AssignmentConfidence)')} AS MeanAssignmentConfidence, {_q('AssignmentConfidence', 0.5)} AS MedianAssignmentConfidence,
   {r9('avg(BestSlotObservations)')} AS MeanBestSlotObservations FROM lab_assigned WHERE AssignedSessionSlot <> 'Unassigned' GROUP BY 1""")
 def dom_16(v):
-    return slots.group_sizes(_assigned(v))
+    return slots.group_sizes(v.lab_assigned)
 
 
 @query("dom_16_assignment_quality", """
 SELECT AssignmentReason, AssignedSessionSlot <> 'Unassigned' AS Assigned, count(*) AS Users FROM lab_assigned GROUP BY ALL""")
 def dom_16_quality(v):
-    return _assigned(v).groupBy(
+    return v.lab_assigned.groupBy(
         "AssignmentReason", (F.col("AssignedSessionSlot") != slots.UNASSIGNED).alias("Assigned")
     ).agg(F.count(F.lit(1)).alias("Users"))
 
 
 @query("dom_17_corrected_attendance", f"SELECT {_SESSION}, YearWeek, ExpectedStudents, PresentAssignedStudents, {r9('AttendanceRate')} AS AttendanceRate FROM lab_results")
 def dom_17(v):
-    return slots.corrected_attendance(v.lab_sessions, _presence(v), _assigned(v))
+    return slots.corrected_attendance(v.lab_sessions, v.lab_presence, v.lab_assigned)
 
 
 @query("dom_17_slot_summary", f"""
 SELECT SessionSlot, max(ExpectedStudents) AS ExpectedStudents, count(*) AS NumberOfSessions, {r9('avg(PresentAssignedStudents)')} AS MeanPresent, {_q('PresentAssignedStudents', 0.5)} AS MedianPresent,
   min(PresentAssignedStudents) AS MinPresent, max(PresentAssignedStudents) AS MaxPresent, {r9('avg(AttendanceRate)')} AS MeanAttendanceRate, {_q('AttendanceRate', 0.5)} AS MedianAttendanceRate FROM lab_results GROUP BY 1""")
 def dom_17_summary(v):
-    return slots.assigned_slot_summary(slots.corrected_attendance(v.lab_sessions, _presence(v), _assigned(v)))
+    return slots.assigned_slot_summary(slots.corrected_attendance(v.lab_sessions, v.lab_presence, v.lab_assigned))
 
 
 @query("dom_18_first_week_switchers", """
 SELECT DISTINCT p.UserKey, p.FullDate::VARCHAR AS FullDate, p.SessionSlot, a.AssignedSessionSlot FROM lab_presence p JOIN lab_assigned a ON a.UserKey = p.UserKey
 WHERE p.YearWeek = (SELECT min(YearWeek) FROM lab_sessions) AND a.AssignedSessionSlot <> 'Unassigned' AND a.AssignedSessionSlot <> p.SessionSlot""")
 def dom_18(v):
-    return slots.first_week_switchers(v.lab_sessions, _presence(v), _assigned(v))
+    return slots.first_week_switchers(v.lab_sessions, v.lab_presence, v.lab_assigned)
 
 
 # --- course types --------------------------------------------------------------------------------------

@@ -97,8 +97,7 @@ def jn_10(v):
 
 @query("jn_11_interval_join_by_date", "SELECT UserKey, SessionID, SessionSlot FROM lab_presence")
 def jn_11(v):
-    users = slots.course_wifi(v.wifi, v.bridge, v.fact_base)
-    return slots.session_presence(v.lab_sessions, users).select("UserKey", "SessionID", "SessionSlot")
+    return v.lab_presence.select("UserKey", "SessionID", "SessionSlot")
 
 
 @query("jn_12_expected_users_in_session", f"""

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from rollcall.catalogue.domain_queries import _assigned, _presence
 from rollcall.catalogue.registry import query
 from rollcall.catalogue.views import CTES, r9
 from rollcall.plans import attendance_model as model, slots
@@ -119,5 +118,5 @@ UNION ALL SELECT 'Corrected', {r9('avg(AttendanceRate)')}, {r9('quantile_cont(At
 def ml_10(v):
     group = v.group_titles.withColumnRenamed("NormalizedClassName", "ClassName")
     naive = v.facts_wide.join(group, "ClassName", "left_semi")
-    corrected = slots.corrected_attendance(v.lab_sessions, _presence(v), _assigned(v))
+    corrected = slots.corrected_attendance(v.lab_sessions, v.lab_presence, v.lab_assigned)
     return model.naive_against_corrected(naive, corrected)

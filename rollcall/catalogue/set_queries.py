@@ -14,13 +14,11 @@ from rollcall.operators.joins import only_new
 from rollcall.plans import course_types, lectures, loads, sanity
 
 
-@query("srt_01_mixed_sort", """
-SELECT SubgroupKey, LectureID, UserCount, row_number() OVER (PARTITION BY SubgroupKey ORDER BY UserCount DESC NULLS LAST, LectureID) AS Position FROM fact_lecture""")
+@query("srt_01_mixed_sort", "SELECT SubgroupKey, LectureID, UserCount FROM fact_lecture")
 def srt_01(v):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("SubgroupKey").orderBy(F.desc_nulls_last("UserCount"), F.asc("LectureID"))
-    return v.fact.select("SubgroupKey", "LectureID", "UserCount", F.row_number().over(w).cast("bigint").alias("Position"))
+    return v.fact.select("SubgroupKey", "LectureID", "UserCount").orderBy(
+        "SubgroupKey", F.desc_nulls_last("UserCount"), "LectureID"
+    )
 
 
 @query("srt_02_top_and_bottom", f"""

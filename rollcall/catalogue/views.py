@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.functions import clock
 from rollcall.operators.aggregates import distinct_list
-from rollcall.plans import course_types, presence, sessions
+from rollcall.plans import course_types, presence, sessions, slots
 from rollcall.session import stored
 from rollcall.sources import generators
 
@@ -208,7 +208,17 @@ class Views:
 
     @cached_property
     def lab_sessions(self) -> DataFrame:
-        return self.day_sessions.where("LooksLikeFourHourSession")
+        # read by the join, the first-week rule and the result, so kept as a table
+        return stored(self.day_sessions.where("LooksLikeFourHourSession"), "lab-sessions")
+
+    @cached_property
+    def lab_presence(self) -> DataFrame:
+        users = slots.course_wifi(self.wifi, self.bridge, self.fact_base)
+        return stored(slots.session_presence(self.lab_sessions, users), "lab-presence")
+
+    @cached_property
+    def lab_assigned(self) -> DataFrame:
+        return slots.assign_slots(slots.user_slot_counts(self.lab_presence, self.lab_sessions))
 
     @cached_property
     def day_attendance(self) -> DataFrame:

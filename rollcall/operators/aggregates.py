@@ -140,15 +140,16 @@ def profile(df: DataFrame, column: str, value: str = "AttendanceRate") -> DataFr
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Equal-width bins between minimum and maximum; the top edge is in the last bin.
 
-    The two bounds are a scalar subquery.  Values are counted first, so the bins are
+    The bounds are a scalar subquery.  Values are counted first, so the bins are
     assigned to distinct values and not to rows.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    low = counts.select(F.min("_v")).scalar()
-    high = counts.select(F.max("_v")).scalar()
-    placed = counts.withColumns({"_low": low, "_high": high})
+    # the sum makes the counts of the subquery the same exchange as the counts below
+    edges = F.struct(F.min("_v").alias("low"), F.max("_v").alias("high"), F.sum("_n").alias("rows"))
+    bounds = counts.agg(edges.alias("e")).select("e").scalar()
+    placed = counts.withColumn("_e", bounds).withColumns({"_low": F.col("_e.low"), "_high": F.col("_e.high")})
     width = (F.col("_high") - F.col("_low")) / bins
     bin_no = F.when(F.col("_high") > F.col("_low"), F.floor((F.col("_v") - F.col("_low")) / width)).otherwise(0)
     placed = placed.withColumn("Bin", F.least(bin_no, F.lit(bins - 1)).cast("int"))

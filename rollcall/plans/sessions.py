@@ -100,17 +100,17 @@ def course_sessions(blocks: DataFrame, min_minutes: int = 1) -> DataFrame:
 def course_session_sets(schedule: DataFrame, max_break: int = MAX_BREAK_MINUTES, min_minutes: int = 1) -> DataFrame:
     """Sessions per class and day, each with the sorted set of its subgroups.
 
-    One window over distinct (block, subgroup) rows: a repeated block never opens a
-    session, so blocks need not be joined back to the timetable.
+    A block carries its subgroups as one set while sessions are numbered, so the window
+    holds one row per distinct block, and blocks are not joined back to the timetable.
     """
     keys = ["ClassName", "NormalizedClassName", "LessonType", "FullDate"]
-    rows = schedule.select(*keys, "StartSecond", "EndSecond", "SubgroupKey").distinct()
-    numbered = island_sessions(rows, ["ClassName", "FullDate"], "StartSecond", "EndSecond", max_break * 60)
+    blocks = schedule.groupBy(*keys, "StartSecond", "EndSecond").agg(F.collect_set("SubgroupKey").alias("_subgroups"))
+    numbered = island_sessions(blocks, ["ClassName", "FullDate"], "StartSecond", "EndSecond", max_break * 60)
     sessions = numbered.groupBy(*keys, "SessionNumber").agg(
         F.min("StartSecond").alias("SessionStartSecond"),
         F.max("EndSecond").alias("SessionEndSecond"),
         F.size(F.collect_set("StartSecond")).alias("NumberOfTimeBlocks"),
-        F.array_sort(F.collect_set("SubgroupKey")).alias("_set"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_subgroups")))).alias("_set"),
     )
     named = sessions.withColumn(
         "SessionID",

@@ -30,18 +30,18 @@ STUDENT = (
     "SUBGROEPID bigint, SUBGROEPCODE string, DEELGROEPID bigint, NAAM string, EMAIL string"
 )
 
-# --- fixed values: the columns of a timetable export, in file order -------------
+# --- fixed values: the usual columns of a timetable export, in file order --------
 SCHEDULE_EXPORT_COLUMNS = [
     "Id", "Start", "End", "Updated", "UpdatedBy", "Status", "ReasonTeacher", "ReasonRoom",
     "InternExtern", "Department", "User", "CoordinationService", "ContactPerson",
     "WorkFormCourse", "WorkFormExam", "WorkFormEvaluation", "LearningEnvironment",
     "ExamEnvironment", "EducationActivity", "MobileEquipment", "Classgroups", "TeacherIds",
-    "OlodPointers", "Rooms", "TrajectoryPart", "GroupHogent", "Person", "Student", "Invigilator",
+    "OlodPointers", "Rooms", "TrajectoryPart", "Person", "Student", "Invigilator",
 ]
 # columns a formatted lecture does not carry
 SCHEDULE_DROP_COLUMNS = [
     "Updated", "UpdatedBy", "Status", "ReasonTeacher", "ReasonRoom", "InternExtern", "Department",
-    "User", "CoordinationService", "ContactPerson", "MobileEquipment", "GroupHogent", "Person",
+    "User", "CoordinationService", "ContactPerson", "MobileEquipment", "Person",
     "Student", "Invigilator",
 ]
 SCHEDULE_REQUIRED = ["Id", "Start", "End", "OlodPointers", "Rooms", "Classgroups"]

@@ -16,9 +16,9 @@ def schedule_exports(spark: SparkSession, path: str, columns: list[str] | None =
     Lines are split on the separator of their own file (``;``, or ``,`` where the header
     holds no ``;``), without quoting.  Lines with too many fields are dropped, short
     lines are filled with nulls, empty fields are null.  Columns go by the header of the
-    file, so files may order or omit them.
+    file, so files may order or omit them.  Without ``columns`` all columns of all headers
+    are read; only the distinct headers, a handful, come to the driver for that.
     """
-    names = columns or schemas.SCHEDULE_EXPORT_COLUMNS
     lines = spark.read.text(path).select(
         F.regexp_replace("value", "^\\ufeff|\\r$", "").alias("line"),
         F.col("_metadata.file_path").alias("file"),
@@ -32,6 +32,10 @@ def schedule_exports(spark: SparkSession, path: str, columns: list[str] | None =
     headers = headers.withColumn(
         "names", F.transform(F.split("header", F.col("sep")), lambda n: F.trim(F.replace(n, F.lit('"'), F.lit(""))))
     )
+    names = columns
+    if names is None:
+        shapes = [r.names for r in headers.select("names").distinct().collect()]
+        names = list(dict.fromkeys(n for shape in sorted(shapes, key=lambda s: (-len(s), s)) for n in shape if n))
     rows = lines.where(F.col("line") != "").join(headers, "file").where(F.col("line") != F.col("header"))
     rows = rows.withColumn("fields", F.split("line", F.col("sep"))).where(F.size("fields") <= F.size("names"))
 

@@ -13,10 +13,25 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", mode: str = "error") ->
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    writer = df.write.mode("append")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        clustered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("append").parquet(path)
+    return path
+
+
+def clustered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a partition value side by side, so a task writes few files.
+
+    A rebalance, not a repartition: Spark merges small values and splits large ones.
+    """
+    return df.hint("rebalance", *[F.col(k) for k in keys])
+
+
+def replace_partitions(df: DataFrame, path: str, keys: list[str]) -> str:
+    """Overwrite the partitions that occur in ``df`` and no other."""
+    writer = clustered(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
     return path
 
 

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rollcall import schemas
 from rollcall.operators.joins import only_new
 from rollcall.plans import loads, presence
-from rollcall.sources.sinks import append
+from rollcall.sources.sinks import append, replace_partitions
 
 WIFI_KEY = ["DateKey", "TimeKey", "UserKey"]
 
@@ -93,11 +93,6 @@ def ingest(batch: DataFrame, tables: FeedTables) -> list[int]:
         rows.unpersist()
 
 
-def replace_dates(df: DataFrame, path: str) -> None:
-    """Overwrite the date partitions that occur in ``df`` and no other."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("DateKey").parquet(path)
-
-
 def refresh_attendance(
     tables: FeedTables,
     lectures: DataFrame,
@@ -112,8 +107,9 @@ def refresh_attendance(
     wifi = read_table(spark, tables.wifi, schemas.FACT_WIFI).where(F.col("DateKey").isin(dates))
     users = read_table(spark, tables.users, schemas.DIM_USER)
     due = lectures.where(F.col("DateKey").isin(dates))
-    replace_dates(
-        presence.refresh_attendance(due, wifi, bridge, users, subgroups, now, grace_minutes), tables.attendance
+    replace_partitions(
+        presence.refresh_attendance(due, wifi, bridge, users, subgroups, now, grace_minutes),
+        tables.attendance, ["DateKey"],
     )
 
 
@@ -121,7 +117,7 @@ def refresh_presence(tables: FeedTables, bridge: DataFrame, subgroups: DataFrame
     """Distinct users per time step and subgroup for the given dates."""
     spark = bridge.sparkSession
     wifi = read_table(spark, tables.wifi, schemas.FACT_WIFI).where(F.col("DateKey").isin(dates))
-    replace_dates(presence.presence_by_minute(wifi, bridge, subgroups), tables.presence)
+    replace_partitions(presence.presence_by_minute(wifi, bridge, subgroups), tables.presence, ["DateKey"])
 
 
 def start_feed(
