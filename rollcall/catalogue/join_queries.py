@@ -112,7 +112,7 @@ def jn_12(v):
 SELECT DISTINCT f.SubgroupKey, f.DateKey, f.FromTimeKey, f.UntilTimeKey, w.UserKey FROM fact_base f JOIN bridge b ON b.SubgroupKey = f.SubgroupKey
 JOIN fact_wifi w ON w.UserKey = b.UserKey AND w.DateKey = f.DateKey AND {secs('w.TimeKey')} BETWEEN {secs('f.FromTimeKey')} AND {secs('f.UntilTimeKey')}""")
 def jn_13(v):
-    return presence.window_users(v.fact_base, v.wifi, v.bridge)
+    return presence.window_users(presence.time_windows(v.fact_base), v.wifi, v.bridge)
 
 
 @query("jn_14_bridge_join", """

@@ -65,49 +65,83 @@ def bounded_sessions(
     )
 
 
-def chunk_tails(df: DataFrame, group: list[str], chunk: list[str], order: list[str], value: str, n: int) -> DataFrame:
-    """Per (group, chunk) the last ``n`` values of the chunks before it, oldest first."""
-    backwards = Window.partitionBy(*group, *chunk).orderBy(*[F.desc(c) for c in order])
+def split_points(df: DataFrame, columns: list[str], rows_per_task: int = 1_000_000, most: int = 256) -> list[tuple]:
+    """Values that cut a table into ranges of about ``rows_per_task`` rows, none if it is smaller.
+
+    A sample by row digest, the same on every run, comes to the driver: 32 values per
+    range, and at most ``most`` ranges.  Only the places of the cuts depend on it.
+    """
+    ranges = min(math.ceil(df.count() / rows_per_task), most)
+    if ranges <= 1:
+        return []
+    keys = df.select(*columns, F.xxhash64(*df.columns).alias("_digest")).dropna(subset=columns)
+    values = sorted(tuple(r[c] for c in columns) for r in keys.orderBy("_digest").limit(ranges * 32).collect())
+    return sorted({values[i * len(values) // ranges] for i in range(1, ranges)})
+
+
+def range_number(df: DataFrame, columns: list[str], cuts: list[tuple]) -> Column:
+    """How many cuts lie at or below the row: a range number that keeps the order."""
+    kinds = [df.schema[c].dataType for c in columns]
+
+    def point(cut: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(cut, kinds, columns)])
+
+    row = F.struct(*columns)
+    return F.size(F.filter(F.array(*[point(c) for c in cuts]), lambda c: c <= row))
+
+
+def _mean_before(df: DataFrame, group: list[str], order: list[str], value: str, n: int, out: str) -> DataFrame:
+    return df.withColumn(out, F.avg(value).over(Window.partitionBy(*group).orderBy(*order).rowsBetween(-n, -1)))
+
+
+def _range_tails(rows: DataFrame, group: list[str], order: list[str], value: str, n: int) -> DataFrame:
+    """Per (group, range) the last ``n`` values of the ranges before it, oldest first."""
+    backwards = Window.partitionBy(*group, "_range").orderBy(*[F.desc(c) for c in order])
     tails = (
-        df.select(*dict.fromkeys([*group, *chunk, *order, value]))
+        rows.select(*dict.fromkeys([*group, "_range", *order, value]))
         .withColumn("_back", F.row_number().over(backwards))
         .where(F.col("_back") <= n)
-        .groupBy(*group, *chunk)
+        .groupBy(*group, "_range")
         .agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("p"), F.col(value).alias("v")))).alias("_t"))
         .withColumn("_t", F.transform("_t", lambda x: x["v"]))
     )
-    # every chunk has a row, so n chunks back are enough for n rows
-    chunks = Window.partitionBy(*group).orderBy(*chunk).rowsBetween(-n, -1)
-    return tails.select(*group, *chunk, F.flatten(F.collect_list("_t").over(chunks)).alias("_halo"))
+    # every listed range has a row, so n ranges back are enough for n rows
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(-n, -1)
+    return tails.select(*group, "_range", F.flatten(F.collect_list("_t").over(before)).alias("_halo"))
 
 
 def lagged_mean(
     df: DataFrame,
     group: list[str],
-    chunk: list[str],
     order: list[str],
     value: str,
     n: int,
     out: str,
+    cuts: list[tuple] = (),
     rows: DataFrame | None = None,
 ) -> DataFrame:
     """Mean of the ``n`` rows before the current one, null on the first row of a group.
 
-    ``chunk`` is a leading part of ``order``.  Windows run per (group, chunk), so a
-    group with a third of the table is spread over its chunks; the first ``n`` rows of
-    a chunk take what they miss from the last rows of the chunks before it.  ``rows``
-    is the table to take those from; give the original one when several lagged columns
-    are added in a row, so that the earlier steps are not run again.
+    ``cuts`` are split points of leading columns of ``order``, see ``split_points``.
+    With them windows run per (group, range), so a group with a third of the table is
+    spread over the ranges; the first ``n`` rows of a range take what they miss from the
+    last rows of the ranges before it.  ``rows`` is the table to take those from; give
+    the original one when several lagged columns are added in a row, so that the earlier
+    steps are not run again.
     """
-    inside = Window.partitionBy(*group, *chunk).orderBy(*order)
+    if not cuts:
+        return _mean_before(df, group, order, value, n, out)
+    lead = order[: len(cuts[0])]
+    source = df if rows is None else rows
+    inside = Window.partitionBy(*group, "_range").orderBy(*order)
     frame = inside.rowsBetween(-n, -1)
-    base = df.withColumns({
+    base = df.withColumn("_range", range_number(df, lead, cuts)).withColumns({
         "_rn": F.row_number().over(inside),
         "_sum": F.coalesce(F.sum(value).over(frame), F.lit(0.0)),
         "_cnt": F.count(value).over(frame),
     })
-    halo = chunk_tails(df if rows is None else rows, group, chunk, order, value, n)
-    joined = base.join(halo, [*group, *chunk], "left")
+    halo = _range_tails(source.withColumn("_range", range_number(source, lead, cuts)), group, order, value, n)
+    joined = base.join(halo, [*group, "_range"], "left")
     need = F.greatest(F.lit(n) - (F.col("_rn") - 1), F.lit(0))
     take = F.least(need, F.size("_halo"))
     part = F.when(take > 0, F.slice("_halo", F.size("_halo") - take + 1, take)).otherwise(
@@ -116,7 +150,7 @@ def lagged_mean(
     filled = F.filter(part, lambda x: x.isNotNull())
     total = F.col("_sum") + F.aggregate(filled, F.lit(0.0), lambda a, x: a + x)
     count = F.col("_cnt") + F.size(filled)
-    return joined.withColumn(out, F.when(count > 0, total / count)).drop("_rn", "_sum", "_cnt", "_halo")
+    return joined.withColumn(out, F.when(count > 0, total / count)).drop("_range", "_rn", "_sum", "_cnt", "_halo")
 
 
 def with_share(counts: DataFrame, key: list[str], count: str) -> DataFrame:
@@ -152,19 +186,14 @@ def number_rows(df: DataFrame, key: str, out: str, start: int = 1, rows_per_task
     """Dense numbers from ``start`` in key order; keys must be distinct.
 
     Up to ``rows_per_task`` rows are numbered by one window.  Above it the keys are cut
-    into ranges at sampled split points, numbered inside each range, and shifted by the
-    sizes of the ranges before it.  Only the split points pass through the driver.
+    into ranges, numbered inside each range, and shifted by the sizes of the ranges
+    before it.
     """
-    ranges = math.ceil(df.count() / rows_per_task)
-    if ranges <= 1:
+    cuts = split_points(df, [key], rows_per_task, most=1024)
+    if not cuts:
         w = Window.partitionBy(F.lit(0)).orderBy(key)
         return df.withColumn(out, (F.row_number().over(w) + (start - 1)).cast("bigint"))
-    sample = df.select(key).orderBy(F.xxhash64(key)).limit(ranges * 32).collect()
-    values = sorted(r[0] for r in sample)
-    cuts = [values[i * len(values) // ranges] for i in range(1, ranges)]
-    column = F.col(key)
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= column))
-    cut = df.withColumn("_range", part)
+    cut = df.withColumn("_range", range_number(df, [key], cuts))
     sizes = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))

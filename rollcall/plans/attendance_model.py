@@ -8,7 +8,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.functions import clock
-from rollcall.operators.windows import lagged_mean
+from rollcall.operators.windows import lagged_mean, split_points
 
 # --- fixed values: inputs of the model -------------------------------------------------
 NUMERIC = [
@@ -32,18 +32,18 @@ BY_CLASS = ["ClassKey", "DateKey", "FromTimeKey", *ROW]
 BY_DATE = ["DateKey", "FromTimeKey", "ClassKey", *ROW]
 
 
-def lagged_features(rows: DataFrame, chronological: bool = False) -> DataFrame:
+def lagged_features(rows: DataFrame, chronological: bool = False, rows_per_task: int = 1_000_000) -> DataFrame:
     """Means of earlier rates per class (5), subgroup (5) and weekday (10).
 
-    Rows are ordered by class first unless ``chronological`` is set.  The chunks are a
-    leading part of that order, so no window covers more than one class on one day.
+    Rows are ordered by class first unless ``chronological`` is set.  There are only
+    seven weekdays, so a large table is cut into ranges of that order.  The rows are read
+    several times: hand in a stored table.
     """
     order = BY_DATE if chronological else BY_CLASS
-    chunk = ["DateKey"] if chronological else ["ClassKey", "DateKey"]
-    in_class = [c for c in order if c != "ClassKey"]
-    out = lagged_mean(rows, ["ClassKey"], ["DateKey"], in_class, TARGET, 5, "avg_attendance_class_5", rows)
-    out = lagged_mean(out, ["SubgroupKey"], chunk, order, TARGET, 5, "avg_attendance_subgroup_5", rows)
-    return lagged_mean(out, ["Weekday"], chunk, order, TARGET, 10, "avg_attendance_weekday", rows)
+    cuts = split_points(rows, order[:2], rows_per_task)
+    out = lagged_mean(rows, ["ClassKey"], order, TARGET, 5, "avg_attendance_class_5", cuts, rows)
+    out = lagged_mean(out, ["SubgroupKey"], order, TARGET, 5, "avg_attendance_subgroup_5", cuts, rows)
+    return lagged_mean(out, ["Weekday"], order, TARGET, 10, "avg_attendance_weekday", cuts, rows)
 
 
 def features(facts: DataFrame, non_group_classes: DataFrame, chronological: bool = False) -> DataFrame:

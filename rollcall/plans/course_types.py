@@ -200,7 +200,7 @@ def lecture_results(schedule: DataFrame, wifi: DataFrame, bridge: DataFrame) ->
         F.array_sort(F.collect_set("SubgroupKey")).alias("_set"),
     ).withColumn("_sig", presence.signature("_set"))
     expected = presence.expected_by_set(lectures, bridge, "_total")
-    in_window = presence.window_users(schedule, wifi, bridge)
+    in_window = presence.window_users(presence.time_windows(schedule), wifi, bridge)
     present = (
         schedule.select("LectureID", *presence.WINDOW)
         .join(in_window, presence.WINDOW)

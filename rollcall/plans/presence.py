@@ -18,15 +18,18 @@ def wifi_by_subgroup(wifi: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
-def window_users(
-    windows: DataFrame, wifi: DataFrame, bridge: DataFrame, grace_minutes: int = 0
-) -> DataFrame:
-    """Distinct users of a subgroup seen inside each distinct (subgroup, date, from, until).
+def time_windows(lectures: DataFrame) -> DataFrame:
+    """Distinct (subgroup, date, from, until)."""
+    return lectures.select(*WINDOW).distinct()
+
+
+def window_users(windows: DataFrame, wifi: DataFrame, bridge: DataFrame, grace_minutes: int = 0) -> DataFrame:
+    """Distinct users of a subgroup seen inside each of the distinct time windows.
 
     Lectures that share a subgroup and a time window share their head count, so the
     interval join runs over distinct windows and never over fact rows.
     """
-    spans = windows.select(*WINDOW).distinct().withColumns({
+    spans = windows.withColumns({
         "_from": clock.key_seconds("FromTimeKey") + F.lit(60 * grace_minutes),
         "_until": clock.key_seconds("UntilTimeKey"),
     })
@@ -39,7 +42,7 @@ def user_counts(
     fact: DataFrame, wifi: DataFrame, bridge: DataFrame, subgroups: DataFrame, grace_minutes: int = 15
 ) -> DataFrame:
     """Distinct users per time window; the first minutes of a lecture do not count."""
-    known = fact.join(subgroups.select("SubgroupKey"), "SubgroupKey", "left_semi")
+    known = time_windows(fact).join(subgroups.select("SubgroupKey"), "SubgroupKey", "left_semi")
     users = window_users(known, wifi, bridge, grace_minutes)
     return users.groupBy(*WINDOW).agg(F.count(F.lit(1)).alias("_present"))
 

@@ -46,10 +46,12 @@ def test_lagged_mean_equals_pandas_on_a_hot_group(spark):
     data = [(g[i], r.randrange(40), i, r.choice([None, *range(10)])) for i in range(3000)]
     df = spark.createDataFrame(data, "g int, c int, i int, v int").withColumn("v", F.col("v").cast("double"))
     pdf = pd.DataFrame(data, columns=["g", "c", "i", "v"]).sort_values(["c", "i"])
-    for n in (1, 5, 10):
+    cuts = windows.split_points(df, ["c", "i"], rows_per_task=100)
+    assert len(cuts) > 20
+    for n, points in ((1, cuts), (5, cuts), (10, cuts), (5, [])):
         want = pdf.groupby("g")["v"].transform(lambda x: x.shift().rolling(n, min_periods=1).mean())
         want = {i: None if pd.isna(w) else round(w, 9) for i, w in zip(pdf["i"], want)}
-        out = windows.lagged_mean(df, ["g"], ["c"], ["c", "i"], "v", n, "m")
+        out = windows.lagged_mean(df, ["g"], ["c", "i"], "v", n, "m", points)
         got = {x.i: None if x.m is None else round(x.m, 9) for x in out.collect()}
         assert got == want
 
