@@ -11,6 +11,7 @@ from rollcall.operators import joins
 from rollcall.operators.aggregates import value_counts
 from rollcall.plans import course_types, lectures, loads, presence, programs, sessions, slots
 from rollcall.schemas import ACTIVITY_COLUMNS
+from rollcall.sources.generators import fixed_table
 
 
 @query("jn_01_star_join", f"""
@@ -183,7 +184,7 @@ SELECT d.name AS NameDayDutch, {r9('avg(AttendanceRate)')} AS mean FROM (VALUES
 JOIN facts_wide f ON f.NameDayDutch = d.name GROUP BY 1""")
 def jn_21(v):
     days = [*clock.DAYS_DUTCH[:5], "Feestdag"]
-    spine = v.spark.createDataFrame([(d,) for d in days], "NameDayDutch string")
+    spine = fixed_table(v.spark, ["NameDayDutch"], [(d,) for d in days])
     means = v.facts_wide.groupBy("NameDayDutch").agg(F.avg("AttendanceRate").alias("mean"))
     return joins.align_to(spine, means, ["NameDayDutch"], ["mean"])
 

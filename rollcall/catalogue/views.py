@@ -138,12 +138,19 @@ class Views:
         )
 
     @cached_property
-    def fact(self) -> DataFrame:
-        """Lectures with head counts, rates and occupancy as of NOW."""
-        counted = presence.refresh_attendance(
-            self.fact_base, self.wifi, self.bridge, self.users, self.subgroups, self.now
+    def counted(self) -> DataFrame:
+        """Lectures with head counts and rates as of NOW."""
+        counts = stored(
+            presence.user_counts(self.fact_base, self.wifi, self.bridge, self.subgroups), "window-counts"
+        )
+        return presence.refresh_attendance(
+            self.fact_base, self.wifi, self.bridge, self.users, self.subgroups, self.now, counts=counts
         )
-        return presence.refresh_occupancy(counted, self.rooms)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        """Counted lectures with occupancy."""
+        return presence.refresh_occupancy(self.counted, self.rooms)
 
     @cached_property
     def facts_wide(self) -> DataFrame:

@@ -67,13 +67,18 @@ def refresh_attendance(
     subgroups: DataFrame,
     now: Column,
     grace_minutes: int = 15,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows with new UserCount, TotalStudents and AttendanceRate.
 
     The count is null until the lecture is over, then 0 when nobody was seen.
+    ``counts`` are head counts per time window from ``user_counts``.  Stored in a table
+    their size is known when the join is planned, and the facts are only shuffled when
+    the counts are too large to broadcast.
     """
     keys = [c for c in fact.columns if c not in ("UserCount", "TotalStudents", "AttendanceRate")]
-    counts = user_counts(fact, wifi, bridge, subgroups, grace_minutes)
+    if counts is None:
+        counts = user_counts(fact, wifi, bridge, subgroups, grace_minutes)
     totals = roster_sizes(bridge, users, subgroups).withColumnRenamed("TotalStudents", "_total")
     over = clock.finished("DateKey", "UntilTimeKey", now)
     filled = fact.select(*keys).join(counts, WINDOW, "left").join(totals, "SubgroupKey", "left")

@@ -62,12 +62,27 @@ def activity_rows() -> list[tuple]:
     ]
 
 
+def fixed_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
+    """A literal table.  Its size is known to the planner, unlike that of a table built
+    from Python objects, so joins with it need no shuffle."""
+
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        if isinstance(value, bool):
+            return str(value).lower()
+        return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "\\'") + "'"
+
+    lines = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {lines} AS t({', '.join(columns)})")
+
+
 def dim_activity(spark: SparkSession) -> DataFrame:
-    ddl = (
-        "ActivityKey int, CanonicalActivity string, ActivityDomain string, ActivityGroup string,"
-        " SourceColumn string, SourceValue string, " + ", ".join(f"{f} boolean" for f in ACTIVITY_FLAGS)
-    )
-    return spark.createDataFrame(activity_rows(), ddl)
+    columns = [
+        "ActivityKey", "CanonicalActivity", "ActivityDomain", "ActivityGroup", "SourceColumn", "SourceValue",
+        *ACTIVITY_FLAGS,
+    ]
+    return fixed_table(spark, columns, activity_rows())
 
 
 def calendar(days: DataFrame, first: str | Column, last: str | Column) -> DataFrame:
