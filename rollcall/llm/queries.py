@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import mixing, tokens, warc
+from rollcall.llm import mixing, quality, tokens, toxicity, urls, warc
 
 
 def _table(name: str, run: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: run(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def _labelled(name: str, run: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    read = lambda spark, sf_dir, table: spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return lambda spark, sf_dir: run(read(spark, sf_dir, name), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": _table("documents", tokens.op1_sentencepiece),
+    "op3_toxicity": _labelled("documents", toxicity.op3_toxicity),
     "op4_warc": _table("pages", warc.op4_warc),
     "op5_mixing": _table("documents", mixing.op5_mixing),
+    "op7_quality_rules": _table("documents", quality.op7_quality_rules),
+    "op8_url_filters": _labelled("pages", urls.op8_url_filters),
 }
 
 SQL: dict[str, str] = {
