@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import mixing, quality, tokens, toxicity, urls, warc
+from rollcall.llm import fingerprints, mixing, quality, tokens, toxicity, urls, warc
 
 
 def _table(name: str, run: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -20,6 +20,7 @@ def _labelled(name: str, run: Callable[[DataFrame, DataFrame], DataFrame]) -> Ca
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": _table("documents", tokens.op1_sentencepiece),
+    "op2_fingerprints": _table("documents", fingerprints.op2_fingerprints),
     "op3_toxicity": _labelled("documents", toxicity.op3_toxicity),
     "op4_warc": _table("pages", warc.op4_warc),
     "op5_mixing": _table("documents", mixing.op5_mixing),
