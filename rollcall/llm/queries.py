@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import fingerprints, mixing, quality, tokens, toxicity, urls, warc
+from rollcall.llm import fingerprints, lines, mixing, quality, tokens, toxicity, urls, warc
 
 
 def _table(name: str, run: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": _labelled("documents", toxicity.op3_toxicity),
     "op4_warc": _table("pages", warc.op4_warc),
     "op5_mixing": _table("documents", mixing.op5_mixing),
+    "op6_line_dedup": _table("documents", lines.op6_line_dedup),
     "op7_quality_rules": _table("documents", quality.op7_quality_rules),
     "op8_url_filters": _labelled("pages", urls.op8_url_filters),
 }
@@ -31,4 +32,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op4_warc": warc.SQL,
     "op5_mixing": mixing.SQL,
+    "op6_line_dedup": lines.SQL,
 }
