@@ -16,7 +16,7 @@ CRLF = b"\r\n"
 #: payloads below this size are always written whole
 LEAST_REVISIT = 100
 ARCHIVE_BYTES = 256 << 20
-BLOCK = 1 << 20
+BLOCK = 1 << 16
 
 
 def _open(path: str, mode: str):
@@ -181,7 +181,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         record = parse(member)
                         found.append(record)
                         held, seen = held + record["payload_bytes"], seen + 1
-                        if held >= 4 * BLOCK or len(found) >= 5000:
+                        if held >= 64 * BLOCK or len(found) >= 5000:
                             yield pd.DataFrame(found, columns=columns)
                             found, held = [], 0
                 if seen != expected:
@@ -189,7 +189,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 if found:
                     yield pd.DataFrame(found, columns=columns)
 
-    spread = archives.select("path", "records").repartition("path")
+    # a task for each archive; adaptive execution would put all these small rows into one
+    spread = archives.select("path", "records").repartition(max(1, archives.count()))
     return spread.mapInPandas(read, "record string, url string, record_type string, refers_to string, payload_bytes long, "
                                     "payload_digest string, payload binary")
 
