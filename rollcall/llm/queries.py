@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import fingerprints, jaccard, lines, mixing, quality, tokens, toxicity, urls, warc
+from rollcall.llm import fingerprints, jaccard, lines, lm, mixing, quality, tokens, toxicity, urls, warc
 
 
 def _table(name: str, run: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": _table("documents", lines.op6_line_dedup),
     "op7_quality_rules": _table("documents", quality.op7_quality_rules),
     "op8_url_filters": _labelled("pages", urls.op8_url_filters),
+    "op9_class_model": _table("documents", lm.op9_class_model),
     "op10_jaccard_join": _table("documents", jaccard.op10_jaccard_join),
 }
 

@@ -26,15 +26,20 @@ def _power_table(size: int) -> list[np.ndarray]:
     return _powers
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A hash for each word: A-Z lower-cased, words end at the white space 9-13 and 32 only."""
+def word_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with A-Z lower-cased, where each word starts and ends, and its hash; white space is 9-13 and 32 only."""
     data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
     inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))
     starts, ends = edges[::2], edges[1::2]
     up, down = _power_table(len(data) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)])])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return data, starts, ends, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash for each word of a text."""
+    return word_spans(text)[3]
 
 
 def shingle_set(text: str, n: int) -> np.ndarray:
