@@ -20,11 +20,11 @@ BLOCK = 1 << 16
 
 
 def _open(path: str, mode: str):
-    """A stream in any store that Arrow knows by its URI."""
+    """A plain stream in any store that Arrow knows by its URI; by itself Arrow would pack what is named .gz once more."""
     from pyarrow import fs
 
     store, place = fs.FileSystem.from_uri(path)
-    return store.open_output_stream(place) if mode == "w" else store.open_input_stream(place)
+    return store.open_output_stream(place, compression=None) if mode == "w" else store.open_input_stream(place, compression=None)
 
 
 def _folder(path: str) -> None:
