@@ -132,7 +132,8 @@ def estimate(rows: DataFrame) -> DataFrame:
     come from bounded counters, and both combine before any shuffle, so a group may be any share of the table.
     """
     p = len(NAMES)
-    medians = rows.groupBy("level", "group").agg(*[F.percentile(f"q{i}", 0.5).alias(f"c{i}") for i in range(p)])
+    # a row for each group, stored: with its size known the planner sends it to the rows, and no group's rows have to meet
+    medians = stored(rows.groupBy("level", "group").agg(*[F.percentile(f"q{i}", 0.5).alias(f"c{i}") for i in range(p)]), "mcd-medians")
     spread = rows.join(medians, ["level", "group"]).groupBy("level", "group").agg(
         *[F.first(f"c{i}").alias(f"c{i}") for i in range(p)],
         *[F.percentile(F.abs(F.col(f"q{i}") - F.col(f"c{i}")), 0.5).alias(f"a{i}") for i in range(p)])
@@ -142,7 +143,7 @@ def estimate(rows: DataFrame) -> DataFrame:
     shapes = stored(shapes, "mcd-start")
     for _ in range(STEPS):
         near = measured(rows, shapes)
-        cut = near.groupBy("level", "group").agg(F.percentile("step", CORE).alias("cut"))
+        cut = stored(near.groupBy("level", "group").agg(F.percentile("step", CORE).alias("cut")), "mcd-cut")
         core = near.drop(*[c for c in shapes.columns if c not in ("level", "group")]).join(cut, ["level", "group"]).where("step <= cut")
         shapes = stored(with_factor(sums(core)), "mcd-step")
     reach = measured(rows, shapes).groupBy("level", "group").agg(F.pow(F.lit(2.0), F.percentile("step", CORE) / 64).alias("core"))
