@@ -266,7 +266,7 @@ SELECT LectureID, SubgroupKey, {r9(_lag_sql('ClassKey', 5))} AS avg_attendance_c
        {r9(_lag_sql('Weekday', 10))} AS avg_attendance_weekday FROM facts_wide WHERE AttendanceRate <> 0""")
 def wn_01(v):
     columns = ["LectureID", "SubgroupKey", "ClassKey", "DateKey", "FromTimeKey", "Weekday", "AttendanceRate"]
-    rows = stored(v.facts_wide.where("AttendanceRate <> 0").select(*columns), "facts")
+    rows = v.facts_wide.where("AttendanceRate <> 0").select(*columns)
     return attendance_model.lagged_features(rows).select(
         "LectureID", "SubgroupKey", "avg_attendance_class_5", "avg_attendance_subgroup_5", "avg_attendance_weekday"
     )

@@ -6,13 +6,13 @@ from rollcall.catalogue.registry import query
 from rollcall.catalogue.views import r9, secs
 from rollcall.plans import presence
 
-_OVER = f"(f.DateKey < 20240125 OR (f.DateKey = 20240125 AND {secs('f.UntilTimeKey')} <= 43200))"
+OVER = f"(f.DateKey < 20240125 OR (f.DateKey = 20240125 AND {secs('f.UntilTimeKey')} <= 43200))"
 
 
 DOM_03_SQL = f"""
 SELECT f.LectureID, f.SubgroupKey, f.DateKey, f.FromTimeKey, f.UntilTimeKey, f.ClassKey, f.RoomKey, f.ActivityKey,
-       CASE WHEN {_OVER} THEN coalesce(w.n, 0) END AS UserCount, coalesce(r.TotalStudents, 0) AS TotalStudents,
-       {r9("CASE WHEN coalesce(r.TotalStudents, 0) = 0 THEN 0.0 WHEN " + _OVER + " THEN coalesce(w.n, 0) / CAST(r.TotalStudents AS DOUBLE) END")} AS AttendanceRate
+       CASE WHEN {OVER} THEN coalesce(w.n, 0) END AS UserCount, coalesce(r.TotalStudents, 0) AS TotalStudents,
+       {r9("CASE WHEN coalesce(r.TotalStudents, 0) = 0 THEN 0.0 WHEN " + OVER + " THEN coalesce(w.n, 0) / CAST(r.TotalStudents AS DOUBLE) END")} AS AttendanceRate
 FROM fact_base f
 LEFT JOIN (SELECT l.LectureID, l.SubgroupKey, count(DISTINCT c.UserKey) AS n
            FROM fact_base l JOIN dim_subgroup s ON s.SubgroupKey = l.SubgroupKey

@@ -560,9 +560,9 @@ def dom_27(v):
 SELECT LectureID, SubgroupCode, RoomName, ClassName, UserCount, TotalStudents, {r9('AttendanceRate')} AS AttendanceRate FROM facts_wide
 WHERE DateKey = 20240110 AND FromTimeKey = 103000 AND UntilTimeKey = 123000 AND ClassName LIKE '%ring'""")
 def dom_28(v):
-    return v.facts_wide.where(
-        "DateKey = 20240110 AND FromTimeKey = 103000 AND UntilTimeKey = 123000 AND ClassName LIKE '%ring'"
-    ).select("LectureID", "SubgroupCode", "RoomName", "ClassName", "UserCount", "TotalStudents", "AttendanceRate")
+    # the date and time choose the lectures before heads are counted
+    slot = "DateKey = 20240110 AND FromTimeKey = 103000 AND UntilTimeKey = 123000"
+    return v.lectures_wide(v.fact_base.where(slot)).where("ClassName LIKE '%ring'").select("LectureID", "SubgroupCode", "RoomName", "ClassName", "UserCount", "TotalStudents", "AttendanceRate")
 
 
 @query("dom_28_spot_check_users", f"""

@@ -119,15 +119,15 @@ def jn_13(v):
 @query("jn_14_bridge_join", """
 SELECT b.UserKey, count(DISTINCT f.LectureID) AS Lectures FROM bridge b JOIN fact_base f ON f.SubgroupKey = b.SubgroupKey GROUP BY 1""")
 def jn_14(v):
-    # lectures of a user through cohorts: users with the same subgroups share the count
-    pairs, _ = presence.cohorts(v.bridge)
-    members = v.bridge.groupBy("UserKey").agg(F.array_sort(F.collect_set("SubgroupKey")).alias("_s")).withColumn(
-        "Cohort", F.array_join(F.transform("_s", lambda s: s.cast("string")), ",")
+    # lectures with one set of subgroups are counted once, and their number reaches users through cohorts
+    sets = v.fact_base.groupBy("LectureID").agg(F.array_sort(F.collect_set("SubgroupKey")).alias("_set"))
+    sizes = sets.withColumn("_sig", presence.signature("_set")).groupBy("_sig").agg(
+        F.any_value("_set").alias("_set"), F.count(F.lit(1)).alias("_n")
     )
-    lectures_of = pairs.join(v.fact_base.select("LectureID", "SubgroupKey"), "SubgroupKey").groupBy("Cohort").agg(
-        F.count_distinct("LectureID").alias("Lectures")
+    lectures_of = presence.touched_cohorts(sizes, v.bridge).join(sizes.select("_sig", "_n"), "_sig").groupBy("Cohort").agg(
+        F.sum("_n").alias("Lectures")
     )
-    return members.join(lectures_of, "Cohort").select("UserKey", "Lectures")
+    return presence.user_cohorts(v.bridge).join(lectures_of, "Cohort").select("UserKey", "Lectures")
 
 
 @query("jn_15_parameter_row", "SELECT LectureID, SubgroupKey FROM fact_base WHERE DateKey < (SELECT CAST(strftime(max(ts), '%Y%m%d') AS INTEGER) FROM events)")

@@ -78,9 +78,9 @@ def sx_12(v):
     return course_list(v).select("code", text.plain_text("credits", *loads.CREDIT_WORDS).alias("credits"))
 
 
-@query("sx_13_whole_word", "SELECT doc_id, regexp_matches(lower(text), '\\bthe\\b') AS HasWord FROM documents WHERE lang = 'en'")
+@query("sx_13_whole_word", r"SELECT doc_id, regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])the([^\p{L}\p{N}_]|$)') AS HasWord FROM documents")
 def sx_13(v):
-    return v.raw("documents").where("lang = 'en'").select("doc_id", text.whole_word("text", "the").alias("HasWord"))
+    return v.raw("documents").select("doc_id", text.whole_word("text", "the").alias("HasWord"))
 
 
 _CODES = """SELECT c_custkey AS k, CASE c_mktsegment WHEN 'BUILDING' THEN 'pba-tin/2A' WHEN 'AUTOMOBILE' THEN 'PBA-SOLO/1' WHEN 'MACHINERY' THEN 'ic it'

@@ -71,7 +71,7 @@ def src_04(v):
 @query("src_05_parquet_folder", "SELECT username, count(*) AS Rows FROM wifi_feed WHERE ssid = 'eduroam' GROUP BY 1")
 def src_05(v):
     path = scratch_path(v.spark, "feed")
-    v.wifi_feed.repartition(4, "username").write.parquet(path)
+    v.wifi_feed.write.parquet(path)
     folder = files.parquet_folder(v.spark, path).where("ssid = 'eduroam'")
     return value_counts(folder, ["username"])
 
@@ -290,7 +290,7 @@ def snk_06(v):
 @query("snk_07_batch_snapshots", "SELECT username, ssid, count(*) AS Rows FROM wifi_feed GROUP BY ALL")
 def snk_07(v):
     landed, out, check = (scratch_path(v.spark, n) for n in ("landed", "snapshots", "snapshots-checkpoint"))
-    v.wifi_feed.repartition(3, "username").write.parquet(landed)
+    v.wifi_feed.write.parquet(landed)
     polls = stream.read_feed(v.spark, landed, files_per_batch=1)
     write = lambda batch, epoch: sinks.snapshot(batch, out, f"{epoch:06d}")
     polls.writeStream.foreachBatch(lambda b, e: (write(b, e), None)[1]).option("checkpointLocation", check).trigger(

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollcall.catalogue.attendance_queries import DOM_03_SQL
+from rollcall.catalogue.attendance_queries import DOM_03_SQL, OVER
 from rollcall.catalogue.registry import query
-from rollcall.catalogue.views import CTES
+from rollcall.catalogue.views import CTES, r9
+from rollcall.functions import clock
 from rollcall.plans import loads
 from rollcall.session import scratch_path
 from rollcall.sources.sinks import append
@@ -18,10 +19,10 @@ FROM (SELECT username, make_timestamp(CAST(round_even(epoch_us(timezone('Europe/
 _KEYS = "SELECT UserName, DateKey, TimeKey FROM feed_keys"
 
 
-def _landed(v, copies: int = 1) -> str:
+def _landed(v, copies: int = 1, rows=None) -> str:
     path = scratch_path(v.spark, "landed")
     for _ in range(copies):
-        v.wifi_feed.repartition(3, "username").write.mode("append").parquet(path)
+        (v.wifi_feed if rows is None else rows).write.mode("append").parquet(path)
     return path
 
 
@@ -32,8 +33,8 @@ def _tables(v, users=None) -> stream.FeedTables:
     return tables
 
 
-def _run(v, tables, copies: int = 1, files_per_batch: int = 2, **options) -> None:
-    landed = stream.read_feed(v.spark, _landed(v, copies), files_per_batch=files_per_batch)
+def _run(v, tables, copies: int = 1, files_per_batch: int = 2, rows=None, **options) -> None:
+    landed = stream.read_feed(v.spark, _landed(v, copies, rows), files_per_batch=files_per_batch)
     stream.start_feed(landed, tables, trigger={"availableNow": True}, **options).awaitTermination()
 
 
@@ -78,11 +79,21 @@ def str_03(v):
     ).select("Users", "Keys", (F.col("_max") - last).alias("Added"))
 
 
-@query("str_04_attendance_refresh", DOM_03_SQL)
+# every fifth date has no connections: its lectures become due and are final without any
+_FEED_DAYS = DOM_03_SQL.replace("c.DateKey = l.DateKey", "c.DateKey = l.DateKey AND c.DateKey % 5 <> 0")
+
+
+@query("str_04_attendance_refresh", f"""
+SELECT x.*, {r9("CASE WHEN Capacity > 0 THEN CAST(UserCount AS DOUBLE) / Capacity END")} AS OccupancyRate
+FROM ({_FEED_DAYS} WHERE f.DateKey % 5 <> 0 OR f.DateKey IN (SELECT f.DateKey FROM fact_base f WHERE {OVER})) x LEFT JOIN dim_room r ON r.RoomKey = x.RoomKey""")
 def str_04(v):
     tables = _tables(v, v.users)
-    refresh = lambda dates: stream.refresh_attendance(tables, v.fact_base, v.bridge, v.subgroups, dates, v.now)
-    _run(v, tables, step_seconds=60, source_timezone=None, after_batch=refresh)
+    day, _ = clock.rounded_keys("timestamp", 60)
+
+    def refresh(dates):
+        stream.refresh_attendance(tables, v.fact_base, v.bridge, v.subgroups, dates, v.now, rooms=v.rooms)
+
+    _run(v, tables, rows=v.wifi_feed.where(day % 5 != 0), step_seconds=60, source_timezone=None, after_batch=refresh)
     return v.spark.read.parquet(tables.attendance)
 
 

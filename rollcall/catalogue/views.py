@@ -137,26 +137,25 @@ class Views:
             (F.substring("o_orderpriority", 1, 1).cast("int") * 7).alias("ActivityKey"),
         )
 
+    def with_counts(self, lectures: DataFrame) -> DataFrame:
+        """Lectures with head counts, rates and occupancy as of NOW."""
+        counted = presence.refresh_attendance(lectures, self.wifi, self.bridge, self.users, self.subgroups, self.now)
+        return presence.refresh_occupancy(counted, self.rooms)
+
     @cached_property
     def counted(self) -> DataFrame:
         """Lectures with head counts and rates as of NOW."""
-        counts = stored(
-            presence.user_counts(self.fact_base, self.wifi, self.bridge, self.subgroups), "window-counts"
-        )
-        return presence.refresh_attendance(
-            self.fact_base, self.wifi, self.bridge, self.users, self.subgroups, self.now, counts=counts
-        )
+        return presence.refresh_attendance(self.fact_base, self.wifi, self.bridge, self.users, self.subgroups, self.now)
 
     @cached_property
     def fact(self) -> DataFrame:
         """Counted lectures with occupancy."""
-        return presence.refresh_occupancy(self.counted, self.rooms)
+        return self.with_counts(self.fact_base)
 
-    @cached_property
-    def facts_wide(self) -> DataFrame:
-        """Finished lectures joined with every dimension."""
+    def lectures_wide(self, lectures: DataFrame) -> DataFrame:
+        """The finished ones of these lectures, counted and joined with every dimension."""
         return (
-            self.fact.where(F.col("AttendanceRate").isNotNull())
+            self.with_counts(lectures).where(F.col("AttendanceRate").isNotNull())
             .join(self.dates, "DateKey")
             .join(self.times.select(F.col("TimeKey").alias("FromTimeKey"), F.col("Hour").alias("FromHour")), "FromTimeKey")
             .join(self.classes, "ClassKey")
@@ -165,6 +164,11 @@ class Views:
             .join(self.rooms.select("RoomKey", F.col("Code").alias("RoomCode"), "RoomName", F.col("Capacity").alias("RoomCapacity")), "RoomKey")
         )
 
+    @cached_property
+    def facts_wide(self) -> DataFrame:
+        """Finished lectures joined with every dimension."""
+        return self.lectures_wide(self.fact_base)
+
     @cached_property
     def schedule(self) -> DataFrame:
         """Lectures with class, subgroup and seconds of the day."""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -115,7 +117,13 @@ def value_map(c: str | Column, mapping: dict, default=None) -> Column:
     return out
 
 
-_NOT_ALNUM = re.compile(r"[^a-z0-9]+")
+_NOT_ALNUM = r"[^a-z0-9]+"
+
+
+@lru_cache(maxsize=1)
+def _marks() -> str:
+    """Pattern of all combining characters."""
+    return "[" + "".join(c for c in map(chr, range(0x300, sys.maxunicode + 1)) if unicodedata.combining(c)) + "]+"
 
 
 @F.pandas_udf(T.StringType())
@@ -123,15 +131,11 @@ def normalise_title(titles: pd.Series) -> pd.Series:
     """Fold accents and case, keep letters and digits, one blank between words.
 
     Compatibility decomposition has no built-in column function, so this is the one
-    Arrow-batched UDF here.  Call it on distinct titles, see ``with_normalised``.
+    Arrow-batched UDF here; each step works on the whole batch.  Call it on distinct
+    titles, see ``with_normalised``.
     """
-
-    def fold(text):
-        base = unicodedata.normalize("NFKD", text)
-        base = "".join(ch for ch in base if not unicodedata.combining(ch))
-        return _NOT_ALNUM.sub(" ", base.lower()).strip()
-
-    return titles.fillna("").map(fold)
+    plain = titles.fillna("").str.normalize("NFKD").str.replace(_marks(), "", regex=True)
+    return plain.str.lower().str.replace(_NOT_ALNUM, " ", regex=True).str.strip()
 
 
 def with_normalised(df, source: str, target: str):

@@ -1,33 +1,78 @@
-"""Grouped statistics and profiles.
-
-Exact percentiles keep one counter per distinct value of a group.  Every column they
-are applied to is a head count or a ratio of two head counts, so the number of distinct
-values is bounded by the roster sizes and not by the number of rows.
-"""
+"""Grouped statistics and profiles."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rollcall.operators.windows import in_ranges, running_before
+
+
+def percentiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """Exact percentiles per group with linear interpolation: the keys and a column per wanted (column, share).
+
+    Equal values are counted first.  The distinct (group, column, value) are sorted in ranges and
+    numbered by running counts, and each percentile picks the values at the two ranks around
+    it, so no task holds the values of a group, whatever their number.  Groups without any
+    value are absent; a column without any value is null.
+    """
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    names = [f"_k{i}" for i in range(len(keys))]
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
+    values = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], stacked.alias("_x"))
+    values = values.select(*names, F.col("_x.column").alias("_column"), F.col("_x.value").alias("_value")).where("_value IS NOT NULL")
+    counted = values.groupBy(*names, "_column", "_value").agg(F.count(F.lit(1)).alias("_times"))
+    group = [*names, "_column"]
+    placed = running_before(in_ranges(counted, [*group, "_value"], "values"), group, ["_value"], "_times", "_before")
+    sizes = counted.groupBy(*group).agg(F.sum("_times").alias("_size"))
+    sizes = sizes.select(*[F.col(g).alias(f"_s{i}") for i, g in enumerate(group)], "_size")
+    same = reduce(lambda a, b: a & b, [placed[g].eqNullSafe(sizes[f"_s{i}"]) for i, g in enumerate(group)])
+    ranked = placed.join(sizes, same)
+
+    def at(column: str, share: float) -> Column:
+        rank = F.lit(share) * (F.col("_size") - 1)
+        pick = lambda r: F.max(F.when((F.col("_column") == column) & (F.col("_before") <= r) & (r < F.col("_before") + F.col("_times")), F.col("_value")))
+        low, high = pick(F.floor(rank)), pick(F.ceil(rank))
+        part = F.max(F.when(F.col("_column") == column, rank - F.floor(rank)))
+        return low + (high - low) * part
+
+    picked = ranked.groupBy(*names).agg(*[at(c, p).alias(n) for n, (c, p) in wanted.items()])
+    return picked.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], *wanted)
+
+
+def with_percentiles(stats: DataFrame, df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """Grouped statistics with percentiles of the same groups; null where a group has no values."""
+    if not keys:  # one row on either side
+        one = with_percentiles(stats.withColumn("_all", F.lit(1)), df.withColumn("_all", F.lit(1)), ["_all"], wanted)
+        return one.drop("_all")
+    found = percentiles(df, keys, wanted).select(*[F.col(k).alias(f"_p{i}") for i, k in enumerate(keys)], *wanted)
+    same = reduce(lambda a, b: a & b, [stats[k].eqNullSafe(found[f"_p{i}"]) for i, k in enumerate(keys)])
+    return stats.join(found, same, "left").drop(*[f"_p{i}" for i in range(len(keys))])
+
+
+def quantile(c: str | Column, p: float) -> Column:
+    """Percentile as an aggregate, for groups of bounded size such as the weeks of a slot; else see ``percentiles``."""
+    return F.percentile((F.col(c) if isinstance(c, str) else c).cast("double"), F.lit(p))
+
 
 def describe(df: DataFrame, value: str, percentiles: list[float] | None = None, keys: list[str] | None = None) -> DataFrame:
     """count, mean, std, min, the percentiles, max."""
     ps = percentiles or [0.25, 0.5, 0.75]
+    keys = keys or []
     c = F.col(value).cast("double")
-    stats = df.groupBy(*(keys or [])).agg(
+    stats = df.groupBy(*keys).agg(
         F.count(c).alias("count"),
         F.avg(c).alias("mean"),
         F.stddev_samp(c).alias("std"),
         F.min(c).alias("min"),
-        F.percentile(c, F.array(*[F.lit(p) for p in ps])).alias("_p"),
         F.max(c).alias("max"),
     )
-    named = [F.get("_p", F.lit(i)).alias(f"p{p * 100:g}".replace(".", "_")) for i, p in enumerate(ps)]
-    return stats.select(*(keys or []), "count", "mean", "std", "min", *named, "max")
+    named = {f"p{p * 100:g}".replace(".", "_"): (value, p) for p in ps}
+    return with_percentiles(stats, df, keys, named).select(*keys, "count", "mean", "std", "min", *named, "max")
 
 
-def quantile(c: str | Column, p: float) -> Column:
-    return F.percentile((F.col(c) if isinstance(c, str) else c).cast("double"), F.lit(p))
+_SHARES = {"Percentile10": 0.1, "Quartile1": 0.25, "MedianAttendanceRate": 0.5, "Quartile3": 0.75, "Percentile90": 0.9}
 
 
 def _rate_block(rate: str) -> dict[str, Column]:
@@ -38,19 +83,16 @@ def _rate_block(rate: str) -> dict[str, Column]:
         "StandardDeviation": F.stddev_samp(r),
         "Variance": F.var_samp(r),
         "Minimum": F.min(r),
-        "_p": F.percentile(r, F.array(*[F.lit(p) for p in (0.1, 0.25, 0.5, 0.75, 0.9)])),
         "Maximum": F.max(r),
     }
 
 
 def _rate_columns() -> dict[str, Column]:
-    p = {name: F.get("_p", F.lit(i)) for i, name in enumerate(
-        ["Percentile10", "Quartile1", "MedianAttendanceRate", "Quartile3", "Percentile90"]
-    )}
-    p["InterquartileRange"] = F.get("_p", F.lit(3)) - F.get("_p", F.lit(1))
     usable = (F.col("ValidAttendanceRates") > 1) & (F.col("MeanAttendanceRate") != 0)
-    p["CoefficientOfVariation"] = F.when(usable, F.col("StandardDeviation") / F.col("MeanAttendanceRate"))
-    return p
+    return {
+        "InterquartileRange": F.col("Quartile3") - F.col("Quartile1"),
+        "CoefficientOfVariation": F.when(usable, F.col("StandardDeviation") / F.col("MeanAttendanceRate")),
+    }
 
 
 def session_metrics(
@@ -67,15 +109,13 @@ def session_metrics(
         F.sum(expected).alias("ExpectedStudentsSum"),
         F.sum(present).alias("PresentStudentsSum"),
         F.avg(expected).alias("MeanExpectedStudents"),
-        quantile(expected, 0.5).alias("MedianExpectedStudents"),
         F.avg(present).alias("MeanPresentStudents"),
-        quantile(present, 0.5).alias("MedianPresentStudents"),
         *[c.alias(n) for n, c in _rate_block(rate).items()],
     )
+    medians = {"MedianExpectedStudents": (expected, 0.5), "MedianPresentStudents": (present, 0.5)}
+    ranked = with_percentiles(grouped, df, keys, medians | {n: (rate, p) for n, p in _SHARES.items()})
     whole = F.col("ExpectedStudentsSum")
-    return grouped.withColumns(
-        {"WeightedAttendanceRate": F.when(whole > 0, F.col("PresentStudentsSum") / whole), **_rate_columns()}
-    ).drop("_p")
+    return ranked.withColumns({"WeightedAttendanceRate": F.when(whole > 0, F.col("PresentStudentsSum") / whole), **_rate_columns()})
 
 
 def lesson_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,10 +128,9 @@ def lesson_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
         F.avg("UserCount").alias("MeanPresent"),
         *[c.alias(n) for n, c in _rate_block("AttendanceRate").items()],
     )
+    ranked = with_percentiles(grouped, df, keys, {n: ("AttendanceRate", p) for n, p in _SHARES.items()})
     whole = F.col("TotalStudentsSum")
-    return grouped.withColumns(
-        {"WeightedAttendanceRate": F.when(whole > 0, F.col("UserCountSum") / whole), **_rate_columns()}
-    ).drop("_p")
+    return ranked.withColumns({"WeightedAttendanceRate": F.when(whole > 0, F.col("UserCountSum") / whole), **_rate_columns()})
 
 
 def value_counts(df: DataFrame, columns: list[str], keep_null: bool = True, out: str = "Rows") -> DataFrame:
@@ -132,9 +171,9 @@ def labelled_counts(df: DataFrame, checks: dict[str, Column], label: str = "Chec
 def profile(df: DataFrame, column: str, value: str = "AttendanceRate") -> DataFrame:
     """mean, median and count of a value per group; groups with a null key are left out."""
     c = F.col(value).cast("double")
-    return df.where(F.col(column).isNotNull()).groupBy(column).agg(
-        F.avg(c).alias("mean"), quantile(c, 0.5).alias("median"), F.stddev_samp(c).alias("std"), F.count(c).alias("count")
-    )
+    rows = df.where(F.col(column).isNotNull())
+    stats = rows.groupBy(column).agg(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.count(c).alias("count"))
+    return with_percentiles(stats, rows, [column], {"median": (value, 0.5)}).select(column, "mean", "median", "std", "count")
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
@@ -166,13 +205,7 @@ def box_plot(df: DataFrame, value: str, keys: list[str] | None = None) -> DataFr
     counts = rows.where(F.col(value).isNotNull()).groupBy(*on, F.col(value).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    quart = F.percentile("_v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_n"))
-    quartiles = counts.groupBy(*on).agg(quart.alias("_q")).select(
-        *on,
-        F.get("_q", F.lit(0)).alias("Quartile1"),
-        F.get("_q", F.lit(1)).alias("Median"),
-        F.get("_q", F.lit(2)).alias("Quartile3"),
-    )
+    quartiles = percentiles(rows, on, {"Quartile1": (value, 0.25), "Median": (value, 0.5), "Quartile3": (value, 0.75)})
     reach = 1.5 * (F.col("Quartile3") - F.col("Quartile1"))
     inside = F.col("_v").between(F.col("Quartile1") - reach, F.col("Quartile3") + reach)
     return counts.join(quartiles, on).groupBy(*on, "Quartile1", "Median", "Quartile3").agg(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rollcall.session import stored
+
 
 def island_sessions(
     blocks: DataFrame, keys: list[str], start: str, end: str, max_gap: int, out: str = "SessionNumber"
@@ -65,33 +65,15 @@ def bounded_sessions(
     )
 
 
-def split_points(df: DataFrame, columns: list[str], rows_per_task: int = 1_000_000, most: int = 256) -> list[tuple]:
-    """Values that cut a table into ranges of about ``rows_per_task`` rows, none if it is smaller.
+def in_ranges(df: DataFrame, order: list[str], name: str = "ranges", ranges: int | None = None) -> DataFrame:
+    """The rows, written once, with ``_range``: ranges follow each other in ``order``.
 
-    A sample by row digest, the same on every run, comes to the driver: 32 values per
-    range, and at most ``most`` ranges.  Only the places of the cuts depend on it.
+    The split points are Spark's own range sample.  They may differ between two evaluations,
+    so the number of each row's range is stored with it.  There are as many ranges as shuffle
+    partitions, or ``ranges``.  ``order`` should tell all rows apart, so that no range has to stay large.
     """
-    ranges = min(math.ceil(df.count() / rows_per_task), most)
-    if ranges <= 1:
-        return []
-    keys = df.select(*columns, F.xxhash64(*df.columns).alias("_digest")).dropna(subset=columns)
-    values = sorted(tuple(r[c] for c in columns) for r in keys.orderBy("_digest").limit(ranges * 32).collect())
-    return sorted({values[i * len(values) // ranges] for i in range(1, ranges)})
-
-
-def range_number(df: DataFrame, columns: list[str], cuts: list[tuple]) -> Column:
-    """How many cuts lie at or below the row: a range number that keeps the order."""
-    kinds = [df.schema[c].dataType for c in columns]
-
-    def point(cut: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(cut, kinds, columns)])
-
-    row = F.struct(*columns)
-    return F.size(F.filter(F.array(*[point(c) for c in cuts]), lambda c: c <= row))
-
-
-def _mean_before(df: DataFrame, group: list[str], order: list[str], value: str, n: int, out: str) -> DataFrame:
-    return df.withColumn(out, F.avg(value).over(Window.partitionBy(*group).orderBy(*order).rowsBetween(-n, -1)))
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    return stored(dealt.withColumn("_range", F.spark_partition_id()), name)
 
 
 def _range_tails(rows: DataFrame, group: list[str], order: list[str], value: str, n: int) -> DataFrame:
@@ -110,37 +92,23 @@ def _range_tails(rows: DataFrame, group: list[str], order: list[str], value: str
     return tails.select(*group, "_range", F.flatten(F.collect_list("_t").over(before)).alias("_halo"))
 
 
-def lagged_mean(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    value: str,
-    n: int,
-    out: str,
-    cuts: list[tuple] = (),
-    rows: DataFrame | None = None,
-) -> DataFrame:
+def lagged_mean(ranged: DataFrame, group: list[str], order: list[str], value: str, n: int, out: str, rows: DataFrame | None = None) -> DataFrame:
     """Mean of the ``n`` rows before the current one, null on the first row of a group.
 
-    ``cuts`` are split points of leading columns of ``order``, see ``split_points``.
-    With them windows run per (group, range), so a group with a third of the table is
-    spread over the ranges; the first ``n`` rows of a range take what they miss from the
-    last rows of the ranges before it.  ``rows`` is the table to take those from; give
-    the original one when several lagged columns are added in a row, so that the earlier
-    steps are not run again.
+    ``ranged`` comes from ``in_ranges`` with the same ``order``.  Windows run per (group, range),
+    so a group with a third of the table is spread over the ranges; the first ``n`` rows
+    of a range take what they miss from the last rows of the ranges before it.  ``rows``
+    is the table to take those from; give the stored one when several lagged columns are
+    added in a row, so that the earlier steps are not run again.
     """
-    if not cuts:
-        return _mean_before(df, group, order, value, n, out)
-    lead = order[: len(cuts[0])]
-    source = df if rows is None else rows
     inside = Window.partitionBy(*group, "_range").orderBy(*order)
     frame = inside.rowsBetween(-n, -1)
-    base = df.withColumn("_range", range_number(df, lead, cuts)).withColumns({
+    base = ranged.withColumns({
         "_rn": F.row_number().over(inside),
         "_sum": F.coalesce(F.sum(value).over(frame), F.lit(0.0)),
         "_cnt": F.count(value).over(frame),
     })
-    halo = _range_tails(source.withColumn("_range", range_number(source, lead, cuts)), group, order, value, n)
+    halo = _range_tails(ranged if rows is None else rows, group, order, value, n)
     joined = base.join(halo, [*group, "_range"], "left")
     need = F.greatest(F.lit(n) - (F.col("_rn") - 1), F.lit(0))
     take = F.least(need, F.size("_halo"))
@@ -150,7 +118,25 @@ def lagged_mean(
     filled = F.filter(part, lambda x: x.isNotNull())
     total = F.col("_sum") + F.aggregate(filled, F.lit(0.0), lambda a, x: a + x)
     count = F.col("_cnt") + F.size(filled)
-    return joined.withColumn(out, F.when(count > 0, total / count)).drop("_range", "_rn", "_sum", "_cnt", "_halo")
+    return joined.withColumn(out, F.when(count > 0, total / count)).drop("_rn", "_sum", "_cnt", "_halo")
+
+
+def running_before(ranged: DataFrame, group: list[str], order: list[str], amount: str, out: str) -> DataFrame:
+    """Sum of ``amount`` over the earlier rows of the same group; ``ranged`` comes from ``in_ranges``.
+
+    Sums run inside a range, and only one total per (group, range) passes on to later ranges.
+    """
+    totals = ranged.groupBy(*group, "_range").agg(F.sum(amount).alias("_total"))
+    earlier = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_range").alias("_r"),
+                            F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    same = local["_range"] == offsets["_r"]
+    for i, g in enumerate(group):
+        same = same & local[g].eqNullSafe(offsets[f"_g{i}"])
+    added = local.join(offsets, same).withColumn(out, F.col("_offset") + F.col("_inside"))
+    return added.drop("_r", "_offset", "_inside", *[f"_g{i}" for i in range(len(group))])
 
 
 def with_share(counts: DataFrame, key: list[str], count: str) -> DataFrame:
@@ -182,28 +168,15 @@ def best_two(counts: DataFrame, key: list[str], count: str) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, key: str, out: str, start: int = 1, rows_per_task: int = 1_000_000) -> DataFrame:
+def number_rows(df: DataFrame, key: str, out: str, start: int = 1, ranges: int | None = None) -> DataFrame:
     """Dense numbers from ``start`` in key order; keys must be distinct.
 
-    Up to ``rows_per_task`` rows are numbered by one window.  Above it the keys are cut
-    into ranges, numbered inside each range, and shifted by the sizes of the ranges
-    before it.
+    Keys are numbered inside ranges and shifted by the sizes of the ranges before them,
+    whatever the size of the table.
     """
-    cuts = split_points(df, [key], rows_per_task, most=1024)
-    if not cuts:
-        w = Window.partitionBy(F.lit(0)).orderBy(key)
-        return df.withColumn(out, (F.row_number().over(w) + (start - 1)).cast("bigint"))
-    cut = df.withColumn("_range", range_number(df, [key], cuts))
-    sizes = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    w = Window.partitionBy("_range").orderBy(key)
-    return (
-        cut.withColumn("_rn", F.row_number().over(w))
-        .join(offsets, "_range")
-        .withColumn(out, (F.col("_offset") + F.col("_rn") + (start - 1)).cast("bigint"))
-        .drop("_range", "_rn", "_offset")
-    )
+    ranged = in_ranges(df.withColumn("_one", F.lit(1)), [key], "keys", ranges)
+    before = running_before(ranged, [], [key], "_one", "_before")
+    return before.withColumn(out, (F.col("_before") + start).cast("bigint")).drop("_range", "_one", "_before")
 
 
 def rolling_mean_by_week(df: DataFrame, keys: list[str], week: str, value: str, weeks: int, out: str) -> DataFrame:

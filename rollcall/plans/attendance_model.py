@@ -8,7 +8,8 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.functions import clock
-from rollcall.operators.windows import lagged_mean, split_points
+from rollcall.operators import aggregates
+from rollcall.operators.windows import in_ranges, lagged_mean
 
 # --- fixed values: inputs of the model -------------------------------------------------
 NUMERIC = [
@@ -32,23 +33,25 @@ BY_CLASS = ["ClassKey", "DateKey", "FromTimeKey", *ROW]
 BY_DATE = ["DateKey", "FromTimeKey", "ClassKey", *ROW]
 
 
-def lagged_features(rows: DataFrame, chronological: bool = False, rows_per_task: int = 1_000_000) -> DataFrame:
+def lagged_features(rows: DataFrame, chronological: bool = False, ranges: int | None = None) -> DataFrame:
     """Means of earlier rates per class (5), subgroup (5) and weekday (10).
 
-    Rows are ordered by class first unless ``chronological`` is set.  There are only
-    seven weekdays, so a large table is cut into ranges of that order.  The rows are read
-    several times: hand in a stored table.
+    Rows are ordered by class first unless ``chronological`` is set, and the order ends with
+    the key of the row.  There are only seven weekdays, so the table is written once in ranges
+    of that order (``in_ranges``), from which all three means are taken.
     """
     order = BY_DATE if chronological else BY_CLASS
-    cuts = split_points(rows, order[:2], rows_per_task)
-    out = lagged_mean(rows, ["ClassKey"], order, TARGET, 5, "avg_attendance_class_5", cuts, rows)
-    out = lagged_mean(out, ["SubgroupKey"], order, TARGET, 5, "avg_attendance_subgroup_5", cuts, rows)
-    return lagged_mean(out, ["Weekday"], order, TARGET, 10, "avg_attendance_weekday", cuts, rows)
+    ranged = in_ranges(rows, order, "lecture-ranges", ranges)
+    out = lagged_mean(ranged, ["ClassKey"], order, TARGET, 5, "avg_attendance_class_5")
+    out = lagged_mean(out, ["SubgroupKey"], order, TARGET, 5, "avg_attendance_subgroup_5", ranged)
+    return lagged_mean(out, ["Weekday"], order, TARGET, 10, "avg_attendance_weekday", ranged).drop("_range")
 
 
 def features(facts: DataFrame, non_group_classes: DataFrame, chronological: bool = False) -> DataFrame:
-    """Finished lectures of non-group courses with somebody present."""
-    kept = facts.join(non_group_classes.select("ClassKey").distinct(), "ClassKey", "left_semi").where(
+    """Finished lectures of non-group courses with somebody present: keys, inputs and target only."""
+    needed = dict.fromkeys([*ROW, *BY_CLASS, "Weekday", "FullDate", "UserCount", TARGET, *[c for c in [*NUMERIC, *CATEGORICAL] if c in facts.columns]])
+    times = [c for c in ("FromTimeKey", "UntilTimeKey") if c not in needed]
+    kept = facts.select(*needed, *times).join(non_group_classes.select("ClassKey").distinct(), "ClassKey", "left_semi").where(
         F.col(TARGET) != 0
     )
     length = clock.minutes_between(clock.key_seconds("FromTimeKey"), clock.key_seconds("UntilTimeKey"))
@@ -175,8 +178,7 @@ def naive_against_corrected(naive: DataFrame, corrected: DataFrame, rate: str =
     """Mean, median and count of the stored and of the corrected rate."""
     def line(df: DataFrame, label: str) -> DataFrame:
         c: Column = F.col(rate).cast("double")
-        return df.agg(
-            F.avg(c).alias("Mean"), F.percentile(c, F.lit(0.5)).alias("Median"), F.count(c).alias("Rows")
-        ).select(F.lit(label).alias("View"), "Mean", "Median", "Rows")
+        stats = df.agg(F.avg(c).alias("Mean"), F.count(c).alias("Rows"))
+        return aggregates.with_percentiles(stats, df, [], {"Median": (rate, 0.5)}).select(F.lit(label).alias("View"), "Mean", "Median", "Rows")
 
     return line(naive, "Naive").unionByName(line(corrected, "Corrected"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from rollcall.functions import clock, maths
 from rollcall.functions.text import normalise_title, with_normalised
 from rollcall.operators import aggregates
-from rollcall.operators.joins import interval_join
+from rollcall.operators.joins import interval_join, unique_on
 from rollcall.operators.windows import rolling_mean_by_week
 from rollcall.plans import presence, sessions as build
 
@@ -67,7 +67,7 @@ def present_users(sessions: DataFrame, wifi: DataFrame, bridge: DataFrame) -> Da
     Expected users are reached through their subgroup, which is an equality key of the
     interval join, so the list of expected users per session is never written out.
     """
-    windows = sessions.select(
+    windows = unique_on(sessions, ["SessionID"], "sessions").select(
         "SessionID", "FullDate", "SessionStartSecond", "SessionEndSecond", F.explode("_set").alias("SubgroupKey")
     )
     points = wifi.join(bridge, "UserKey").select(
@@ -80,31 +80,24 @@ def present_users(sessions: DataFrame, wifi: DataFrame, bridge: DataFrame) -> Da
     return hits.select("SessionID", "UserKey").distinct()
 
 
-def present_counts(sessions: DataFrame, wifi: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Present students per (date, start, end, set of subgroups).
-
-    Sessions that agree on all four have the same students, so one of them stands for
-    the others in the interval join.
-    """
-    span = ["FullDate", "SessionStartSecond", "SessionEndSecond", "_sig"]
-    one = sessions.groupBy(*span).agg(F.min("SessionID").alias("SessionID"), F.any_value("_set").alias("_set"))
-    counts = present_users(one, wifi, bridge).groupBy("SessionID").agg(F.count(F.lit(1)).alias("_present"))
-    return one.select(*span, "SessionID").join(counts, "SessionID").drop("SessionID")
-
-
 def rate_sessions(sessions: DataFrame, wifi: DataFrame, bridge: DataFrame) -> DataFrame:
     """Expected and present students and the rate of sessions from ``course_session_sets``.
 
-    The sessions are read three times: hand in a stored table when they are costly.
+    Sessions that agree in date, span and set of subgroups share their counts.  The query fails
+    when two sessions have one SessionID, as titles do that differ only in what normalising
+    removes.  The sessions are read three times: hand in a stored table when they are costly.
     """
-    signed = sessions.withColumn("_sig", presence.signature("_set"))
+    signed = unique_on(sessions, ["SessionID"], "sessions").withColumns({
+        "_sig": presence.signature("_set"), "DateKey": clock.date_key("FullDate"),
+        "StartSecond": F.col("SessionStartSecond"), "EndSecond": F.col("SessionEndSecond"),
+    })
     expected = presence.expected_by_set(signed, bridge, "_expected")
-    present = present_counts(signed, wifi, bridge)
-    span = ["FullDate", "SessionStartSecond", "SessionEndSecond", "_sig"]
-    joined = signed.join(expected, "_sig", "left").join(present, span, "left").withColumns({
+    present = presence.present_by_set(signed, wifi, bridge, "_present")
+    span = ["DateKey", "StartSecond", "EndSecond"]
+    joined = signed.join(expected, "_sig", "left").join(present, [*span, "_sig"], "left").withColumns({
         "ExpectedStudents": F.coalesce("_expected", F.lit(0)),
         "PresentStudents": F.coalesce("_present", F.lit(0)),
-    }).drop("_expected", "_present", "_set", "_sig")
+    }).drop("_expected", "_present", "_set", "_sig", *span)
     rated = joined.withColumn("AttendanceRate", maths.ratio("PresentStudents", "ExpectedStudents"))
     return rated.withColumn("AttendancePercentage", F.col("AttendanceRate") * 100)
 
@@ -190,33 +183,30 @@ def quality_summary(schedule: DataFrame, results: DataFrame) -> DataFrame:
 def lecture_results(schedule: DataFrame, wifi: DataFrame, bridge: DataFrame) -> DataFrame:
     """One row per lecture: distinct expected and present users over its subgroups.
 
-    No sessions and no grace: a connection between start and end counts.
+    No sessions and no grace: a connection between start and end counts.  A lecture has one time,
+    that of its first subgroup by code.
     """
-    first = F.struct("SubgroupCode", "FullDate", "StartSecond", "EndSecond", "ClassName", "NormalizedClassName",
+    first = F.struct("SubgroupCode", "DateKey", "FullDate", "StartSecond", "EndSecond", "ClassName", "NormalizedClassName",
                      "LessonType", "ProgramName")
     lectures = schedule.groupBy("LectureID").agg(
         F.min(first).alias("_first"),
         aggregates.distinct_list("SubgroupCode").alias("SubgroupCodes"),
         F.array_sort(F.collect_set("SubgroupKey")).alias("_set"),
-    ).withColumn("_sig", presence.signature("_set"))
-    expected = presence.expected_by_set(lectures, bridge, "_total")
-    in_window = presence.window_users(presence.time_windows(schedule), wifi, bridge)
-    present = (
-        schedule.select("LectureID", *presence.WINDOW)
-        .join(in_window, presence.WINDOW)
-        .select("LectureID", "UserKey").distinct()
-        .groupBy("LectureID").agg(F.count(F.lit(1)).alias("_present"))
     )
+    span = ["DateKey", "StartSecond", "EndSecond"]
     named = lectures.select(
-        "LectureID", "_first.FullDate", "_first.StartSecond", "_first.EndSecond", "_first.ClassName",
-        "_first.NormalizedClassName", "_first.LessonType", "_first.ProgramName", "SubgroupCodes", "_sig",
-    ).withColumns({
+        "LectureID", *[f"_first.{c}" for c in (*span, "FullDate", "ClassName", "NormalizedClassName", "LessonType", "ProgramName")],
+        "SubgroupCodes", "_set", presence.signature("_set").alias("_sig"),
+    )
+    expected = presence.expected_by_set(named, bridge, "_total")
+    present = presence.present_by_set(named, wifi, bridge, "_present")
+    named = named.drop("_set").withColumns({
         "LectureStart": clock.at_second("FullDate", "StartSecond"),
         "LectureEnd": clock.at_second("FullDate", "EndSecond"),
-    }).drop("StartSecond", "EndSecond")
-    joined = named.join(expected, "_sig", "left").join(present, "LectureID", "left").withColumns({
+    })
+    joined = named.join(expected, "_sig", "left").join(present, [*span, "_sig"], "left").withColumns({
         "TotalStudents": F.coalesce("_total", F.lit(0)), "UserCount": F.coalesce("_present", F.lit(0)),
-    }).drop("_total", "_present", "_sig")
+    }).drop("_total", "_present", "_sig", *span)
     return joined.withColumn("AttendanceRate", maths.ratio("UserCount", "TotalStudents"))
 
 

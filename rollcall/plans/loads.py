@@ -30,17 +30,15 @@ def student_links(students: DataFrame, name: str = "EMAIL", subgroup: str = "SUB
     return to_number(rows, ["SubgroupKey"]).dropna().where("UserName <> ''").distinct()
 
 
-def new_users(names: DataFrame, users: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
+def new_users(names: DataFrame, users: DataFrame, ranges: int | None = None) -> DataFrame:
     """Users for names not known yet; keys continue after the highest one in use."""
     fresh = only_new(names.select("UserName").distinct(), users, ["UserName"])
     last = users.agg(F.coalesce(F.max("UserKey"), F.lit(0)).alias("m")).first()["m"]
-    return number_rows(fresh, "UserName", "UserKey", start=last + 1, rows_per_task=rows_per_task).select(
-        "UserKey", "UserName"
-    )
+    return number_rows(fresh, "UserName", "UserKey", start=last + 1, ranges=ranges).select("UserKey", "UserName")
 
 
-def add_users(names: DataFrame, users: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
-    return users.select("UserKey", "UserName").unionByName(new_users(names, users, rows_per_task))
+def add_users(names: DataFrame, users: DataFrame, ranges: int | None = None) -> DataFrame:
+    return users.select("UserKey", "UserName").unionByName(new_users(names, users, ranges))
 
 
 def user_map(users: DataFrame) -> DataFrame:
@@ -108,10 +106,25 @@ def first_literal(c: str):
     return F.get(literal_list(c), F.lit(0))
 
 
+# an item of a list literal: text in single or double quotes with escapes, a constant, a number
+_ITEM = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|None|True|False|[-+0-9.eE]+"""
+_LIST = rf"^\s*\[\s*(?:(?:{_ITEM})\s*(?:,\s*(?:{_ITEM})\s*)*+,?)?\s*\]\s*$"
+
+
 def literal_list(c: str):
-    """Array from a list literal with single or double quotes; null when it is not one."""
+    """Array from a list literal; null when the cell is not one.
+
+    Items are texts in single or double quotes with their escapes, numbers, True, False and
+    None, which becomes a null item.  Other cells that begin like a list are tried as JSON.
+    """
+    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+    # two-digit escapes don't exist in JSON; four-digit ones do
+    escaped = F.regexp_replace(F.col(c), r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    items = F.regexp_extract_all(escaped, F.lit(f"({_ITEM})"), 1)
+    json = F.transform(items, lambda x: F.when(x == "None", "null").when(x.isin("True", "False"), F.concat(F.lit('"'), x, F.lit('"'))).otherwise(x))
+    literal = F.from_json(F.concat(F.lit("["), F.array_join(json, ","), F.lit("]")), "array<string>", options)
     parsed = F.from_json(F.col(c), "array<string>", {"allowSingleQuotes": "true"})
-    return F.when(F.trim(c).startswith("["), parsed)
+    return F.when(F.col(c).rlike(_LIST), literal).when(F.trim(c).startswith("["), parsed)
 
 
 def class_rows(courses: DataFrame, order: list[str]) -> DataFrame:

@@ -112,6 +112,40 @@ def presence_by_minute(wifi: DataFrame, bridge: DataFrame, subgroups: DataFrame)
     )
 
 
+def user_cohorts(bridge: DataFrame) -> DataFrame:
+    """(UserKey, Cohort): users with the same set of subgroups share a cohort; each user has one."""
+    members = bridge.groupBy("UserKey").agg(F.array_sort(F.collect_set("SubgroupKey")).alias("_subgroups"))
+    return members.select("UserKey", signature("_subgroups").alias("Cohort"))
+
+
+def touched_cohorts(sets: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Distinct (``_sig``, Cohort): the cohorts with a subgroup in each distinct set."""
+    pairs, _ = cohorts(bridge)
+    one = sets.groupBy("_sig").agg(F.any_value("_set").alias("_set"))
+    return one.select("_sig", F.explode("_set").alias("SubgroupKey")).join(pairs, "SubgroupKey").select("_sig", "Cohort").distinct()
+
+
+def present_by_set(spans: DataFrame, wifi: DataFrame, bridge: DataFrame, out: str) -> DataFrame:
+    """Distinct users seen per distinct (DateKey, StartSecond, EndSecond, ``_sig``).
+
+    ``spans`` has the sorted set of subgroups as ``_set`` and its text as ``_sig``.  A user belongs
+    to one cohort, so the users of a set are the sum over the cohorts that touch it.  Users meet
+    the distinct time spans once, are counted per cohort there, and only those counts reach the
+    sets: rows grow with connections and with distinct (span, set), never with their product.
+    Spans without any user are absent.
+    """
+    span = ["DateKey", "StartSecond", "EndSecond"]
+    seen = wifi.join(user_cohorts(bridge), "UserKey").select("DateKey", "UserKey", "Cohort", clock.key_seconds("TimeKey").alias("_second"))
+    hits = interval_join(seen, spans.select(*span).distinct(), ["DateKey"], "_second", "StartSecond", "EndSecond")
+    counts = hits.select(*span, "Cohort", "UserKey").distinct().groupBy(*span, "Cohort").agg(F.count(F.lit(1)).alias("_users"))
+    return (
+        spans.select(*span, "_sig").distinct()
+        .join(touched_cohorts(spans, bridge), "_sig")
+        .join(counts, [*span, "Cohort"])
+        .groupBy(*span, "_sig").agg(F.sum("_users").alias(out))
+    )
+
+
 def cohorts(bridge: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Users grouped by the exact set of their subgroups.
 
@@ -138,15 +172,8 @@ def expected_by_set(sets: DataFrame, bridge: DataFrame, out: str) -> DataFrame:
 
     ``sets`` has the sorted set as ``_set`` and its text as ``_sig``.
     """
-    pairs, sizes = cohorts(bridge)
-    return (
-        sets.groupBy("_sig").agg(F.any_value("_set").alias("_set"))
-        .select("_sig", F.explode("_set").alias("SubgroupKey"))
-        .join(pairs, "SubgroupKey")
-        .select("_sig", "Cohort").distinct()
-        .join(sizes, "Cohort")
-        .groupBy("_sig").agg(F.sum("CohortUsers").alias(out))
-    )
+    _, sizes = cohorts(bridge)
+    return touched_cohorts(sets, bridge).join(sizes, "Cohort").groupBy("_sig").agg(F.sum("CohortUsers").alias(out))
 
 
 def expected_users(links: DataFrame, unit: str, bridge: DataFrame, out: str) -> DataFrame:

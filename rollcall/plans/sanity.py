@@ -204,13 +204,12 @@ def status_table(facts: DataFrame) -> DataFrame:
     Two passes over the facts: copies of rows and keys, and one row per lecture that
     carries everything the other checks need.
     """
-    copies = (
-        facts.groupBy(*facts.columns).agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy(*KEY).agg(F.sum("_n").alias("_rows"), F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("_same"))
-        .agg(
-            F.coalesce(F.sum("_same"), F.lit(0)).alias(CHECK_EXACT),
-            F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows")).otherwise(0)), F.lit(0)).alias(CHECK_KEY),
-        )
+    # rows are compared only where a key repeats
+    repeated = facts.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    same = facts.join(repeated.select(*KEY), KEY, "left_semi").groupBy(*facts.columns).agg(F.count(F.lit(1)).alias("_n"))
+    copies = same.agg(
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(CHECK_EXACT),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias(CHECK_KEY),
     )
     rate, room = F.col("AttendanceRate"), F.col("_capacity")
     lectures = with_recalculated(facts).groupBy("LectureID").agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rollcall.functions import clock, maths
-from rollcall.operators.aggregates import quantile
+from rollcall.operators.aggregates import quantile, with_percentiles
 from rollcall.operators.dedupe import keep_one
 from rollcall.operators.joins import interval_join
 
@@ -155,12 +155,13 @@ def assign_slots(counts: DataFrame, min_sessions: int = MIN_SESSIONS_PER_USER, t
 
 
 def group_sizes(assignments: DataFrame) -> DataFrame:
-    return assignments.where(F.col("AssignedSessionSlot") != UNASSIGNED).groupBy("AssignedSessionSlot").agg(
+    assigned = assignments.where(F.col("AssignedSessionSlot") != UNASSIGNED)
+    sizes = assigned.groupBy("AssignedSessionSlot").agg(
         F.count(F.lit(1)).alias("ExpectedStudents"),
         F.avg("AssignmentConfidence").alias("MeanAssignmentConfidence"),
-        quantile("AssignmentConfidence", 0.5).alias("MedianAssignmentConfidence"),
         F.avg("BestSlotObservations").alias("MeanBestSlotObservations"),
     )
+    return with_percentiles(sizes, assigned, ["AssignedSessionSlot"], {"MedianAssignmentConfidence": ("AssignmentConfidence", 0.5)})
 
 
 def corrected_attendance(sessions: DataFrame, presence: DataFrame, assignments: DataFrame) -> DataFrame:

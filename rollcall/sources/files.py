@@ -7,7 +7,40 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from rollcall import schemas
 from rollcall.operators.columns import trim_headers
 
-SNIFF_CHARS = 8192
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their file; ``first`` marks the lines of a file's first split, ``at`` grows in reading order there."""
+    return spark.read.text(path).select(
+        F.regexp_replace("value", "^\\ufeff|\\r$", "").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("source_file"),
+        (F.col("_metadata.file_block_start") == 0).alias("first"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+
+
+def _headers(lines: DataFrame, candidates: str, fallback: str) -> DataFrame:
+    """Per file its header line, its separator (the most frequent candidate of the whole line) and its names."""
+    heads = lines.where("first").groupBy("file").agg(F.min_by("line", "at").alias("header"))
+    count = lambda c: F.length("header") - F.length(F.replace(F.col("header"), F.lit(c), F.lit("")))
+    # equal counts: the earlier candidate
+    best = F.array_max(F.array(*[F.struct(count(c).alias("n"), F.lit(-i).alias("i"), F.lit(c).alias("c")) for i, c in enumerate(candidates)]))
+    heads = heads.withColumn("sep", F.when(best["n"] > 0, best["c"]).otherwise(F.lit(fallback)))
+    return heads.withColumn(
+        "names", F.transform(F.split("header", F.col("sep")), lambda n: F.trim(F.replace(F.trim(n), F.lit('"'), F.lit(""))))
+    )
+
+
+def _all_names(headers: DataFrame) -> list[str]:
+    """The columns of all files: of the distinct headers, a handful, the longest first."""
+    shapes = [r.names for r in headers.select("names").distinct().collect()]
+    return list(dict.fromkeys(n for shape in sorted(shapes, key=lambda s: (-len(s), s)) for n in shape if n))
+
+
+def _field(name: str, empty_is_null: bool):
+    at = F.array_position("names", F.lit(name)).cast("int") - 1
+    value = F.when(at >= 0, F.get("fields", at))
+    return (F.when(value != "", value) if empty_is_null else value).alias(name)
 
 
 def schedule_exports(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -19,51 +52,32 @@ def schedule_exports(spark: SparkSession, path: str, columns: list[str] | None =
     file, so files may order or omit them.  Without ``columns`` all columns of all headers
     are read; only the distinct headers, a handful, come to the driver for that.
     """
-    lines = spark.read.text(path).select(
-        F.regexp_replace("value", "^\\ufeff|\\r$", "").alias("line"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        # grows in reading order inside a split, and the first split holds the first line
-        F.monotonically_increasing_id().alias("at"),
-    )
-    headers = lines.where("block = 0").groupBy("file").agg(F.min_by("line", "at").alias("header"))
-    headers = headers.withColumn("sep", F.when(F.col("header").contains(";"), ";").otherwise(","))
-    headers = headers.withColumn(
-        "names", F.transform(F.split("header", F.col("sep")), lambda n: F.trim(F.replace(n, F.lit('"'), F.lit(""))))
-    )
-    names = columns
-    if names is None:
-        shapes = [r.names for r in headers.select("names").distinct().collect()]
-        names = list(dict.fromkeys(n for shape in sorted(shapes, key=lambda s: (-len(s), s)) for n in shape if n))
+    lines = _lines(spark, path)
+    headers = _headers(lines, ";", ",")
+    names = columns or _all_names(headers)
     rows = lines.where(F.col("line") != "").join(headers, "file").where(F.col("line") != F.col("header"))
     rows = rows.withColumn("fields", F.split("line", F.col("sep"))).where(F.size("fields") <= F.size("names"))
-
-    def field(name: str):
-        at = F.array_position("names", F.lit(name)).cast("int") - 1
-        value = F.when(at >= 0, F.get("fields", at))
-        return F.when(value != "", value).alias(name)
-
-    return rows.select(*[field(n) for n in names], "source_file")
-
-
-def detect_separator(spark: SparkSession, path: str, candidates: str = ";,\t", fallback: str = ";") -> str:
-    """The candidate that is most frequent in the header of the first file."""
-    head = spark.read.text(path).limit(1).first()
-    sample = (head[0] if head else "")[:SNIFF_CHARS]
-    best = max(candidates, key=sample.count)
-    return best if sample.count(best) else fallback
+    return rows.select(*[_field(n, True) for n in names], "source_file")
 
 
 def delimited(spark: SparkSession, path: str, candidates: str = ";,\t", fallback: str = ";") -> DataFrame:
-    """Delimited text with a detected separator; text columns, trimmed headers, no BOM."""
-    sep = detect_separator(spark, path, candidates, fallback)
-    header = spark.read.text(path).limit(1).first()
-    if header is None:
+    """Delimited text with quoting; text columns, trimmed headers, no BOM.
+
+    Each file is read by its own header line and separator, so the files of a folder may
+    order or omit columns.  Short lines are filled with nulls, empty fields are null.
+    """
+    lines = _lines(spark, path)
+    headers = _headers(lines, candidates, fallback)
+    names = _all_names(headers)
+    if not names:
         raise ValueError(f"no header line under {path}")
-    names = [n.strip().strip('"').strip() for n in header[0].lstrip("﻿").rstrip("\r").split(sep)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.csv(path, sep=sep, header=True, schema=schema, enforceSchema=True)
+    rows = lines.where(F.col("line") != "").join(headers, "file").where(F.col("line") != F.col("header"))
+    width = headers.agg(F.max(F.size("names"))).first()[0]
+    schema = ", ".join(f"_{i} string" for i in range(width))
+    # the parser takes its separator as a constant: one expression for each candidate
+    parsed = F.coalesce(*[F.when(F.col("sep") == c, F.from_csv("line", schema, {"sep": c})) for c in dict.fromkeys([*candidates, fallback])])
+    rows = rows.withColumn("parsed", parsed).withColumn("fields", F.array(*[F.col(f"parsed._{i}") for i in range(width)]))
+    return rows.select(*[_field(n, False) for n in names])
 
 
 def delimited_with_nulls(spark: SparkSession, path: str, sep: str, schema: T.StructType, tokens: list[str]) -> DataFrame:

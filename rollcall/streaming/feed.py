@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall import schemas
+from rollcall.functions import clock
 from rollcall.operators.joins import only_new
 from rollcall.plans import loads, presence
 from rollcall.sources.sinks import append, replace_partitions
@@ -93,6 +94,18 @@ def ingest(batch: DataFrame, tables: FeedTables) -> list[int]:
         rows.unpersist()
 
 
+def due_dates(tables: FeedTables, lectures: DataFrame, now: Column) -> list[int]:
+    """Dates with a finished lecture that the attendance table lacks or has without a count."""
+    spark = lectures.sparkSession
+    counted = read_table(spark, tables.attendance, f"LectureID {kind_of(lectures, 'LectureID')}, SubgroupKey {kind_of(lectures, 'SubgroupKey')}, UserCount bigint")
+    over = lectures.where(clock.finished("DateKey", "UntilTimeKey", now))
+    return touched_dates(only_new(over, counted.where("UserCount IS NOT NULL"), ["LectureID", "SubgroupKey"]))
+
+
+def kind_of(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
 def refresh_attendance(
     tables: FeedTables,
     lectures: DataFrame,
@@ -101,16 +114,23 @@ def refresh_attendance(
     dates: list[int],
     now: Column,
     grace_minutes: int = 15,
+    rooms: DataFrame | None = None,
 ) -> None:
-    """Recompute the lectures of the given dates; counts are null until a lecture is over."""
+    """Recompute the lectures of the given dates and all that are due.
+
+    Counts are null until a lecture is over.  A finished lecture without a count, on whatever
+    date and with or without connections, is recomputed too, so a batch after its end makes it
+    final.  ``now`` is the time of this batch.  With ``rooms`` the occupancy follows.
+    """
     spark = lectures.sparkSession
+    dates = sorted({*dates, *due_dates(tables, lectures, now)})
     wifi = read_table(spark, tables.wifi, schemas.FACT_WIFI).where(F.col("DateKey").isin(dates))
     users = read_table(spark, tables.users, schemas.DIM_USER)
     due = lectures.where(F.col("DateKey").isin(dates))
-    replace_partitions(
-        presence.refresh_attendance(due, wifi, bridge, users, subgroups, now, grace_minutes),
-        tables.attendance, ["DateKey"],
-    )
+    filled = presence.refresh_attendance(due, wifi, bridge, users, subgroups, now, grace_minutes)
+    if rooms is not None:
+        filled = presence.refresh_occupancy(filled, rooms)
+    replace_partitions(filled, tables.attendance, ["DateKey"])
 
 
 def refresh_presence(tables: FeedTables, bridge: DataFrame, subgroups: DataFrame, dates: list[int]) -> None:
@@ -131,7 +151,8 @@ def start_feed(
 ) -> StreamingQuery:
     """Run the feed into the tables.
 
-    ``after_batch(dates)`` is called with the dates of each batch.  Duplicates are removed
+    ``after_batch(dates)`` is called with the dates of each batch, also where a batch brings none;
+    take the time of a refresh inside it, since it runs once for each batch.  Duplicates are removed
     per batch and against the history, which keeps every late row.  ``late_after`` adds a
     state store that removes duplicates earlier, and drops rows later than that.
     """
@@ -147,7 +168,7 @@ def start_feed(
 
     def run(batch: DataFrame, _epoch: int) -> None:
         dates = ingest(batch, tables)
-        if after_batch and dates:
+        if after_batch:
             after_batch(dates)
 
     writer = points.writeStream.foreachBatch(run).option("checkpointLocation", tables.checkpoint)

@@ -64,6 +64,27 @@ def test_attendance_follows_the_feed(spark, tmp_path):
     assert spark.read.parquet(tables.presence).count() == 2
 
 
+def test_due_lectures_become_final_without_connections(spark, tmp_path):
+    tables = feed.FeedTables(str(tmp_path))
+    bridge = spark.createDataFrame([(1, 1)], schemas.BRIDGE)
+    subgroups = spark.createDataFrame([(1, "A", "P")], schemas.DIM_SUBGROUP)
+    rooms = spark.createDataFrame([(7, 4)], "RoomKey bigint, Capacity int")
+    kind = "LectureID bigint, DateKey int, FromTimeKey int, UntilTimeKey int, SubgroupKey bigint, RoomKey bigint"
+    lectures = spark.createDataFrame([(1, 20251124, 81500, 101500, 1, 7), (2, 20251125, 81500, 101500, 1, 7), (3, 20251128, 81500, 101500, 1, 7)], kind)
+
+    def step(name, day, now):
+        batch = spark.createDataFrame([(name, day, 90000)] if name else [], "UserName string, DateKey int, TimeKey int")
+        dates = feed.ingest(batch, tables)
+        feed.refresh_attendance(tables, lectures, bridge, subgroups, dates, F.lit(now).cast("timestamp_ntz"), rooms=rooms)
+        return {r.LectureID: (r.UserCount, r.OccupancyRate) for r in spark.read.parquet(tables.attendance).collect()}
+
+    # running in the first batch, final in the next one, which has no rows of that date
+    assert step("enc_a", 20251124, "2025-11-24 09:30:00") == {1: (None, None)}
+    assert step(None, None, "2025-11-24 11:00:00") == {1: (1, 0.25)}
+    # a date without any connection ends at 0
+    assert step("enc_a", 20251126, "2025-11-26 09:30:00") == {1: (1, 0.25), 2: (0, 0.0)}
+
+
 def test_cohorts_cover_every_user(spark):
     bridge = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (3, 2), (3, 1)], schemas.BRIDGE)
     pairs, sizes = presence.cohorts(bridge)

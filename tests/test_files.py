@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall import schemas, session
+from rollcall.plans import loads
 from rollcall.sources import files, pages, sinks
 from tests.conftest import rows
 
@@ -29,6 +30,23 @@ def test_separator_is_found(spark, tmp_path, sep):
     assert [r.asDict() for r in files.delimited(spark, str(tmp_path)).collect()] == [{"a": "1", "b": "2"}]
 
 
+def test_files_of_a_folder_order_columns_differently(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k;n\nx;"1;1"\nlate\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text("n,k\r\n2,y\r\n", encoding="utf-8")
+    wide = ";".join(f"column_{i}" for i in range(1500))
+    (tmp_path / "c.csv").write_text(wide + ";k\n" + ";" * 1500 + "z\n", encoding="utf-8")
+    got = {r.k: r.n for r in files.delimited(spark, str(tmp_path)).select("k", "n").collect()}
+    assert got == {"x": "1;1", "late": None, "y": "2", "z": None}
+
+
+def test_list_literals(spark):
+    cells = [r"['Bachelor\xa0TI, trajectschijf 2', 'b']", "['a', None]", "[]", "['it\\'s', \"x\", 3, True]", r"['\\x41', 'a, None, b']", "['a' 'b'", "text", None]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string")
+    got = {r.i: r.a for r in rows.select("i", loads.literal_list("c").alias("a")).collect()}
+    assert got == {0: ["Bachelor\xa0TI, trajectschijf 2", "b"], 1: ["a", None], 2: [], 3: ["it's", "x", "3", "True"],
+                   4: ["\\x41", "a, None, b"], 5: None, 6: None, 7: None}
+
+
 def test_documents_in_three_shapes(spark, tmp_path):
     row = lambda n: {"SUBGROEPID": 1, "SUBGROEPCODE": "x", "DEELGROEPID": 2, "NAAM": "n", "EMAIL": n}
     shapes = [{"students": [row("a"), row("a")], "count": 2}, {"students": {"students": [row("b")], "count": 1}}, [row("c")],

@@ -3,6 +3,7 @@
 import random
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -46,12 +47,10 @@ def test_lagged_mean_equals_pandas_on_a_hot_group(spark):
     data = [(g[i], r.randrange(40), i, r.choice([None, *range(10)])) for i in range(3000)]
     df = spark.createDataFrame(data, "g int, c int, i int, v int").withColumn("v", F.col("v").cast("double"))
     pdf = pd.DataFrame(data, columns=["g", "c", "i", "v"]).sort_values(["c", "i"])
-    cuts = windows.split_points(df, ["c", "i"], rows_per_task=100)
-    assert len(cuts) > 20
-    for n, points in ((1, cuts), (5, cuts), (10, cuts), (5, [])):
+    for n, ranges in ((1, 7), (5, 1), (5, 7), (5, 200), (10, 200)):
         want = pdf.groupby("g")["v"].transform(lambda x: x.shift().rolling(n, min_periods=1).mean())
         want = {i: None if pd.isna(w) else round(w, 9) for i, w in zip(pdf["i"], want)}
-        out = windows.lagged_mean(df, ["g"], ["c", "i"], "v", n, "m", points)
+        out = windows.lagged_mean(windows.in_ranges(df, ["c", "i"], ranges=ranges), ["g"], ["c", "i"], "v", n, "m")
         got = {x.i: None if x.m is None else round(x.m, 9) for x in out.collect()}
         assert got == want
 
@@ -77,8 +76,41 @@ def test_interval_join_has_no_nested_loop(spark):
 def test_numbering_in_ranges_equals_one_window(spark):
     names = [f"enc_{random.Random(i).random():.12f}" for i in range(2000)]
     df = spark.createDataFrame([(n,) for n in set(names)], "name string")
-    cut = {r.name: r.k for r in windows.number_rows(df, "name", "k", start=101, rows_per_task=100).collect()}
-    assert cut == {n: i + 101 for i, n in enumerate(sorted(set(names)))}
+    for ranges in (1, 7, 200):
+        cut = {r.name: r.k for r in windows.number_rows(df, "name", "k", start=101, ranges=ranges).collect()}
+        assert cut == {n: i + 101 for i, n in enumerate(sorted(set(names)))}
+
+
+def test_two_sessions_with_one_id_fail(spark):
+    """Titles that differ only in what normalising removes stop the query."""
+    sessions = spark.createDataFrame(
+        [("web project_20251124_1", name, 36000, 43200, [s]) for name, s in (("Web-Project", 1), ("Web Project", 2))],
+        "SessionID string, ClassName string, SessionStartSecond int, SessionEndSecond int, _set array<bigint>",
+    ).withColumn("FullDate", F.lit("2025-11-24").cast("date"))
+    bridge = spark.createDataFrame([(1, 1), (2, 2), (3, 2)], "UserKey bigint, SubgroupKey bigint")
+    wifi = spark.createDataFrame([(20251124, 110000, u) for u in (1, 2, 3)], "DateKey int, TimeKey int, UserKey bigint")
+    with pytest.raises(Exception, match="not unique"):
+        course_types.rate_sessions(sessions, wifi, bridge).collect()
+    rated = course_types.rate_sessions(sessions.withColumn("SessionID", F.col("ClassName")), wifi, bridge).collect()
+    assert {r.ClassName: (r.ExpectedStudents, r.PresentStudents) for r in rated} == {"Web-Project": (1, 1), "Web Project": (2, 2)}
+
+
+def test_present_by_set_equals_pairs(spark):
+    """Lectures with random times and sets: users through cohorts equal users counted one by one."""
+    r = random.Random(17)
+    bridge_rows = sorted({(u, r.randrange(9)) for u in range(80) for _ in range(2)})
+    wifi_rows = sorted({(20251124 + r.randrange(2), r.randrange(8, 18) * 10000 + r.randrange(60) * 100, r.randrange(90)) for _ in range(900)})
+    sets = [(i, 20251124 + r.randrange(2), s, s + r.randrange(600, 9000), sorted({r.randrange(9) for _ in range(r.randrange(1, 5))}))
+            for i, s in enumerate(r.choices(range(28000, 60000, 900), k=60))]
+    spans = spark.createDataFrame(sets, "id int, DateKey int, StartSecond int, EndSecond int, _set array<bigint>").withColumn("_sig", presence.signature("_set"))
+    out = presence.present_by_set(
+        spans, spark.createDataFrame(wifi_rows, "DateKey int, TimeKey int, UserKey bigint"), spark.createDataFrame(bridge_rows, "UserKey bigint, SubgroupKey bigint"), "n"
+    )
+    got = {x.id: x.n for x in spans.join(out, ["DateKey", "StartSecond", "EndSecond", "_sig"], "left").collect()}
+    second = lambda t: t // 10000 * 3600 + t // 100 % 100 * 60
+    for i, day, a, b, own in sets:
+        users = {u for u, s in bridge_rows if s in own}
+        assert (got[i] or 0) == len({u for d, t, u in wifi_rows if d == day and a <= second(t) <= b and u in users})
 
 
 def test_one_row_per_key_on_a_hot_key(spark):
