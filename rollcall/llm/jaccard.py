@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -14,6 +15,8 @@ from rollcall.session import stored
 
 #: bands beyond those that differing shingles can reach, so that some equal band isn't an empty one
 SPARE = 2
+#: a cluster within these bounds is joined in one task: 16 MB of shingles at most
+SMALL_SETS, SMALL_SHINGLES = 2_000, 2_000_000
 
 
 def reach(size_class: int, percent: int) -> int:
@@ -111,25 +114,81 @@ def regions(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return stored(members.join(kept, "pivot").withColumn("rank", rank), "regions")
 
 
-def member_sets(docs: DataFrame, named: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``class, shingles array<long>`` for the wanted classes, from the text of one document of each."""
+def clusters(members: DataFrame) -> DataFrame:
+    """``class, cluster``: classes that chains of regions connect; linked classes are in one cluster."""
+    first = members.where("rank = 0").select("pivot", F.col("class").alias("b"))
+    roots = components(members.where("rank > 0").join(first, "pivot").select(F.col("class").alias("a"), "b").distinct())
+    return members.select("class").distinct().join(roots, F.col("class") == F.col("node"), "left").select(
+        "class", F.coalesce("root", "class").alias("cluster"))
+
+
+def member_sets(docs: DataFrame, named: DataFrame, clustered: DataFrame, words: int) -> DataFrame:
+    """``class, cluster, n, shingles array<long>`` for the clustered classes, from the text of one document of each."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+            names, groups = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            sets = [shingle_set(t, words) for t in batch.column(2).to_pylist()]
             # rows of one id may have different texts; only the class's own set counts
-            own = [(name, s.view(np.int64)) for name, s in zip(names, sets) if set_digest(s) == name]
-            bounds = np.cumsum([0, *(len(s) for _, s in own)])
-            flat = np.concatenate([*(s for _, s in own), np.zeros(0, np.int64)])
+            own = [(name, group, s.view(np.int64)) for name, group, s in zip(names, groups, sets) if set_digest(s) == name]
+            bounds = np.cumsum([0, *(len(s) for _, _, s in own)])
+            flat = np.concatenate([*(s for _, _, s in own), np.zeros(0, np.int64)])
+            column = lambda i: pa.array([r[i] for r in own], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name for name, _ in own], pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))],
-                ["class", "shingles"])
+                [column(0), column(1), pa.array(np.diff(bounds), pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))],
+                ["class", "cluster", "n", "shingles"])
+
+    first = named.join(clustered, "class").groupBy("class", "cluster").agg(F.min("doc_id").alias("__first"))
+    rows = texts(docs, "doc_id").join(first, F.col("doc_id") == F.col("__first")).select("class", "cluster", "text")
+    return stored(rows.mapInArrow(build, "class long, cluster long, n long, shingles array<long>").dropDuplicates(["class"]), "sets")
 
-    first = named.join(wanted, "class").groupBy("class").agg(F.min("doc_id").alias("__first"))
-    rows = texts(docs, "doc_id").join(first, F.col("doc_id") == F.col("__first")).select("class", "text")
-    built = rows.mapInArrow(build, "class long, shingles array<long>")
-    return stored(built.dropDuplicates(["class"]), "sets")
+
+def joined_cluster(names: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """The label of each set of one small cluster: the smallest name that links reach.
+
+    Regions are formed again from the sets.  In a region only members of different components
+    are compared, and only if their sizes allow a link; a pair is compared once.
+    """
+    up = list(range(len(names)))
+
+    def top(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    places: dict[int, list[int]] = {}
+    for i, own in enumerate(sets):
+        for pivot in band_pivots(own.view(np.uint64), percent).tolist():
+            places.setdefault(pivot, []).append(i)
+    compared_pairs: set[tuple[int, int]] = set()
+    for region in places.values():
+        if len(region) < 2 or len({top(i) for i in region}) < 2:
+            continue
+        for k, a in enumerate(region):
+            for b in region[:k]:
+                x, y = top(a), top(b)
+                if x == y or (b, a) in compared_pairs:
+                    continue
+                compared_pairs.add((b, a))
+                small, large = sorted((len(sets[a]), len(sets[b])))
+                if 100 * small < percent * large:
+                    continue
+                common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if 100 * common >= percent * (small + large - common):
+                    up[max(x, y)] = min(x, y)
+    return names[[top(i) for i in range(len(names))]]
+
+
+def small_components(sets: DataFrame, small: DataFrame, percent: int) -> DataFrame:
+    """``class, label`` for the clusters in ``small``, each joined in one task."""
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("class")
+        names = rows["class"].to_numpy(np.int64)
+        return pd.DataFrame({"class": names, "label": joined_cluster(names, [np.asarray(s) for s in rows["shingles"]], percent)})
+
+    return sets.join(small, "cluster").select("cluster", "class", "shingles").groupBy("cluster").applyInPandas(join, "class long, label long")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -170,12 +229,30 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     edges = links.join(name("a"), "a").join(name("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
     roots = components(edges)
     joined = labels.join(roots, labels["label"] == roots["node"], "left")
-    return stored(joined.select("class", F.coalesce("root", "label").alias("label"), "near", "distance"), "labels")
+    return stored(joined.select("class", F.coalesce("root", "label").alias("label"), "n", "near", "distance"), "labels")
 
 
 def class_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``class, label``: connected classes share a label.
 
+    Clusters of up to SMALL_SETS classes and SMALL_SHINGLES shingles are joined in one task each, to
+    which every set goes once.  Larger ones, whatever their size, are joined by ``large_components``.
+    """
+    totals = sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("total"))
+    fits = (F.col("sets") <= SMALL_SETS) & (F.col("total") <= SMALL_SHINGLES)
+    sizes = stored(totals.select("cluster", fits.alias("fits")), "clusters")
+    labels = stored(small_components(sets, sizes.where("fits").select("cluster"), percent), "small")
+    large = sizes.where("NOT fits").select("cluster")
+    if not large.take(1):
+        return labels
+    rest = stored(sets.join(large, "cluster"), "large-sets")
+    own = members.join(rest.select("class"), "class")
+    return labels.unionByName(large_components(own, rest, percent))
+
+
+def large_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``class, label`` where a cluster is too large for one task.
+
     First each class is compared with one pivot document, the lowest class of all its regions;
     near copies of one text come together here, with one comparison each.  Then the regions that
     still hold several components recur: the members of next ranks are pivots, twice as many
@@ -189,8 +266,8 @@ def class_components(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     nearest = members.where("rank > 0").join(first, "pivot").groupBy(F.col("class").alias("a")).agg(F.min("b").alias("b"))
     seen = stored(compared(nearest, sets, percent), "compared")
     known = seen.select(F.col("a").alias("class"), F.col("b").alias("near"), "distance")
-    labels = members.select("class").distinct().join(known, "class", "left")
-    labels = stored(labels.select("class", F.col("class").alias("label"), "near", "distance"), "labels")
+    labels = sets.select("class", "n").join(known, "class", "left")
+    labels = stored(labels.select("class", F.col("class").alias("label"), "n", "near", "distance"), "labels")
     labels = relabelled(labels, seen.where("linked"))
     low, high, active = 0, 1, members
     while True:
@@ -201,9 +278,10 @@ def class_components(members: DataFrame, sets: DataFrame, percent: int) -> DataF
         if most is None or most <= low:
             return labels.select("class", "label")
         take = lambda side, kind: placed.where(kind).select(
-            "pivot", *[F.col(c).alias(f"{c}_{side}") for c in ("class", "label", "near", "distance", "rank")])
+            "pivot", *[F.col(c).alias(f"{c}_{side}") for c in ("class", "label", "n", "near", "distance", "rank")])
         pairs = take("b", f"rank >= {low} AND rank < {high}").join(take("a", f"rank > {low}"), "pivot")
         pairs = pairs.where("rank_a > rank_b AND label_a <> label_b")
+        pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         ruled_out = (F.col("near_a") == F.col("near_b")) & (F.abs(F.col("distance_a") - F.col("distance_b")) > apart)
         far = (F.col("near_a") == F.col("class_b")) & (F.col("distance_a") > apart)
         pairs = pairs.where(~F.coalesce(ruled_out, F.lit(False)) & ~F.coalesce(far, F.lit(False)))
@@ -225,7 +303,8 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
 
     Pivots are contents of bands of the shingle space (``band_pivots``): a region is what lies at
     distance 0 of its pivot there; sets near the border of a size class are replicated into
-    the next one; regions recur with documents as pivots (``class_components``).
+    the next one; regions that hang together are joined in one task where they are small, and recur with
+    documents as pivots where they aren't (``class_components``).
 
     Texts without words, null ones too, have no shingles and link with nothing.  Rows with equal
     doc_id count as one document in the links; rows with a null one have a null component.
@@ -233,7 +312,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     """
     named = stored(set_classes(docs, words), "classes")
     members = regions(docs, words, percent)
-    sets = member_sets(docs, named, members.select("class").distinct(), words)
+    sets = member_sets(docs, named, clusters(members), words)
     labels = class_components(members, sets, percent)
     lowest = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("lowest"))
     groups = lowest.join(labels, "class", "left").withColumn("group", F.coalesce("label", "class"))

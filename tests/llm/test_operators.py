@@ -417,8 +417,10 @@ def linked_groups(rows, n, percent):
     return {i: (len(sets[i]), top(i)) for i in sets}
 
 
-@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80), (2, 60)])
-def test_jaccard_groups(spark, n, percent):
+@pytest.mark.parametrize("n, percent, small", [(3, 90, 2000), (5, 80, 2000), (2, 60, 2000), (3, 90, 3), (2, 60, 3)])
+def test_jaccard_groups(spark, monkeypatch, n, percent, small):
+    """Groups equal brute force, with clusters joined in one task and, beyond ``small`` sets, by pivots."""
+    monkeypatch.setattr(jaccard, "SMALL_SETS", small)
     rng = random.Random(n)
     words = [f"W{k}" for k in range(300)]
     rows = []
