@@ -187,9 +187,17 @@ class Views:
         names = self.raw("part").where(~word_in("p_name", [*GROUP_WORDS, UNMATCHED_WORD]))
         return course_types.title_set(names, "p_name")
 
+    def keyed_titles(self, words: list[str], inside: bool) -> DataFrame:
+        names = self.classes.where(word_in("ClassName", words) if inside else ~word_in("ClassName", words))
+        return course_types.title_set(names.select(keyed_name().alias("title")), "title")
+
     @cached_property
     def typed_schedule(self) -> DataFrame:
-        return course_types.with_lesson_type(self.schedule, self.group_titles, self.regular_titles)
+        """Lectures with lesson types; part names repeat, so a class is named by its key too, with a hyphen that normalising removes."""
+        named = self.schedule.withColumn("ClassName", keyed_name())
+        return course_types.with_lesson_type(
+            named, self.keyed_titles(GROUP_WORDS, True), self.keyed_titles([*GROUP_WORDS, UNMATCHED_WORD], False)
+        )
 
     @cached_property
     def course_results(self) -> DataFrame:
@@ -271,6 +279,10 @@ class Views:
         )
 
 
+def keyed_name():
+    return F.concat("ClassName", F.lit("-"), F.col("ClassKey").cast("string"))
+
+
 def user_name(key: str):
     k = F.col(key)
     return F.concat(F.when(k % 10 == 9, "u_").otherwise("enc_"), k.cast("string"))
@@ -373,7 +385,7 @@ CTES: dict[str, str] = {
     "schedule": f"""SELECT b.*, c.ClassName, s.SubgroupCode, s.ProgramName, strptime(CAST(b.DateKey AS VARCHAR), '%Y%m%d')::DATE AS FullDate,
         {secs('FromTimeKey')} AS StartSecond, {secs('UntilTimeKey')} AS EndSecond
         FROM fact_base b JOIN dim_class c ON c.ClassKey = b.ClassKey JOIN dim_subgroup s ON s.SubgroupKey = b.SubgroupKey""",
-    "typed_schedule": f"""SELECT *, ClassName AS NormalizedClassName,
+    "typed_schedule": f"""SELECT * REPLACE (ClassName || '-' || CAST(ClassKey AS VARCHAR) AS ClassName), ClassName || ' ' || CAST(ClassKey AS VARCHAR) AS NormalizedClassName,
         CASE WHEN {' OR '.join(f"ClassName LIKE '%{w}%'" for w in GROUP_WORDS)} THEN '{course_types.GROUP}'
              WHEN ClassName LIKE '%{UNMATCHED_WORD}%' THEN '{course_types.UNMATCHED}' ELSE '{course_types.REGULAR}' END AS LessonType FROM schedule""",
     # sessions per class and day: gap above 30 minutes to the running end starts a new one

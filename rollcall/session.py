@@ -32,23 +32,42 @@ def build_session(app: str = "rollcall", master: str | None = None, **extra: str
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local master, where
-    driver and executors share one disk, may fall back to a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``; a path on the machine's own disk is refused
+    there.  Only a local master, where driver and executors share one disk, may leave it
+    unset and gets a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if named:
+        if not local and (named.startswith("file:") or "://" not in named and _default_store(spark).startswith("file:")):
+            raise RuntimeError(f"spark.checkpoint.dir is {named}, which executors of a cluster don't share")
         return named.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if sc.applicationId not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="rollcall-")
-    return _LOCAL_SCRATCH[sc.applicationId]
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="rollcall-")
+    return _LOCAL_SCRATCH[app]
+
+
+def _default_store(spark: SparkSession) -> str:
+    return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The part of the scratch folder that belongs to this application."""
+    return f"{scratch_root(spark)}/rollcall/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the scratch folder; never handed out twice."""
-    return f"{scratch_root(spark)}/rollcall/{name}-{uuid.uuid4().hex}"
+    """A new path under the application's scratch folder; never handed out twice."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Removes what this application stored; call it before the session stops."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

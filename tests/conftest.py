@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from rollcall.session import build_session  # noqa: E402
+from rollcall.session import build_session, drop_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 
