@@ -15,8 +15,8 @@ from rollcall.session import stored
 
 #: bands beyond those that differing shingles can reach, so that some equal band isn't an empty one
 SPARE = 2
-#: a cluster within these bounds is joined in one task: 16 MB of shingles at most
-SMALL_SETS, SMALL_SHINGLES = 2_000, 2_000_000
+#: a cluster within these bounds is joined in one task: 96 MB of shingles at most
+SMALL_SETS, SMALL_SHINGLES = 5_000, 12_000_000
 
 
 def reach(size_class: int, percent: int) -> int:
@@ -34,7 +34,7 @@ def classes(size: int, percent: int) -> list[int]:
     return [own, own + 1] if percent * 2 ** (own + 1) <= 100 * size else [own]
 
 
-def band_pivots(shingles: np.ndarray, percent: int) -> np.ndarray:
+def band_pivots(shingles: np.ndarray, percent: int, own_class_only: bool = False) -> np.ndarray:
     """The pivots of a set: for each size class and band, the hash of what the set has in the band.
 
     Shingles are dealt to bands by their hash, one band more than linked sets can differ in (and
@@ -43,7 +43,7 @@ def band_pivots(shingles: np.ndarray, percent: int) -> np.ndarray:
     for sets with more of them than spare bands.
     """
     found = []
-    for k in classes(len(shingles), percent):
+    for k in classes(len(shingles), percent)[:1 if own_class_only else None]:
         differ = reach(k, percent)
         if differ == 0:  # only equal sets link, and those are one class
             continue
@@ -122,8 +122,11 @@ def clusters(members: DataFrame) -> DataFrame:
         "class", F.coalesce("root", "class").alias("cluster"))
 
 
-def member_sets(docs: DataFrame, named: DataFrame, clustered: DataFrame, words: int) -> DataFrame:
-    """``class, cluster, n, shingles array<long>`` for the clustered classes, from the text of one document of each."""
+def member_sets(docs: DataFrame, named: DataFrame, clustered: DataFrame, words: int, percent: int) -> DataFrame:
+    """``class, cluster, n, size_class, bands array<long>, shingles array<long>`` for the clustered classes.
+
+    Built from the text of one document of each class; ``bands`` are its pivots in its own size class.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,16 +134,20 @@ def member_sets(docs: DataFrame, named: DataFrame, clustered: DataFrame, words:
             sets = [shingle_set(t, words) for t in batch.column(2).to_pylist()]
             # rows of one id may have different texts; only the class's own set counts
             own = [(name, group, s.view(np.int64)) for name, group, s in zip(names, groups, sets) if set_digest(s) == name]
-            bounds = np.cumsum([0, *(len(s) for _, _, s in own)])
-            flat = np.concatenate([*(s for _, _, s in own), np.zeros(0, np.int64)])
             column = lambda i: pa.array([r[i] for r in own], pa.int64())
+
+            def lists(arrays: list[np.ndarray]) -> pa.Array:
+                bounds = np.cumsum([0, *map(len, arrays)])
+                return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([*arrays, np.zeros(0, np.int64)])))
+
+            bands = [band_pivots(s.view(np.uint64), percent, own_class_only=True) for _, _, s in own]
             yield pa.RecordBatch.from_arrays(
-                [column(0), column(1), pa.array(np.diff(bounds), pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))],
-                ["class", "cluster", "n", "shingles"])
+                [column(0), column(1), pa.array([len(s) for _, _, s in own], pa.int64()), pa.array([len(s).bit_length() - 1 for _, _, s in own], pa.int64()),
+                 lists(bands), lists([s for _, _, s in own])], ["class", "cluster", "n", "size_class", "bands", "shingles"])
 
     first = named.join(clustered, "class").groupBy("class", "cluster").agg(F.min("doc_id").alias("__first"))
     rows = texts(docs, "doc_id").join(first, F.col("doc_id") == F.col("__first")).select("class", "cluster", "text")
-    return stored(rows.mapInArrow(build, "class long, cluster long, n long, shingles array<long>").dropDuplicates(["class"]), "sets")
+    return stored(rows.mapInArrow(build, "class long, cluster long, n long, size_class long, bands array<long>, shingles array<long>").dropDuplicates(["class"]), "sets")
 
 
 def joined_cluster(names: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -157,26 +164,34 @@ def joined_cluster(names: np.ndarray, sets: list[np.ndarray], percent: int) -> n
             i = up[i]
         return i
 
-    places: dict[int, list[int]] = {}
-    for i, own in enumerate(sets):
-        for pivot in band_pivots(own.view(np.uint64), percent).tolist():
-            places.setdefault(pivot, []).append(i)
-    compared_pairs: set[tuple[int, int]] = set()
-    for region in places.values():
-        if len(region) < 2 or len({top(i) for i in region}) < 2:
+    pivots = [band_pivots(own.view(np.uint64), percent) for own in sets]
+    owners = np.repeat(np.arange(len(sets)), [len(p) for p in pivots])
+    dealt = np.concatenate([*pivots, np.zeros(0, np.int64)])
+    order = np.argsort(dealt, kind="stable")
+    cuts = np.flatnonzero(np.diff(dealt[order])) + 1
+    tried: set[bytes | tuple[int, int]] = set()
+    for region in np.split(owners[order], cuts):
+        if len(region) < 2 or (alike := region.tobytes()) in tried:
             continue
-        for k, a in enumerate(region):
-            for b in region[:k]:
-                x, y = top(a), top(b)
-                if x == y or (b, a) in compared_pairs:
-                    continue
-                compared_pairs.add((b, a))
-                small, large = sorted((len(sets[a]), len(sets[b])))
-                if 100 * small < percent * large:
-                    continue
-                common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if 100 * common >= percent * (small + large - common):
-                    up[max(x, y)] = min(x, y)
+        tried.add(alike)
+        parts: dict[int, list[int]] = {}
+        for i in region.tolist():
+            parts.setdefault(top(i), []).append(i)
+        before: list[int] = []
+        for part in parts.values():
+            for a in part:
+                for b in before:
+                    x, y = top(a), top(b)
+                    if x == y or (min(a, b), max(a, b)) in tried:
+                        continue
+                    tried.add((min(a, b), max(a, b)))
+                    small, large = sorted((len(sets[a]), len(sets[b])))
+                    if 100 * small < percent * large:
+                        continue
+                    common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    if 100 * common >= percent * (small + large - common):
+                        up[max(x, y)] = min(x, y)
+            before += part
     return names[[top(i) for i in range(len(names))]]
 
 
@@ -191,6 +206,20 @@ def small_components(sets: DataFrame, small: DataFrame, percent: int) -> DataFra
     return sets.join(small, "cluster").select("cluster", "class", "shingles").groupBy("cluster").applyInPandas(join, "class long, label long")
 
 
+def alike_bands(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that may link.
+
+    Linked sets differ in a bounded number of shingles, hence of bands: sets of one size class
+    that share fewer bands are ruled out by their bands alone, a tenth of their shingles.
+    """
+    side = lambda c: sets.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("size_class").alias(f"k_{c}"), F.col("bands").alias(f"bands_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    differ = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    shared = F.size(F.array_intersect("bands_a", "bands_b"))
+    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return both.where(fits & ((F.col("k_a") != F.col("k_b")) | (shared >= F.size("bands_a") - differ))).select("a", "b")
+
+
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` with their exact Jaccard ``distance`` and ``linked``."""
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
@@ -269,7 +298,8 @@ def large_components(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     labels = sets.select("class", "n").join(known, "class", "left")
     labels = stored(labels.select("class", F.col("class").alias("label"), "n", "near", "distance"), "labels")
     labels = relabelled(labels, seen.where("linked"))
-    low, high, active = 0, 1, members
+    tried = seen.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    low, high, each, active = 0, 1, 1, members
     while True:
         placed = active.join(labels, "class")
         mixed = placed.groupBy("pivot").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("pivot")
@@ -283,14 +313,19 @@ def large_components(members: DataFrame, sets: DataFrame, percent: int) -> DataF
         pairs = pairs.where("rank_a > rank_b AND label_a <> label_b")
         pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         ruled_out = (F.col("near_a") == F.col("near_b")) & (F.abs(F.col("distance_a") - F.col("distance_b")) > apart)
-        far = (F.col("near_a") == F.col("class_b")) & (F.col("distance_a") > apart)
-        pairs = pairs.where(~F.coalesce(ruled_out, F.lit(False)) & ~F.coalesce(far, F.lit(False)))
-        pairs = pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
-        links = stored(compared(pairs, sets, percent).where("linked").select("a", "b"), "links")
+        pairs = pairs.where(~F.coalesce(ruled_out, F.lit(False)))
+        pairs = pairs.select(F.greatest("class_a", "class_b").alias("a"), F.least("class_a", "class_b").alias("b")).distinct()
+        # a few pairs of each class at a time: what links makes most of the others needless
+        turn = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+        chosen = stored(pairs.join(tried, ["a", "b"], "left_anti").withColumn("turn", turn).where(F.col("turn") <= each).select("a", "b"), "pairs")
+        if not chosen.take(1):
+            active = placed.select("pivot", "class", "rank")
+            low, high = high, 2 * high + 1
+            continue
+        tried, each = stored(tried.unionByName(chosen), "tried"), 2 * each
+        links = stored(compared(alike_bands(chosen, sets, percent), sets, percent).where("linked").select("a", "b"), "links")
         if links.take(1):
             labels = relabelled(labels, links)
-        active = placed.select("pivot", "class", "rank")
-        low, high = high, 2 * high + 1
 
 
 def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -312,7 +347,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     """
     named = stored(set_classes(docs, words), "classes")
     members = regions(docs, words, percent)
-    sets = member_sets(docs, named, clusters(members), words)
+    sets = member_sets(docs, named, clusters(members), words, percent)
     labels = class_components(members, sets, percent)
     lowest = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("lowest"))
     groups = lowest.join(labels, "class", "left").withColumn("group", F.coalesce("label", "class"))
