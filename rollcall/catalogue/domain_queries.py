@@ -420,6 +420,50 @@ def dom_22_consistency(v):
     return sanity.consistency(v.facts_wide)
 
 
+# facts with known faults: exact copies, repeated keys, a wrong rate, a negative count, no students
+_EXACT, _REPEAT, _RATE, _NEGATIVE, _NOBODY = 97, 89, 83, 79, 73
+CTES.setdefault("faulty_facts", f"""
+SELECT * REPLACE (CASE WHEN LectureID % {_NOBODY} = 0 THEN NULL ELSE TotalStudents END AS TotalStudents,
+  CASE WHEN LectureID % {_NEGATIVE} = 0 THEN -1 ELSE UserCount END AS UserCount,
+  CASE WHEN LectureID % {_RATE} = 0 THEN AttendanceRate + 0.5 ELSE AttendanceRate END AS AttendanceRate) FROM facts_wide
+UNION ALL SELECT * FROM facts_wide WHERE LectureID % {_EXACT} = 0
+UNION ALL SELECT * REPLACE (UserCount + 1 AS UserCount) FROM facts_wide WHERE LectureID % {_REPEAT} = 0""")
+_DIFFERS = "abs(AttendanceRate - CASE WHEN TotalStudents > 0 THEN UserCount / CAST(TotalStudents AS DOUBLE) END) > 1e-4"
+
+
+def faulty_facts(v):
+    f, k = v.facts_wide, F.col("LectureID")
+    marred = f.withColumns({
+        "TotalStudents": F.when(k % _NOBODY != 0, F.col("TotalStudents")),
+        "UserCount": F.when(k % _NEGATIVE == 0, F.lit(-1)).otherwise(F.col("UserCount")),
+        "AttendanceRate": F.when(k % _RATE == 0, F.col("AttendanceRate") + 0.5).otherwise(F.col("AttendanceRate")),
+    })
+    copies = f.where(k % _EXACT == 0)
+    again = f.where(k % _REPEAT == 0).withColumn("UserCount", F.col("UserCount") + 1)
+    return marred.unionByName(copies).unionByName(again)
+
+
+@query("dom_22_consistency_of_faulty_facts", f"""
+SELECT unnest(['TotalStudents NULL', 'TotalStudents <= 0', 'UserCount NULL', 'UserCount < 0', 'AttendanceRate < 0', 'AttendanceRate > 1', 'Afwijking opgeslagen/herberekend > 0.0001']) AS "Check",
+  unnest([count(*) FILTER (TotalStudents IS NULL), count(*) FILTER (coalesce(TotalStudents, 0) <= 0), count(*) FILTER (UserCount IS NULL), count(*) FILTER (coalesce(UserCount, 0) < 0),
+    count(*) FILTER (AttendanceRate < 0), count(*) FILTER (AttendanceRate > 1), count(*) FILTER ({_DIFFERS})]) AS Rows FROM faulty_facts""")
+def dom_22_consistency_faulty(v):
+    return sanity.consistency(faulty_facts(v))
+
+
+@query("dom_22_status_of_faulty_facts", f"""
+WITH l AS (SELECT LectureID, count(*) AS n, min(UserCount) AS low, max(UserCount) AS high, sum(TotalStudents) AS students, arg_min(RoomCapacity, SubgroupKey) AS room FROM faulty_facts GROUP BY 1),
+c AS (SELECT '{sanity.CHECK_EXACT}' AS Controle, (SELECT coalesce(sum(n), 0) FROM (SELECT *, count(*) AS n FROM faulty_facts GROUP BY ALL HAVING count(*) > 1))::BIGINT AS n, 'NAKIJKEN' AS bad, 'OK' AS good
+  UNION ALL SELECT '{sanity.CHECK_KEY}', (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM faulty_facts GROUP BY LectureID, SubgroupKey HAVING count(*) > 1))::BIGINT, 'NAKIJKEN', 'OK'
+  UNION ALL SELECT '{sanity.CHECK_RATE}', (SELECT count(*) FROM faulty_facts WHERE {_DIFFERS}), 'NAKIJKEN', 'OK'
+  UNION ALL SELECT '{sanity.CHECK_REPEATED}', (SELECT count(*) FROM l WHERE n > 1 AND low = high), 'INTERPRETEREN', 'INTERPRETEREN'
+  UNION ALL SELECT '{sanity.CHECK_CAPACITY}', (SELECT count(*) FROM l WHERE students > room OR high > room), 'INTERPRETEREN', 'OK'
+  UNION ALL SELECT '{sanity.CHECK_OVER}', (SELECT count(*) FROM faulty_facts WHERE AttendanceRate > 1), 'INTERPRETEREN', 'OK')
+SELECT Controle, n AS VerdachteRecords, CASE WHEN n = 0 THEN good ELSE bad END AS Status FROM c""")
+def dom_22_status_faulty(v):
+    return sanity.status_table(faulty_facts(v))
+
+
 @query("dom_22_repeated_counts", f"""
 SELECT count(*) AS LecturesWithMoreRows, count(*) FILTER (same) AS WithSameUserCount, {r9('avg(CASE WHEN same THEN 1.0 ELSE 0.0 END)')} AS ShareSameUserCount
 FROM (SELECT LectureID, count(DISTINCT UserCount) = 1 AS same FROM facts_wide GROUP BY 1 HAVING count(*) > 1)""")
@@ -587,6 +631,15 @@ def dom_29(v):
     return bridge.join(users, "UserKey").select("UserName", "SubgroupKey")
 
 
+@query("dom_29_assigned_keys", f"""
+WITH old AS (SELECT * FROM dim_user WHERE UserName LIKE 'u!_%' ESCAPE '!')
+SELECT UserName, UserKey FROM old UNION ALL SELECT UserName, row_number() OVER (ORDER BY UserName) + (SELECT coalesce(max(UserKey), 0) FROM old)
+FROM (SELECT DISTINCT EMAIL AS UserName FROM ({_STUDENTS}) WHERE EMAIL NOT IN (SELECT UserName FROM old))""")
+def dom_29_keys(v):
+    rows = _students(v).select("EMAIL", F.col("SUBGROEPID").cast("string").alias("SUBGROEPID"))
+    return loads.add_users(loads.student_links(rows), v.users.where(F.col("UserName").startswith("u_"))).select("UserName", "UserKey")
+
+
 @query("dom_30_wifi_load", "SELECT DateKey, TimeKey, UserKey FROM fact_wifi")
 def dom_30(v):
     rows = loads.wifi_rows(v.wifi_feed)

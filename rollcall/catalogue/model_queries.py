@@ -90,6 +90,49 @@ def ml_06(v):
     return _scored(v, model.boosted_trees()).select("LectureID", "SubgroupKey", "Predicted", "PredictedUserCount")
 
 
+CTES.setdefault("feature_cut", "SELECT quantile_cont(CAST(epoch(CAST(FullDate AS TIMESTAMP)) AS DOUBLE), 0.8) AS cut FROM features")
+_TEST_ROWS = "SELECT LectureID, SubgroupKey, true AS InRange FROM features, feature_cut WHERE epoch(CAST(FullDate AS TIMESTAMP)) > cut"
+
+
+@query("ml_05_forest_in_range", _TEST_ROWS)
+def ml_05_range(v):
+    """Every test row has a prediction, and a mean of training targets can't leave their range."""
+    train, test = model.split_by_time(stored_features(v))
+    edges = train.agg(F.struct(F.min(model.TARGET).alias("low"), F.max(model.TARGET).alias("high")).alias("e")).select("e").scalar()
+    scored = model.predict(model.train(train, model.random_forest()), test).withColumn("_e", edges)
+    return scored.select("LectureID", "SubgroupKey", F.col("Predicted").between(F.col("_e.low") - 1e-9, F.col("_e.high") + 1e-9).alias("InRange"))
+
+
+def _beats_the_mean(v, estimator):
+    train, _ = model.split_by_time(stored_features(v))
+    mean = train.agg(F.avg(model.TARGET).alias("m")).select("m").scalar()
+    scored = model.predict(model.train(train, estimator), train).withColumn("_m", mean)
+    square = lambda c: F.sum((F.col(model.TARGET) - F.col(c)) ** 2)
+    return scored.agg(F.count("Predicted").alias("Rows"), (square("Predicted") <= square("_m")).alias("BetterThanMean"))
+
+
+_TRAIN_ROWS = "SELECT count(*) AS Rows, true AS BetterThanMean FROM features, feature_cut WHERE epoch(CAST(FullDate AS TIMESTAMP)) <= cut"
+
+
+@query("ml_05_forest_beats_mean", _TRAIN_ROWS)
+def ml_05_mean(v):
+    return _beats_the_mean(v, model.random_forest())
+
+
+@query("ml_06_boosted_beats_mean", _TRAIN_ROWS)
+def ml_06_mean(v):
+    return _beats_the_mean(v, model.boosted_trees())
+
+
+@query("ml_09_importances_add_up", "SELECT true AS AddUp, true AS NoneNegative, true AS InOrder")
+def ml_09_sum(v):
+    train, _ = model.split_by_time(stored_features(v))
+    top = model.importances(model.train(train, model.random_forest()), top=10_000)
+    order = F.collect_list("Importance")
+    return top.agg((F.abs(F.sum("Importance") - 1) < 1e-6).alias("AddUp"), (F.min("Importance") >= 0).alias("NoneNegative"),
+                   (F.reverse(F.array_sort(order)) == order).alias("InOrder"))
+
+
 @query("ml_07_predicted_users", f"SELECT LectureID, SubgroupKey, {r9('avg_attendance_subgroup_5 * TotalStudents')} AS PredictedUserCount FROM features")
 def ml_07(v):
     # the lagged mean of the subgroup as the predicted rate

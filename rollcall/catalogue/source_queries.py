@@ -176,6 +176,22 @@ def src_09(v):
     )
 
 
+@query("src_09_evaluation_tables", f"""
+SELECT page_id, CAST(page_id % 4 AS BIGINT) AS evaluation_rows, CASE WHEN page_id % 4 > 0 THEN 'moment 1' END AS moment, CASE WHEN page_id % 4 > 0 THEN 'form & ' || page_id END AS format,
+  nullif(regexp_extract(url, '/(\\d+)', 1), '') AS code FROM pages""")
+def src_09_tables(v):
+    """Course pages whose html has a table after the marker: as many rows as the page number says, and one too short."""
+    k = F.col("page_id")
+    cell = lambda *parts: F.concat(F.lit("<td> "), *parts, F.lit(" </td>"))
+    row = lambda i: F.concat(F.lit("<tr>"), cell(F.lit("moment "), i.cast("string")), cell(F.lit("<b>form</b> &amp; "), k.cast("string")), cell(F.lit("50%")), F.lit("</tr>"))
+    numbers = F.when(k % 4 > 0, F.sequence(F.lit(1), (k % 4).cast("int"))).otherwise(F.array().cast("array<int>"))
+    table = F.concat(F.lit(f"{pages.EVALUATION_MARKER}<table><tr><td>short</td></tr>"), F.array_join(F.transform(numbers, row), ""), F.lit("</table>"))
+    built = pages.course_pages(v.raw("pages").withColumn("html", F.concat("html", table)).select("page_id", "url", "html"), code=r"/(\d+)", keep=["page_id"])
+    first = F.get("evaluation_methods", F.lit(0))
+    return built.select("page_id", F.size("evaluation_methods").cast("bigint").alias("evaluation_rows"), first["moment"].alias("moment"),
+                        first["format"].alias("format"), "code")
+
+
 @query("src_10_feed_stream", "SELECT username, strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, ssid FROM wifi_feed")
 def src_10(v):
     events = v.raw("events").schema

@@ -64,14 +64,15 @@ def page_code(url: str, pattern: str = CODE_PATTERN) -> Column:
     return _found(F.regexp_extract(url, pattern, 1))
 
 
-def course_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """One row per course page."""
+def course_pages(pages: DataFrame, url: str = "url", html: str = "html", code: str = CODE_PATTERN, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """One row per course page; ``code`` is the pattern of the course code in the address, ``keep`` names columns to pass on."""
     second = F.regexp_extract(html, rf"(?is){SECOND_CHANCE_MARKER}\s*</span>.*?<span\b[^>]*>(.*?)</span>", 1)
     return pages.select(
+        *keep,
         element(html, "span", YEAR_ID).alias("year"),
         items_after(html, FACULTY_MARKER).alias("faculties"),
         element(html, "h2", TITLE_ID).alias("title"),
-        page_code(url).alias("code"),
+        page_code(url, code).alias("code"),
         element(html, "span", CREDITS_ID).alias("credits"),
         table_rows(html, EVALUATION_MARKER).alias("evaluation_methods"),
         _found(plain(second)).alias("second_chance"),
