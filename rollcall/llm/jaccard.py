@@ -7,58 +7,44 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rollcall.llm.common import texts
 from rollcall.llm.shingles import mix, shingle_set
 from rollcall.session import stored
 
-#: bands beyond those that differing shingles can reach, so that some equal band isn't an empty one
-SPARE = 2
+#: shingles of about so many texts or more come last in the order, the most frequent FREQUENT ones at most (4 MB)
+FREQUENT_TEXTS, FREQUENT = 20, 500_000
+COUNTED = 4_000_000
+#: in a region up to this size all pairs are candidates, so each member meets a bounded number
+SMALL_REGION = 100
 #: a cluster within these bounds is joined in one task: 96 MB of shingles at most
 SMALL_SETS, SMALL_SHINGLES = 5_000, 12_000_000
 
 
-def reach(size_class: int, percent: int) -> int:
-    """The most shingles by which two linked sets of a size class can differ.
-
-    Class k holds sizes from 2^k to below 2^(k+1).  A similarity of s bounds the symmetric
-    difference by (1 - s) / (1 + s) times the sum of both sizes.
-    """
-    return (100 - percent) * 2 * (2 ** (size_class + 1) - 1) // (100 + percent)
-
-
-def classes(size: int, percent: int) -> list[int]:
-    """The size classes a set takes part in: its own, and the next one if a linked set can be there."""
-    own = size.bit_length() - 1
-    return [own, own + 1] if percent * 2 ** (own + 1) <= 100 * size else [own]
+def order_keys(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The global order of shingles as whole numbers: by hash, the frequent ones after all others."""
+    keys = (shingles >> np.uint64(2)).astype(np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
+        keys = keys | ((frequent[at] == shingles).astype(np.int64) << np.int64(62))
+    return keys
 
 
-def band_pivots(shingles: np.ndarray, percent: int, own_class_only: bool = False) -> np.ndarray:
-    """The pivots of a set: for each size class and band, the hash of what the set has in the band.
+def set_pivots(shingles: np.ndarray, percent: int, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+    """The pivots of a set, and the order key of the last one.
 
-    Shingles are dealt to bands by their hash, one band more than linked sets can differ in (and
-    some spare ones).  The symmetric difference adds up over bands, so linked sets are at
-    distance 0 in one band at least, where both meet at the same pivot.  Empty bands count only
-    for sets with more of them than spare bands.
+    Pivots are single shingles.  In Jaccard distance a set is as near to each of its own shingles
+    as to any other, and at distance 1 from the rest: it lies in the cell of its first shingle in the
+    global order, and its window reaches as many cells further as a linked set may lack of its
+    shingles.  A linked set shares at least ``percent`` of the shingles, so two linked sets meet
+    in a cell of the window of both.  Any order gives this; rare shingles first keeps cells small.
     """
-    found = []
-    for k in classes(len(shingles), percent)[:1 if own_class_only else None]:
-        differ = reach(k, percent)
-        if differ == 0:  # only equal sets link, and those are one class
-            continue
-        bands = differ + 1 + SPARE
-        dealt = mix(shingles + np.uint64(2 * k + 1))
-        band = (dealt >> np.uint64(33)).astype(np.int64) % bands
-        order = np.argsort(band, kind="stable")
-        there, first = np.unique(band[order], return_index=True)
-        content = np.add.reduceat(dealt[order], first)
-        key = np.uint64(k << 40)
-        found.append(mix(content + mix(there.astype(np.uint64) + key)))
-        if bands - len(there) > SPARE:
-            missing = np.setdiff1d(np.arange(bands), there)
-            found.append(mix(mix(missing.astype(np.uint64) + key) + np.uint64(bands)))
-    return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+    keys = order_keys(shingles, frequent)
+    count = len(shingles) - (percent * len(shingles) + 99) // 100 + 1
+    first = np.argsort(keys, kind="stable")[:count]
+    return shingles[first].view(np.int64), int(keys[first[-1]])
 
 
 def set_digest(shingles: np.ndarray) -> int:
@@ -69,25 +55,58 @@ def set_digest(shingles: np.ndarray) -> int:
     return int(mixed.view(np.int64)[0])
 
 
-def set_classes(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n_shingles, class``: equal sets have one class; null for texts without words."""
+def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
+    """Shingles of many texts, sorted; a bounded number.  They only order pivots and change no result.
+
+    Tasks count chunks of texts, each distinct set once, and pass on what occurs three times in a chunk.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            own, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(own[n > 2].view(np.int64)), pa.array(n[n > 2])], ["shingle", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                own = shingle_set(text, words)
+                if len(own) and (name := set_digest(own)) not in seen:
+                    seen.add(name)
+                    held.append(own)
+                    size += len(own)
+                if size >= COUNTED:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    counted = texts(docs).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    most = counted.where(F.col("n") >= FREQUENT_TEXTS).orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle").toPandas()
+    return np.sort(most["shingle"].to_numpy(np.int64).view(np.uint64))
+
+
+def set_classes(docs: DataFrame, words: int, percent: int, frequent: Broadcast) -> DataFrame:
+    """``doc_id, n_shingles, class, last``: equal sets have one class; null for texts without words."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "n_shingles", "class"])
+                 pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.array([set_pivots(s, percent, frequent.value)[1] if len(s) else None for s in sets], pa.int64())],
+                ["doc_id", "n_shingles", "class", "last"])
 
     rows = texts(docs, "doc_id")
-    return rows.mapInArrow(digest, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, class long")
+    return rows.mapInArrow(digest, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, class long, last long")
 
 
-def regions(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``pivot, class, rank``: the members of every region with several classes, ranked by class.
+def regions(docs: DataFrame, words: int, percent: int, frequent: Broadcast) -> DataFrame:
+    """``pivot, class, rank, size``: the members of every region with several classes, ranked by class.
 
-    Each task gives out a class once, so copies combine before the shuffle.  Of regions with
-    equal members one is kept.
+    Each task gives out a class once, so copies combine before the shuffle.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +117,7 @@ def regions(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 own = shingle_set(text, words)
                 if len(own) and (name := set_digest(own)) not in seen:
                     seen.add(name)
-                    pivots.append(band_pivots(own, percent))
+                    pivots.append(set_pivots(own, percent, frequent.value)[0])
                     owners.append(np.full(len(pivots[-1]), name, np.int64))
             if pivots:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(pivots)), pa.array(np.concatenate(owners))], ["pivot", "class"])
@@ -106,48 +125,65 @@ def regions(docs: DataFrame, words: int, percent: int) -> DataFrame:
     dealt = texts(docs).mapInArrow(deal, "pivot long, class long")
     region = Window.partitionBy("pivot")
     several = dealt.withColumn("low", F.min("class").over(region)).withColumn("high", F.max("class").over(region))
-    members = stored(several.where("low <> high").select("pivot", "class").distinct(), "members")
-    alike = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("a"),
-                                         F.bit_xor(F.xxhash64("class", F.lit(1))).alias("b"))
-    kept = alike.groupBy("n", "a", "b").agg(F.min("pivot").alias("pivot")).select("pivot")
-    rank = F.row_number().over(Window.partitionBy("pivot").orderBy("class")) - 1
-    return stored(members.join(kept, "pivot").withColumn("rank", rank), "regions")
-
-
-def clusters(members: DataFrame) -> DataFrame:
-    """``class, cluster``: classes that chains of regions connect; linked classes are in one cluster."""
-    first = members.where("rank = 0").select("pivot", F.col("class").alias("b"))
-    roots = components(members.where("rank > 0").join(first, "pivot").select(F.col("class").alias("a"), "b").distinct())
-    return members.select("class").distinct().join(roots, F.col("class") == F.col("node"), "left").select(
-        "class", F.coalesce("root", "class").alias("cluster"))
+    members = several.where("low <> high").select("pivot", "class").distinct()
+    ranked = members.withColumn("rank", F.row_number().over(region.orderBy("class")) - 1)
+    return stored(ranked.withColumn("size", F.count(F.lit(1)).over(region)), "regions")
 
 
-def member_sets(docs: DataFrame, named: DataFrame, clustered: DataFrame, words: int, percent: int) -> DataFrame:
-    """``class, cluster, n, size_class, bands array<long>, shingles array<long>`` for the clustered classes.
+def clusters(members: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """``class, cluster``: what chains of possible links connect; every link lies inside a cluster.
 
-    Built from the text of one document of each class; ``bands`` are its pivots in its own size class.
+    In a small region all pairs are candidates.  Linked sets share at least so many shingles
+    that, beyond those after the last pivot, some number of pivots must be common; the pairs with
+    fewer common regions, or with sizes too far apart, go.  A large region is one cluster as it is.
     """
+    small = members.where(F.col("size") <= SMALL_REGION)
+    side = lambda c: small.select("pivot", F.col("class").alias(c), F.col("rank").alias(f"rank_{c}"))
+    pairs = side("a").join(side("b"), "pivot").where("rank_a < rank_b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    # regions that both share but that are large aren't among the common ones: they count for both
+    info = named.where("class IS NOT NULL").groupBy("class").agg(F.first("n_shingles").alias("n"), F.first("last").alias("last"))
+    large = members.where(F.col("size") > SMALL_REGION).groupBy("class").agg(F.count(F.lit(1)).alias("large"))
+    info = members.select("class").distinct().join(info, "class").join(large, "class", "left").na.fill(0, ["large"])
+    info = stored(info, "members")
+    about = lambda c: info.select(F.col("class").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "last", "large")])
+    known = pairs.join(about("a"), "a").join(about("b"), "b")
+    least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    beyond = F.when(F.col("last_a") < F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
+    beyond = F.ceil(percent * beyond / 100) - 1
+    shared = F.col("common") + F.least("large_a", "large_b")
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    possible = known.where(sizes & (shared >= least - beyond)).select("a", "b")
+    first = members.where((F.col("rank") == 0) & (F.col("size") > SMALL_REGION)).select("pivot", F.col("class").alias("b"))
+    whole = members.where("rank > 0").join(first, "pivot").select(F.col("class").alias("a"), "b")
+    roots = stored(components(possible.unionByName(whole).distinct()), "roots")
+    # a root is a member too
+    return roots.select(F.col("node").alias("class"), F.col("root").alias("cluster")).unionByName(
+        roots.select(F.col("root").alias("class"), F.col("root").alias("cluster")).distinct())
+
+
+def member_sets(docs: DataFrame, named: DataFrame, clustered: DataFrame, words: int) -> DataFrame:
+    """``class, cluster, n, shingles array<long>`` for the clustered classes, from the text of one document of each."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
-            names, groups = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            sets = [shingle_set(t, words) for t in batch.column(2).to_pylist()]
-            # rows of one id may have different texts; only the class's own set counts
-            own = [(name, group, s.view(np.int64)) for name, group, s in zip(names, groups, sets) if set_digest(s) == name]
+            own = []
+            for name, group, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                made = shingle_set(text, words)
+                # rows of one id may repeat or have different texts; only the class's own set counts
+                if name not in done and set_digest(made) == name:
+                    done.add(name)
+                    own.append((name, group, made.view(np.int64)))
+            bounds = np.cumsum([0, *(len(s) for _, _, s in own)])
+            flat = np.concatenate([*(s for _, _, s in own), np.zeros(0, np.int64)])
             column = lambda i: pa.array([r[i] for r in own], pa.int64())
-
-            def lists(arrays: list[np.ndarray]) -> pa.Array:
-                bounds = np.cumsum([0, *map(len, arrays)])
-                return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([*arrays, np.zeros(0, np.int64)])))
-
-            bands = [band_pivots(s.view(np.uint64), percent, own_class_only=True) for _, _, s in own]
             yield pa.RecordBatch.from_arrays(
-                [column(0), column(1), pa.array([len(s) for _, _, s in own], pa.int64()), pa.array([len(s).bit_length() - 1 for _, _, s in own], pa.int64()),
-                 lists(bands), lists([s for _, _, s in own])], ["class", "cluster", "n", "size_class", "bands", "shingles"])
+                [column(0), column(1), pa.array(np.diff(bounds), pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))],
+                ["class", "cluster", "n", "shingles"])
 
     first = named.join(clustered, "class").groupBy("class", "cluster").agg(F.min("doc_id").alias("__first"))
     rows = texts(docs, "doc_id").join(first, F.col("doc_id") == F.col("__first")).select("class", "cluster", "text")
-    return stored(rows.mapInArrow(build, "class long, cluster long, n long, size_class long, bands array<long>, shingles array<long>").dropDuplicates(["class"]), "sets")
+    return stored(rows.mapInArrow(build, "class long, cluster long, n long, shingles array<long>"), "sets")
 
 
 def joined_cluster(names: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -164,7 +200,8 @@ def joined_cluster(names: np.ndarray, sets: list[np.ndarray], percent: int) -> n
             i = up[i]
         return i
 
-    pivots = [band_pivots(own.view(np.uint64), percent) for own in sets]
+    none = np.zeros(0, np.uint64)
+    pivots = [set_pivots(own.view(np.uint64), percent, none)[0] for own in sets]
     owners = np.repeat(np.arange(len(sets)), [len(p) for p in pivots])
     dealt = np.concatenate([*pivots, np.zeros(0, np.int64)])
     order = np.argsort(dealt, kind="stable")
@@ -199,25 +236,12 @@ def small_components(sets: DataFrame, small: DataFrame, percent: int) -> DataFra
     """``class, label`` for the clusters in ``small``, each joined in one task."""
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("class")
+        rows = rows.drop_duplicates("class").sort_values("class")
         names = rows["class"].to_numpy(np.int64)
         return pd.DataFrame({"class": names, "label": joined_cluster(names, [np.asarray(s) for s in rows["shingles"]], percent)})
 
-    return sets.join(small, "cluster").select("cluster", "class", "shingles").groupBy("cluster").applyInPandas(join, "class long, label long")
-
-
-def alike_bands(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that may link.
-
-    Linked sets differ in a bounded number of shingles, hence of bands: sets of one size class
-    that share fewer bands are ruled out by their bands alone, a tenth of their shingles.
-    """
-    side = lambda c: sets.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("size_class").alias(f"k_{c}"), F.col("bands").alias(f"bands_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    differ = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent))
-    shared = F.size(F.array_intersect("bands_a", "bands_b"))
-    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return both.where(fits & ((F.col("k_a") != F.col("k_b")) | (shared >= F.size("bands_a") - differ))).select("a", "b")
+    joined = sets.join(small, "cluster").select("cluster", "class", "shingles").groupBy("cluster").applyInPandas(join, "class long, label long")
+    return joined.distinct()
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -274,9 +298,10 @@ def class_components(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     large = sizes.where("NOT fits").select("cluster")
     if not large.take(1):
         return labels
-    rest = stored(sets.join(large, "cluster"), "large-sets")
-    own = members.join(rest.select("class"), "class")
-    return labels.unionByName(large_components(own, rest, percent))
+    rest = sets.join(large, "cluster")
+    own = members.join(rest.select("class").distinct(), "class").select("pivot", "class", "rank")
+    ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy("pivot").orderBy("class")) - 1)
+    return labels.unionByName(large_components(stored(ranked, "large"), rest, percent))
 
 
 def large_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -295,7 +320,7 @@ def large_components(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     nearest = members.where("rank > 0").join(first, "pivot").groupBy(F.col("class").alias("a")).agg(F.min("b").alias("b"))
     seen = stored(compared(nearest, sets, percent), "compared")
     known = seen.select(F.col("a").alias("class"), F.col("b").alias("near"), "distance")
-    labels = sets.select("class", "n").join(known, "class", "left")
+    labels = sets.select("class", "n").distinct().join(known, "class", "left")
     labels = stored(labels.select("class", F.col("class").alias("label"), "n", "near", "distance"), "labels")
     labels = relabelled(labels, seen.where("linked"))
     tried = seen.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -323,7 +348,7 @@ def large_components(members: DataFrame, sets: DataFrame, percent: int) -> DataF
             low, high = high, 2 * high + 1
             continue
         tried, each = stored(tried.unionByName(chosen), "tried"), 2 * each
-        links = stored(compared(alike_bands(chosen, sets, percent), sets, percent).where("linked").select("a", "b"), "links")
+        links = stored(compared(chosen, sets, percent).where("linked").select("a", "b"), "links")
         if links.take(1):
             labels = relabelled(labels, links)
 
@@ -336,18 +361,19 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     100 * intersection >= percent * union.  ``component_id`` is the smallest doc_id that links
     reach.  Equal sets are one class, compared once; the join between classes is exact.
 
-    Pivots are contents of bands of the shingle space (``band_pivots``): a region is what lies at
-    distance 0 of its pivot there; sets near the border of a size class are replicated into
-    the next one; regions that hang together are joined in one task where they are small, and recur with
-    documents as pivots where they aren't (``class_components``).
+    Pivots are single shingles (``set_pivots``): a region is the cell of a pivot, and sets are
+    replicated into the cells that a linked set may lie in.  What possible links connect (``clusters``)
+    is joined in one task where it is small, and recurs with documents as pivots where it isn't
+    (``class_components``).
 
     Texts without words, null ones too, have no shingles and link with nothing.  Rows with equal
     doc_id count as one document in the links; rows with a null one have a null component.
     All rows stay; other columns go.
     """
-    named = stored(set_classes(docs, words), "classes")
-    members = regions(docs, words, percent)
-    sets = member_sets(docs, named, clusters(members), words, percent)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, words))
+    named = stored(set_classes(docs, words, percent, frequent), "classes")
+    members = regions(docs, words, percent, frequent)
+    sets = member_sets(docs, named, clusters(members, named, percent), words)
     labels = class_components(members, sets, percent)
     lowest = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("lowest"))
     groups = lowest.join(labels, "class", "left").withColumn("group", F.coalesce("label", "class"))

@@ -445,7 +445,7 @@ def test_jaccard_odd_rows(odd, none):
     assert kept.columns == odd.columns and kept.count() == len(odd_rows())
 
 
-def test_linked_sets_share_a_band_pivot():
+def test_linked_sets_share_a_pivot():
     rng = random.Random(13)
     for percent in (60, 80, 90):
         for _ in range(300):
@@ -453,9 +453,26 @@ def test_linked_sets_share_a_band_pivot():
             base = [str(k) for k in rng.sample(range(10**6), size)]
             other = base[:max(1, round(size * rng.uniform(percent / 100, 1)))] + [str(k) for k in rng.sample(range(10**6), rng.randrange(1 + size // 10))]
             a, b = shingle_set(" ".join(base), 1), shingle_set(" ".join(other), 1)
+            frequent = np.sort(rng.sample(a.tolist(), len(a) // 2)).astype(np.uint64)
             common = len(np.intersect1d(a, b))
-            if 100 * common >= percent * (len(a) + len(b) - common) and common < max(len(a), len(b)):
-                assert np.intersect1d(jaccard.band_pivots(a, percent), jaccard.band_pivots(b, percent)).size
+            if 100 * common >= percent * (len(a) + len(b) - common):
+                assert np.intersect1d(jaccard.set_pivots(a, percent, frequent)[0], jaccard.set_pivots(b, percent, frequent)[0]).size
+
+
+def test_frequent_shingles_change_no_result(spark, monkeypatch):
+    """A line in every text, few shingles counted as frequent or many, small regions or large ones."""
+    rng = random.Random(14)
+    rows = []
+    for _ in range(60):
+        own = [rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(rng.randrange(3, 30))]
+        for _ in range(rng.choice([1, 1, 3])):
+            rows.append((len(rows), " ".join(own[:len(own) - rng.randrange(2)]) + " one line that all texts have at their end"))
+    docs, expected = documents(spark, [(i, t, "s") for i, t in rows]), linked_groups(rows, 3, 80)
+    for texts, region in ((20, 100), (3, 5), (10**9, 2)):
+        monkeypatch.setattr(jaccard, "FREQUENT_TEXTS", texts)
+        monkeypatch.setattr(jaccard, "SMALL_REGION", region)
+        found = jaccard.jaccard_join(docs, 3, 80).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
 
 
 def test_components_of_long_chains(spark):
