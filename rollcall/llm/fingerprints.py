@@ -110,18 +110,19 @@ def edited_likeness(docs: DataFrame, n: int = SHINGLE, scale: int = SCALE) -> Da
     A null text is an empty one.  Rows with equal id and text are one document in the order; each of
     them is returned.  A single document is its own next one.  Null ids come last.
     """
+    # plain keys: joins and grouping on a null-safe comparison would deal the rows out differently, once more each
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
     links = neighbours(docs)
-    rows = texts(docs, "doc_id").withColumn("digest", F.xxhash64("text"))
+    rows = texts(docs, "doc_id").select(name("doc_id").alias("name"), F.xxhash64("text").alias("digest"), "doc_id", "text")
     # the text of each document, sent to the one that it follows: only the part that this one takes, and its sketch
-    asked = links.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("before.doc_id").alias("to_id"), F.col("before.digest").alias("to_digest"),
+    asked = links.select(name("doc_id").alias("name"), "digest", name("before.doc_id").alias("to_name"), F.col("before.digest").alias("to_digest"),
                          F.floor(F.col("before.n_chars") / 3).cast("int").alias("take"))
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["__id"]) & (a["digest"] == b["__digest"])
-    sent = rows.join(asked, same(rows, asked)).select(
-        F.col("to_id").alias("__id"), F.col("to_digest").alias("__digest"),
+    sent = rows.join(asked, ["name", "digest"]).select(
+        F.col("to_name").alias("name"), F.col("to_digest").alias("digest"),
         F.substring("text", F.lit(1), F.col("take")).alias("taken"), sketch(F.col("text"), n, scale).alias("next"))
     # repeated rows send the same
-    sent = sent.groupBy("__id", "__digest").agg(F.first("taken").alias("taken"), F.first("next").alias("next"))
-    joined = rows.join(sent, same(rows, sent), "left")
+    sent = sent.groupBy("name", "digest").agg(F.first("taken").alias("taken"), F.first("next").alias("next"))
+    joined = rows.join(sent, ["name", "digest"], "left")
     size = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), size - F.floor(size / 3).cast("int")), F.coalesce("taken", F.lit("")))
     made = joined.select("doc_id", size.cast("long").alias("n_chars"), edited.alias("edited"), sketch(F.col("text"), n, scale).alias("own"), "next")
