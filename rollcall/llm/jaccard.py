@@ -319,7 +319,7 @@ def large_components(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     first = members.where("rank = 0").select("pivot", F.col("class").alias("b"))
     nearest = members.where("rank > 0").join(first, "pivot").groupBy(F.col("class").alias("a")).agg(F.min("b").alias("b"))
     seen = stored(compared(nearest, sets, percent), "compared")
-    known = seen.select(F.col("a").alias("class"), F.col("b").alias("near"), "distance")
+    known = seen.select(F.col("a").alias("class"), F.col("b").alias("near"), "distance").distinct()
     labels = sets.select("class", "n").distinct().join(known, "class", "left")
     labels = stored(labels.select("class", F.col("class").alias("label"), "n", "near", "distance"), "labels")
     labels = relabelled(labels, seen.where("linked"))
