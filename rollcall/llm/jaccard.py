@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,7 +59,7 @@ def set_digest(shingles: np.ndarray) -> int:
 def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
     """Shingles of many texts, sorted; a bounded number.  They only order pivots and change no result.
 
-    Tasks count chunks of texts, each distinct set once, and pass on what occurs three times in a chunk.
+    Tasks count chunks of texts, each distinct set once, and pass on what occurs twice in a chunk.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,7 +68,7 @@ def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
 
         def flush() -> pa.RecordBatch:
             own, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(own[n > 2].view(np.int64)), pa.array(n[n > 2])], ["shingle", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(own[n > 1].view(np.int64)), pa.array(n[n > 1])], ["shingle", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -137,22 +138,24 @@ def clusters(members: DataFrame, named: DataFrame, percent: int) -> DataFrame:
     that, beyond those after the last pivot, some number of pivots must be common; the pairs with
     fewer common regions, or with sizes too far apart, go.  A large region is one cluster as it is.
     """
-    small = members.where(F.col("size") <= SMALL_REGION)
-    side = lambda c: small.select("pivot", F.col("class").alias(c), F.col("rank").alias(f"rank_{c}"))
-    pairs = side("a").join(side("b"), "pivot").where("rank_a < rank_b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
-    # regions that both share but that are large aren't among the common ones: they count for both
-    info = named.where("class IS NOT NULL").groupBy("class").agg(F.first("n_shingles").alias("n"), F.first("last").alias("last"))
+    # regions that both share but that are large aren't among the common ones below: they count for both
     large = members.where(F.col("size") > SMALL_REGION).groupBy("class").agg(F.count(F.lit(1)).alias("large"))
+    info = named.where("class IS NOT NULL").groupBy("class").agg(F.first("n_shingles").alias("n"), F.first("last").alias("last"))
     info = members.select("class").distinct().join(info, "class").join(large, "class", "left").na.fill(0, ["large"])
-    info = stored(info, "members")
-    about = lambda c: info.select(F.col("class").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "last", "large")])
-    known = pairs.join(about("a"), "a").join(about("b"), "b")
+    # sizes in steps of the similarity: linked sets are at most one step apart
+    step = F.floor(F.log(F.col("n")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
+    small = members.where(F.col("size") <= SMALL_REGION).join(info, "class").withColumn("step", step)
+    side = lambda c, *more: small.select("pivot", *more, *[F.col(x).alias(f"{x}_{c}") for x in ("class", "rank", "n", "last", "large")])
+    lower = side("b", F.col("step").alias("own"), F.explode(F.array(F.col("step"), F.col("step") - 1)).alias("step"))
+    pairs = side("a", "step").join(lower, ["pivot", "step"]).where((F.col("own") != F.col("step")) | (F.col("rank_a") < F.col("rank_b")))
+    pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    known = pairs.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("common"), *[F.first(f"{x}_{c}").alias(f"{x}_{c}") for x in ("n", "last", "large") for c in "ab"])
     least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     beyond = F.when(F.col("last_a") < F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
     beyond = F.ceil(percent * beyond / 100) - 1
     shared = F.col("common") + F.least("large_a", "large_b")
-    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    possible = known.where(sizes & (shared >= least - beyond)).select("a", "b")
+    possible = known.where(shared >= least - beyond).select("a", "b")
     first = members.where((F.col("rank") == 0) & (F.col("size") > SMALL_REGION)).select("pivot", F.col("class").alias("b"))
     whole = members.where("rank > 0").join(first, "pivot").select(F.col("class").alias("a"), "b")
     roots = stored(components(possible.unionByName(whole).distinct()), "roots")
