@@ -8,13 +8,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from rollcall.llm.common import texts
 
 MARK = "▁"
 #: distinct chunks that a task keeps; a full table starts anew, which costs time but changes no result
-TABLE_CHUNKS = 400_000
+TABLE_CHUNKS = 150_000
 
 
 @lru_cache(maxsize=4)
@@ -91,7 +92,7 @@ class ChunkTable:
         return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())), pa.array(spoken, pa.string())
 
 
-def encode_decode(docs: DataFrame, model_path: str, batch_chars: int = 4_000_000) -> DataFrame:
+def encode_decode(docs: DataFrame, model_path: str, batch_chars: int = 2_000_000) -> DataFrame:
     """Every text as ids and back: ``doc_id, ids array<int>, decoded``.
 
     ``model_path`` is a place that every executor has.  Pieces that cannot cross a word marker
@@ -108,14 +109,15 @@ def encode_decode(docs: DataFrame, model_path: str, batch_chars: int = 4_000_000
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(model_path)
         for batch in batches:
-            ids, rows = batch.column(0), batch.column(1).to_pylist()
+            ids, rows = batch.column(0), batch.column(1)
+            lengths = pc.binary_length(rows).to_pylist()
             start = 0
             while start < len(rows):
                 end, size = start, 0
-                while end < len(rows) and (end == start or size + len(rows[end]) <= batch_chars):
-                    size += len(rows[end])
+                while end < len(rows) and (end == start or size + lengths[end] <= batch_chars):
+                    size += lengths[end]
                     end += 1
-                encoded, decoded = table.lookup(rows[start:end])
+                encoded, decoded = table.lookup(rows.slice(start, end - start).to_pylist())
                 yield pa.RecordBatch.from_arrays([ids.slice(start, end - start), encoded, decoded], ["doc_id", "ids", "decoded"])
                 start = end
 
