@@ -6,10 +6,13 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollcall.llm.common import trimmed
+from rollcall.llm.common import trimmed, word_count
 
-#: a line on so many distinct sites is boilerplate
-LEAST_SITES = 20
+#: least words of a line, and the distinct sites that make such a line boilerplate; the same for every corpus.
+#: Few sites repeat a long passage by chance, short sentences need more of them.
+LEAST_SITES = ((20, 3), (8, 4), (0, 6))
+#: sites asked for by the SQL of op6_line_dedup, for lines of any length
+SQL_SITES = 20
 #: a document keeps all its lines if more than this share of its characters would go: it is a copy, not a carrier
 MOST_REMOVED = 0.5
 #: binary logarithm of a sketch's registers
@@ -21,8 +24,16 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(trimmed(line))
 
 
-def line_sites(docs: DataFrame) -> DataFrame:
-    """``line, content, source``: each distinct line of each distinct text, with one site.
+def sites_asked(line: Column, least_sites: int | None) -> Column:
+    """Distinct sites that make the line boilerplate: ``least_sites``, or by the number of its words."""
+    if least_sites is not None:
+        return F.lit(least_sites)
+    words = word_count(line)
+    return F.coalesce(*[F.when(words >= least, F.lit(sites)) for least, sites in LEAST_SITES])
+
+
+def line_sites(docs: DataFrame, least_sites: int | None = None) -> DataFrame:
+    """``line, asked, content, source``: each distinct line of each distinct text, with one site and the sites asked for.
 
     Copies of one text are one document here: they count for the first of their sites by code
     point (a site that isn't null goes first).  Equal rows combine before the shuffle.
@@ -30,32 +41,34 @@ def line_sites(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("source", F.xxhash64(text).alias("content"), F.split(text, "\n").alias("lines"))
     full = F.filter("lines", lambda x: trimmed(x) != "")
-    rows = rows.select("source", "content", F.explode(F.array_distinct(F.transform(full, line_hash))).alias("line"))
-    return rows.groupBy("line", "content").agg(F.min("source").alias("source"))
+    own = lambda x: F.struct(line_hash(x).alias("line"), sites_asked(x, least_sites).alias("asked"))
+    rows = rows.select("source", "content", F.explode(F.array_distinct(F.transform(full, own))).alias("own"))
+    return rows.groupBy("own.line", "own.asked", "content").agg(F.min("source").alias("source"))
 
 
-def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, lg_registers: int = LG_REGISTERS) -> DataFrame:
-    """``line``: the hashes of the lines that at least ``least_sites`` distinct sites have.
+def boilerplate(docs: DataFrame, least_sites: int | None = None, lg_registers: int = LG_REGISTERS) -> DataFrame:
+    """``line``: the hashes of the lines that at least ``least_sites`` distinct sites have, or those asked for by length.
 
     A HyperLogLog sketch for each line merges by aggregation, whatever the number of sites.
     Lines whose estimate lies within three standard errors (and one) of the threshold are counted exactly.
     """
-    found = line_sites(docs)
+    found = line_sites(docs, least_sites)
     site = F.xxhash64("source")
-    sketches = found.groupBy("line").agg(F.hll_sketch_agg(site, F.lit(lg_registers)).alias("sketch"), F.count(F.lit(1)).alias("n"))
+    sketches = found.groupBy("line", "asked").agg(F.hll_sketch_agg(site, F.lit(lg_registers)).alias("sketch"), F.count(F.lit(1)).alias("n"))
     # a line in fewer texts than sites asked for can't reach the threshold
-    spread = sketches.where(F.col("n") >= least_sites).select("line", F.hll_sketch_estimate("sketch").alias("sites"))
-    margin = math.ceil(3 * 1.04 / math.sqrt(2**lg_registers) * least_sites) + 1
-    clear = spread.where(F.col("sites") > least_sites + margin).select("line")
-    near = spread.where(F.col("sites").between(least_sites - margin, least_sites + margin)).select("line")
-    exact = found.join(near, "line").groupBy("line").agg(F.count_distinct(site).alias("sites"))
-    return clear.unionByName(exact.where(F.col("sites") >= least_sites).select("line"))
+    spread = sketches.where(F.col("n") >= F.col("asked")).select("line", "asked", F.hll_sketch_estimate("sketch").alias("sites"))
+    margin = F.ceil(3 * 1.04 / math.sqrt(2**lg_registers) * F.col("asked")) + 1
+    clear = spread.where(F.col("sites") > F.col("asked") + margin).select("line")
+    near = spread.where(F.col("sites").between(F.col("asked") - margin, F.col("asked") + margin)).select("line")
+    exact = found.join(near, "line").groupBy("line", "asked").agg(F.count_distinct(site).alias("sites"))
+    return clear.unionByName(exact.where(F.col("sites") >= F.col("asked")).select("line"))
 
 
-def dedup_lines(docs: DataFrame, least_sites: int = LEAST_SITES, most_removed: float = MOST_REMOVED) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_sites: int | None = None, most_removed: float = MOST_REMOVED) -> DataFrame:
     """The documents without boilerplate lines, in their own columns, and ``__removed``, the number of lines that went.
 
-    A line is compared without the white space around it; blank lines stay.  ``text`` is
+    A line is boilerplate on ``least_sites`` distinct sites; without that, on as many as LEAST_SITES
+    asks of its words.  It is compared without the white space around it; blank lines stay.  ``text`` is
     rebuilt from the lines that stay; ``n_chars``, where there is such a column, follows.  A
     document that would lose over ``most_removed`` of its characters stays whole.
 
@@ -63,7 +76,7 @@ def dedup_lines(docs: DataFrame, least_sites: int = LEAST_SITES, most_removed: f
     results; rows with equal or null ids all stay; other columns pass unchanged.
     """
     lines = boilerplate(docs, least_sites)
-    flagged = line_sites(docs).join(lines, "line").groupBy(F.col("content").alias("__content")).agg(F.collect_set("line").alias("__flagged"))
+    flagged = line_sites(docs, least_sites).join(lines, "line").groupBy(F.col("content").alias("__content")).agg(F.collect_set("line").alias("__flagged"))
     rows = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     joined = rows.join(flagged, F.col("__own") == F.col("__content"), "left")
     gone = lambda x: (trimmed(x) != "") & F.array_contains("__flagged", line_hash(x))
@@ -85,7 +98,7 @@ def dedup_lines(docs: DataFrame, least_sites: int = LEAST_SITES, most_removed: f
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:
-    cleaned = dedup_lines(docs.select("doc_id", "source", "text"))
+    cleaned = dedup_lines(docs.select("doc_id", "source", "text"), SQL_SITES)
     text = F.coalesce(F.col("text"), F.lit(""))
     return cleaned.select("doc_id", (F.size(F.split(text, "\n")) + F.col("__removed")).cast("long").alias("n_lines"),
                           F.col("__removed").alias("removed_lines"), F.length(text).cast("long").alias("kept_chars"),

@@ -295,6 +295,15 @@ def test_line_dedup(spark, odd, none):
     assert len(every(odd, none, lines.op6_line_dedup)) == len(odd_rows())
 
 
+def test_line_dedup_by_default_in_small_corpora(spark):
+    passage = " ".join(f"word{k}" for k in range(60))
+    for sites in (3, 10, 19):
+        rows = [(k, "\n".join([f"own line {k} {n} " + "pad " * 60 for n in range(4)] + [passage, "All rights reserved."]), f"s{k}") for k in range(sites)]
+        found = {r.doc_id: r.text for r in lines.stage_line_dedup(documents(spark, rows)).collect()}
+        bad = {passage} if sites == 3 else {passage, "All rights reserved."}  # short sentences need more sites
+        assert found == {i: "\n".join(x for x in t.split("\n") if x not in bad) for i, t, _ in rows}
+
+
 def repeated(own):
     seen = Counter(tuple(own[k:k + 5]) for k in range(len(own) - 4))
     return len({j for k in range(len(own) - 4) if seen[tuple(own[k:k + 5])] > 1 for j in range(k, k + 5)})
