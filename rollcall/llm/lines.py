@@ -13,8 +13,8 @@ from rollcall.llm.common import trimmed, word_count
 LEAST_SITES = ((20, 3), (8, 4), (0, 6))
 #: sites asked for by the SQL of op6_line_dedup, for lines of any length
 SQL_SITES = 20
-#: a document keeps all its lines if more than this share of its characters would go: it is a copy, not a carrier
-MOST_REMOVED = 0.5
+#: share of its characters above which a document keeps all its lines in the SQL of op6_line_dedup
+SQL_REMOVED = 0.5
 #: binary logarithm of a sketch's registers
 LG_REGISTERS = 10
 
@@ -64,13 +64,14 @@ def boilerplate(docs: DataFrame, least_sites: int | None = None, lg_registers: i
     return clear.unionByName(exact.where(F.col("sites") >= F.col("asked")).select("line"))
 
 
-def dedup_lines(docs: DataFrame, least_sites: int | None = None, most_removed: float = MOST_REMOVED) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_sites: int | None = None, most_removed: float | None = None) -> DataFrame:
     """The documents without boilerplate lines, in their own columns, and ``__removed``, the number of lines that went.
 
     A line is boilerplate on ``least_sites`` distinct sites; without that, on as many as LEAST_SITES
     asks of its words.  It is compared without the white space around it; blank lines stay.  ``text`` is
-    rebuilt from the lines that stay; ``n_chars``, where there is such a column, follows.  A
-    document that would lose over ``most_removed`` of its characters stays whole.
+    rebuilt from the lines that stay; ``n_chars``, where there is such a column, follows.
+    Boilerplate goes whatever share of a document it makes up; only a document without a line
+    of its own stays whole.  With ``most_removed``, one stays whole that would lose a larger share of its characters instead.
 
     Null and empty texts stay as they are; a null source is a site.  Equal texts get equal
     results; rows with equal or null ids all stay; other columns pass unchanged.
@@ -83,7 +84,11 @@ def dedup_lines(docs: DataFrame, least_sites: int | None = None, most_removed: f
     split = joined.withColumn("__lines", F.when(F.col("__flagged").isNotNull(), F.split("text", "\n")))
     split = split.withColumn("__kept", F.filter("__lines", lambda x: ~gone(x)))
     rest = F.array_join("__kept", "\n")
-    split = split.withColumn("__rest", F.when((F.length("text") - F.length(rest)) <= most_removed * F.length("text"), rest))
+    if most_removed is None:
+        some = F.exists("__kept", lambda x: trimmed(x) != "")
+    else:
+        some = (F.length("text") - F.length(rest)) <= most_removed * F.length("text")
+    split = split.withColumn("__rest", F.when(some, rest))
     changed = F.col("__rest").isNotNull()
     columns = []
     for c in docs.columns:
@@ -98,7 +103,7 @@ def dedup_lines(docs: DataFrame, least_sites: int | None = None, most_removed: f
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:
-    cleaned = dedup_lines(docs.select("doc_id", "source", "text"), SQL_SITES)
+    cleaned = dedup_lines(docs.select("doc_id", "source", "text"), SQL_SITES, SQL_REMOVED)
     text = F.coalesce(F.col("text"), F.lit(""))
     return cleaned.select("doc_id", (F.size(F.split(text, "\n")) + F.col("__removed")).cast("long").alias("n_lines"),
                           F.col("__removed").alias("removed_lines"), F.length(text).cast("long").alias("kept_chars"),

@@ -304,6 +304,14 @@ def test_line_dedup_by_default_in_small_corpora(spark):
         assert found == {i: "\n".join(x for x in t.split("\n") if x not in bad) for i, t, _ in rows}
 
 
+def test_line_dedup_cleans_documents_that_are_mostly_boilerplate(spark):
+    passage = " ".join(f"word{k}" for k in range(60))
+    rows = [(k, f"short text {k}\n{passage}\n", f"s{k}") for k in range(4)] + [(9, passage, "s9")]
+    found = {r.doc_id: r.text for r in lines.stage_line_dedup(documents(spark, rows)).collect()}
+    # a document without a line of its own stays
+    assert found == {k: f"short text {k}\n" for k in range(4)} | {9: passage}
+
+
 def repeated(own):
     seen = Counter(tuple(own[k:k + 5]) for k in range(len(own) - 4))
     return len({j for k in range(len(own) - 4) if seen[tuple(own[k:k + 5])] > 1 for j in range(k, k + 5)})
