@@ -11,6 +11,8 @@ from rollcall.llm.common import trimmed, word_count
 #: least words of a line, and the distinct sites that make such a line boilerplate; the same for every corpus.
 #: Few sites repeat a long passage by chance, short sentences need more of them.
 LEAST_SITES = ((20, 3), (8, 4), (0, 6))
+#: a line of fewer distinct texts, on whatever sites, belongs to whole copies, which are the Jaccard join's work
+LEAST_TEXTS = 3
 #: sites asked for by the SQL of op6_line_dedup, for lines of any length
 SQL_SITES = 20
 #: share of its characters above which a document keeps all its lines in the SQL of op6_line_dedup
@@ -32,43 +34,49 @@ def sites_asked(line: Column, least_sites: int | None) -> Column:
     return F.coalesce(*[F.when(words >= least, F.lit(sites)) for least, sites in LEAST_SITES])
 
 
-def line_sites(docs: DataFrame, least_sites: int | None = None) -> DataFrame:
-    """``line, asked, content, source``: each distinct line of each distinct text, with one site and the sites asked for.
+def line_sites(docs: DataFrame, least_sites: int | None = None, first_sites: bool = False) -> DataFrame:
+    """``line, asked, content, source``: each distinct line of each distinct text on each of its sites, with the sites asked for.
 
-    Copies of one text are one document here: they count for the first of their sites by code
-    point (a site that isn't null goes first).  Equal rows combine before the shuffle.
+    With ``first_sites``, a text has only the first of its sites by code point (a site that isn't
+    null goes first).  Equal rows combine before the shuffle.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("source", F.xxhash64(text).alias("content"), F.split(text, "\n").alias("lines"))
     full = F.filter("lines", lambda x: trimmed(x) != "")
     own = lambda x: F.struct(line_hash(x).alias("line"), sites_asked(x, least_sites).alias("asked"))
     rows = rows.select("source", "content", F.explode(F.array_distinct(F.transform(full, own))).alias("own"))
-    return rows.groupBy("own.line", "own.asked", "content").agg(F.min("source").alias("source"))
+    if first_sites:
+        return rows.groupBy("own.line", "own.asked", "content").agg(F.min("source").alias("source"))
+    return rows.select("own.line", "own.asked", "content", "source").distinct()
 
 
-def boilerplate(docs: DataFrame, least_sites: int | None = None, lg_registers: int = LG_REGISTERS) -> DataFrame:
-    """``line``: the hashes of the lines that at least ``least_sites`` distinct sites have, or those asked for by length.
+def boilerplate(docs: DataFrame, least_sites: int | None = None, first_sites: bool = False, lg_registers: int = LG_REGISTERS) -> DataFrame:
+    """``line``: the hashes of the lines of several distinct texts that at least ``least_sites`` distinct sites have, or those asked for by length.
 
-    A HyperLogLog sketch for each line merges by aggregation, whatever the number of sites.
-    Lines whose estimate lies within three standard errors (and one) of the threshold are counted exactly.
+    HyperLogLog sketches of sites and texts for each line merge by aggregation, whatever their number.
+    Lines of which an estimate lies within three standard errors (and one) of its threshold are counted exactly.
     """
-    found = line_sites(docs, least_sites)
+    found = line_sites(docs, least_sites, first_sites)
     site = F.xxhash64("source")
-    sketches = found.groupBy("line", "asked").agg(F.hll_sketch_agg(site, F.lit(lg_registers)).alias("sketch"), F.count(F.lit(1)).alias("n"))
-    # a line in fewer texts than sites asked for can't reach the threshold
-    spread = sketches.where(F.col("n") >= F.col("asked")).select("line", "asked", F.hll_sketch_estimate("sketch").alias("sites"))
-    margin = F.ceil(3 * 1.04 / math.sqrt(2**lg_registers) * F.col("asked")) + 1
-    clear = spread.where(F.col("sites") > F.col("asked") + margin).select("line")
-    near = spread.where(F.col("sites").between(F.col("asked") - margin, F.col("asked") + margin)).select("line")
-    exact = found.join(near, "line").groupBy("line", "asked").agg(F.count_distinct(site).alias("sites"))
-    return clear.unionByName(exact.where(F.col("sites") >= F.col("asked")).select("line"))
-
-
-def dedup_lines(docs: DataFrame, least_sites: int | None = None, most_removed: float | None = None) -> DataFrame:
+    sketch = lambda c: F.hll_sketch_agg(c, F.lit(lg_registers))
+    sketches = found.groupBy("line", "asked").agg(sketch(site).alias("sites"), sketch(F.col("content")).alias("texts"), F.count(F.lit(1)).alias("n"))
+    # a line with fewer (text, site) rows than sites asked for can't reach the threshold
+    several = sketches.where(F.col("n") >= F.col("asked"))
+    spread = several.select("line", "asked", F.hll_sketch_estimate("sites").alias("sites"), F.hll_sketch_estimate("texts").alias("texts"))
+    margin = lambda least: F.ceil(3 * 1.04 / math.sqrt(2**lg_registers) * least) + 1
+    asked, texts = F.col("asked"), F.lit(LEAST_TEXTS)
+    clear = (F.col("sites") > asked + margin(asked)) & (F.col("texts") > texts + margin(texts))
+    possible = (F.col("sites") >= asked - margin(asked)) & (F.col("texts") >= texts - margin(texts))
+    exact = found.join(spread.where(possible & ~clear).select("line"), "line").groupBy("line", "asked").agg(
+        F.count_distinct(site).alias("sites"), F.count_distinct("content").alias("texts"))
+    return spread.where(clear).select("line").unionByName(exact.where((F.col("sites") >= asked) & (F.col("texts") >= texts)).select("line"))
+
+
+def dedup_lines(docs: DataFrame, least_sites: int | None = None, most_removed: float | None = None, first_sites: bool = False) -> DataFrame:
     """The documents without boilerplate lines, in their own columns, and ``__removed``, the number of lines that went.
 
     A line is boilerplate on ``least_sites`` distinct sites; without that, on as many as LEAST_SITES
-    asks of its words.  It is compared without the white space around it; blank lines stay.  ``text`` is
+    asks of its words; and in LEAST_TEXTS distinct texts.  It is compared without the white space around it; blank lines stay.  ``text`` is
     rebuilt from the lines that stay; ``n_chars``, where there is such a column, follows.
     Boilerplate goes whatever share of a document it makes up; only a document without a line
     of its own stays whole.  With ``most_removed``, one stays whole that would lose a larger share of its characters instead.
@@ -76,8 +84,8 @@ def dedup_lines(docs: DataFrame, least_sites: int | None = None, most_removed: f
     Null and empty texts stay as they are; a null source is a site.  Equal texts get equal
     results; rows with equal or null ids all stay; other columns pass unchanged.
     """
-    lines = boilerplate(docs, least_sites)
-    flagged = line_sites(docs, least_sites).join(lines, "line").groupBy(F.col("content").alias("__content")).agg(F.collect_set("line").alias("__flagged"))
+    lines = boilerplate(docs, least_sites, first_sites)
+    flagged = line_sites(docs, least_sites, first_sites).join(lines, "line").groupBy(F.col("content").alias("__content")).agg(F.collect_set("line").alias("__flagged"))
     rows = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     joined = rows.join(flagged, F.col("__own") == F.col("__content"), "left")
     gone = lambda x: (trimmed(x) != "") & F.array_contains("__flagged", line_hash(x))
@@ -103,7 +111,7 @@ def dedup_lines(docs: DataFrame, least_sites: int | None = None, most_removed: f
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:
-    cleaned = dedup_lines(docs.select("doc_id", "source", "text"), SQL_SITES, SQL_REMOVED)
+    cleaned = dedup_lines(docs.select("doc_id", "source", "text"), SQL_SITES, SQL_REMOVED, first_sites=True)
     text = F.coalesce(F.col("text"), F.lit(""))
     return cleaned.select("doc_id", (F.size(F.split(text, "\n")) + F.col("__removed")).cast("long").alias("n_lines"),
                           F.col("__removed").alias("removed_lines"), F.length(text).cast("long").alias("kept_chars"),

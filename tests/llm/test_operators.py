@@ -312,6 +312,15 @@ def test_line_dedup_cleans_documents_that_are_mostly_boilerplate(spark):
     assert found == {k: f"short text {k}\n" for k in range(4)} | {9: passage}
 
 
+def test_line_dedup_counts_every_site_of_copies(spark):
+    texts = [f"own line {k} " + "pad " * 20 + "\nfooter of many sites" for k in range(4)]
+    rows = [(100 * k + s, t, f"s{s:02}") for k, t in enumerate(texts) for s in range(12)]
+    # two texts on many sites are copies, not carriers
+    rows += [(1000 + 100 * k + s, f"other {k}\nline of two texts", f"s{s:02}") for k in range(2) for s in range(12)]
+    found = {r.doc_id: r.text for r in lines.stage_line_dedup(documents(spark, rows)).collect()}
+    assert found == {i: t.removesuffix("\nfooter of many sites") for i, t, _ in rows}
+
+
 def repeated(own):
     seen = Counter(tuple(own[k:k + 5]) for k in range(len(own) - 4))
     return len({j for k in range(len(own) - 4) if seen[tuple(own[k:k + 5])] > 1 for j in range(k, k + 5)})
