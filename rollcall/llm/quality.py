@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.llm.common import texts, words
 from rollcall.session import stored
@@ -17,8 +17,10 @@ MOST_REPEAT_PERCENT = 20
 UNIT = 256
 #: share of a group that the estimate is made from, and steps towards it
 CORE, STEPS = 0.75, 4
-#: a group with fewer documents is judged by its language, then by all documents
-LEAST_GROUP = 200
+#: so many documents of its own weigh as much in a group's centre and covariance as its language's, and in a language's as all documents'
+SHRINK = 20
+#: standard deviation of every statistic that all documents' covariance is drawn to by the same weight
+BROAD = 1.0
 #: chance of a clean vector to be rejected, were the transformed statistics normal
 TAIL = 1e-9
 #: name, expression, and the least standard deviation that counts: steps below it mean nothing
@@ -30,6 +32,10 @@ STATS = (
 )
 NAMES = [name for name, _, _ in STATS]
 FLOORS = [floor for _, _, floor in STATS]
+#: columns of a centre, of a covariance and of its diagonal
+CENTRES = [f"m{i}" for i in range(len(STATS))]
+SPREADS = [f"v{i}_{j}" for i in range(len(STATS)) for j in range(i + 1)]
+DIAGONAL = [f"v{i}_{i}" for i in range(len(STATS))]
 
 
 def repeat_words(hashes: Column, n: int = WINDOW) -> Column:
@@ -91,19 +97,23 @@ def squared_distance(values: list[Column], mean: list[Column], factor: dict[tupl
     return reduce(lambda a, b: a + b, [s * s for s in solved])
 
 
-def with_factor(moments: DataFrame) -> DataFrame:
-    """Means and the Cholesky factor of the covariance from exact sums, with the floors added on the diagonal."""
+def moments(sums: DataFrame) -> DataFrame:
+    """Means and covariance ``m*, v*`` from exact sums, with the floors added on the diagonal."""
     p, n = len(NAMES), F.col("n").cast("double")
-    out = moments
-    for i in range(p):
-        out = out.withColumn(f"m{i}", F.col(f"s{i}") / n / UNIT)
+    mean = lambda i: F.col(f"s{i}") / n / UNIT
+    cell = lambda i, j: F.col(f"s{i}_{j}") / n / UNIT**2 - mean(i) * mean(j) + F.lit(FLOORS[i] ** 2 if i == j else 0.0)
+    return sums.select("level", "group", *[mean(i).alias(f"m{i}") for i in range(p)],
+                       *[cell(i, j).alias(f"v{i}_{j}") for i in range(p) for j in range(i + 1)])
+
+
+def factored(shapes: DataFrame) -> DataFrame:
+    """The Cholesky factor ``l*`` of the covariance in the place of ``v*``."""
+    p, out = len(NAMES), shapes
     for i in range(p):
         for j in range(i + 1):
-            c = F.col(f"s{i}_{j}") / n / UNIT**2 - F.col(f"m{i}") * F.col(f"m{j}")
-            c = c + F.lit(FLOORS[i] ** 2) if i == j else c
-            c = reduce(lambda a, k: a - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}"), range(j), c)
+            c = reduce(lambda a, k: a - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}"), range(j), F.col(f"v{i}_{j}"))
             out = out.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(c, F.lit(1e-6))) if i == j else c / F.col(f"l{j}_{j}"))
-    return out.select("level", "group", *[f"m{i}" for i in range(p)], *[f"l{i}_{j}" for i in range(p) for j in range(i + 1)])
+    return out.drop(*SPREADS)
 
 
 def sums(rows: DataFrame) -> DataFrame:
@@ -124,7 +134,7 @@ def measured(rows: DataFrame, shapes: DataFrame) -> DataFrame:
 
 
 def estimate(rows: DataFrame) -> DataFrame:
-    """Centre, shape and core distance of each group: ``level, group, m*, l*, core``.
+    """Centre and covariance of each group: ``level, group, m*, v*``.
 
     Minimum covariance determinant by concentration steps: start from the centre of medians with
     median deviations, then again and again estimate mean and covariance from the core, the
@@ -145,18 +155,25 @@ def estimate(rows: DataFrame) -> DataFrame:
         near = measured(rows, shapes)
         cut = stored(near.groupBy("level", "group").agg(F.percentile("step", CORE).alias("cut")), "mcd-cut")
         core = near.drop(*[c for c in shapes.columns if c not in ("level", "group")]).join(cut, ["level", "group"]).where("step <= cut")
-        shapes = stored(with_factor(sums(core)), "mcd-step")
-    reach = measured(rows, shapes).groupBy("level", "group").agg(F.pow(F.lit(2.0), F.percentile("step", CORE) / 64).alias("core"))
-    return stored(shapes.join(reach, ["level", "group"]), "mcd")
+        found = stored(moments(sums(core)), "mcd-step")
+        shapes = factored(found)
+    return found
+
 
+def drawn(own: DataFrame, parents: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``own``, a row for each group with its ``weight``, with ``columns`` drawn to those of the parent named by ``key``."""
+    above = parents.select(F.col("group").alias(key), *[F.col(c).alias(f"__{c}") for c in columns])
+    rest = [c for c in own.columns if c not in columns]
+    return own.join(above, key).select(*rest, *[(F.col("weight") * F.col(c) + (1 - F.col("weight")) * F.col(f"__{c}")).alias(c) for c in columns])
 
-def judge(docs: DataFrame, tail: float = TAIL, least_group: int = LEAST_GROUP) -> DataFrame:
+
+def judge(docs: DataFrame, tail: float = TAIL, shrink: int = SHRINK) -> DataFrame:
     """Statistics of every document and whether it is kept: ``doc_id, n_words, ..., base_failed, distance, kept``.
 
     ``base_failed``: fewer than ten words, or over 20% of the words in repeated windows.  The others are held
-    against the robust centre and covariance of their language and source; groups with fewer
-    than ``least_group`` such documents use those of their language, languages with fewer those of all
-    documents, and below that nothing is rejected.  Distances are scaled so that the core of a group reaches as far
+    against the robust centre and covariance of their language and source, drawn to those of the language,
+    which are drawn to those of all documents, whose covariance is drawn to a broad one.  ``n`` such documents
+    weigh n / (n + ``shrink``) each time, so verdicts change smoothly with a group's size.  Distances are scaled so that the core of a group reaches as far
     as it would under normal values (never less than its floors); a document is rejected beyond the
     distance that normal values pass with chance ``tail``, if it lies on the worse side:
     a vector without symbols, repeated lines or repeated windows beyond its group's is never rejected for that.
@@ -172,28 +189,35 @@ def judge(docs: DataFrame, tail: float = TAIL, least_group: int = LEAST_GROUP) -
     base = stored(base.select("*", *whole), "statistics")
     passed = base.where(~F.col("base_failed"))
     group = lambda *names: F.to_json(F.struct(*names))
-    counted = passed.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    by_lang = counted.groupBy(F.col("lang").alias("__lang")).agg(F.sum("n").alias("n_lang"))
-    everyone = F.sum("n").over(Window.partitionBy())  # a row for each group
-    level = F.when(F.col("n") >= least_group, 0).when(F.col("n_lang") >= least_group, 1).when(everyone >= least_group, 2)
-    levels = counted.join(by_lang, F.col("lang").eqNullSafe(F.col("__lang"))).select(
-        F.col("lang").alias("__lang"), F.col("source").alias("__source"), level.alias("level"))
-    levels = stored(levels, "levels")
     keys = {0: group("lang", "source"), 1: group("lang"), 2: F.lit("all")}
-    needed = [r["level"] for r in levels.where("level IS NOT NULL").select("level").distinct().collect()]
     narrow = passed.select("lang", "source", *[f"q{i}" for i in range(p)])
-    # a level that some group needs is estimated from all documents of that level
-    rows = [narrow.select(F.lit(k).alias("level"), keys[k].alias("group"), *[f"q{i}" for i in range(p)]) for k in sorted(needed)]
-    placed = base.join(levels, base["lang"].eqNullSafe(levels["__lang"]) & base["source"].eqNullSafe(levels["__source"]), "left").drop("__lang", "__source")
-    own = F.when(F.col("level") == 0, keys[0]).when(F.col("level") == 1, keys[1]).when(F.col("level") == 2, keys[2])
-    placed = placed.withColumn("group", own)
-    if not rows:
-        return placed.select("doc_id", *COLUMNS, F.lit(None).cast("double").alias("distance"), (~F.col("base_failed")).alias("kept"))
-    shapes = estimate(reduce(DataFrame.unionByName, rows))
-    far = placed.join(shapes, ["level", "group"], "left")
+    levels = [narrow.select(F.lit(k).alias("level"), own.alias("group"), *[f"q{i}" for i in range(p)]) for k, own in keys.items()]
+    rows = reduce(DataFrame.unionByName, levels)
+    # a row for each group of each level, with the group above it
+    weight = lambda n: n / (n + shrink)
+    counted = passed.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    tree = stored(reduce(DataFrame.unionByName, [
+        counted.groupBy(F.lit(k).alias("level"), keys[k].alias("group"), keys[min(k + 1, 2)].alias("above")).agg(
+            weight(F.sum("n")).alias("weight"), F.any_value("lang").alias("lang"), F.any_value("source").alias("source")) for k in keys]), "tree")
+    found = tree.join(estimate(rows), ["level", "group"])
+    at = lambda table, k: table.where(F.col("level") == k)
+    broad = [(F.col("weight") * F.col(c) + (1 - F.col("weight")) * F.lit(BROAD**2 if c in DIAGONAL else 0.0)).alias(c) for c in SPREADS]
+    top = at(found, 2).select(*[c for c in found.columns if c not in SPREADS], *broad)
+    middle = drawn(at(found, 1), top, "above", CENTRES + SPREADS)
+    shapes = factored(reduce(DataFrame.unionByName, [top, middle, drawn(at(found, 0), middle, "above", CENTRES + SPREADS)]))
+    shapes = stored(shapes, "mcd")
+    normal = chi_square_quantile(CORE, p)
+    plain = shapes.drop("above", "weight", "lang", "source")
+    reach = stored(measured(rows, plain).groupBy("level", "group").agg(F.pow(F.lit(2.0), F.percentile("step", CORE) / 64).alias("core")), "mcd-reach")
+    cores = tree.join(reach, ["level", "group"])
+    top = at(cores, 2).withColumn("core", F.col("weight") * F.col("core") + (1 - F.col("weight")) * F.lit(normal))
+    middle = drawn(at(cores, 1), top, "above", ["core"])
+    own = drawn(at(cores, 0), middle, "above", ["core"]).select("group", "core")
+    own = stored(at(shapes, 0).join(own, "group").drop("level", "group", "above", "weight").withColumnsRenamed({"lang": "__lang", "source": "__source"}), "mcd-own")
+    far = base.join(own, base["lang"].eqNullSafe(own["__lang"]) & base["source"].eqNullSafe(own["__source"]), "left").drop("__lang", "__source")
     d2 = squared_distance([F.greatest(F.col(f"q{i}") / UNIT, F.col(f"m{i}")) if i else F.col("q0") / UNIT for i in range(p)],
                           [F.col(f"m{i}") for i in range(p)], {(i, j): F.col(f"l{i}_{j}") for i in range(p) for j in range(i + 1)})
-    stretch = F.greatest(F.col("core") / chi_square_quantile(CORE, p), F.lit(1.0))
+    stretch = F.greatest(F.col("core") / normal, F.lit(1.0))
     distance = F.when(~F.col("base_failed"), F.sqrt(d2 / stretch))
     limit = math.sqrt(chi_square_quantile(1 - tail, p))
     return far.select("doc_id", *COLUMNS, distance.alias("distance"),

@@ -350,6 +350,19 @@ def test_quality_outliers(spark):
     assert not any(found[2000 + i].kept for i in range(60)) and not any(found[3000 + i].kept for i in range(20))
 
 
+def test_quality_of_small_sources(spark):
+    rng = random.Random(9)
+    made = lambda n: " ".join("".join(rng.choice("aeiourstln") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    hot = [(i, made(rng.randrange(30, 200)), "hot") for i in range(600)]
+    own = [(1000 + i, " ".join(w + "$" * (k % 2) for k, w in enumerate(made(rng.randrange(30, 200)).split())), "small") for i in range(200)]
+    judged = lambda n: {r.doc_id: r for r in quality.judge(documents(spark, hot + own[:n])).collect()}
+    few, less, more = judged(60), judged(199), judged(200)
+    # the manner of a small source counts, and one more document changes little
+    assert all(few[i].kept for i, _, _ in own[:60])
+    assert all(abs(less[i].distance - more[i].distance) < 0.5 for i, _, _ in own[:199])
+    assert all(less[i].kept == more[i].kept for i, _, _ in own[:199])
+
+
 def test_chi_square_quantiles():
     assert math.isclose(quality.chi_square_quantile(0.95, 4), 9.487729, rel_tol=1e-6)
     assert math.isclose(quality.chi_square_quantile(0.75, 2), 2.772589, rel_tol=1e-6)
