@@ -49,7 +49,7 @@ def lagged_features(rows: DataFrame, chronological: bool = False, ranges: int |
 
 def features(facts: DataFrame, non_group_classes: DataFrame, chronological: bool = False) -> DataFrame:
     """Finished lectures of non-group courses with somebody present: keys, inputs and target only."""
-    needed = dict.fromkeys([*ROW, *BY_CLASS, "Weekday", "FullDate", "UserCount", TARGET, *[c for c in [*NUMERIC, *CATEGORICAL] if c in facts.columns]])
+    needed = dict.fromkeys([*ROW, *BY_CLASS, "Weekday", TARGET, *[c for c in [*NUMERIC, *CATEGORICAL] if c in facts.columns]])
     times = [c for c in ("FromTimeKey", "UntilTimeKey") if c not in needed]
     kept = facts.select(*needed, *times).join(non_group_classes.select("ClassKey").distinct(), "ClassKey", "left_semi").where(
         F.col(TARGET) != 0
