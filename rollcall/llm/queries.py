@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import fingerprints, jaccard, lines, lm, mixing, quality, runs, spelling, tokens, toxicity, urls, warc
+from rollcall.llm import fingerprints, hyperminhash, jaccard, lines, lm, mixing, quality, runs, spelling, tokens, toxicity, urls, warc
 
 
 def _table(name: str, run: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": _labelled("pages", urls.op8_url_filters),
     "op9_class_model": _table("documents", lm.op9_class_model),
     "op10_jaccard_join": _table("documents", jaccard.op10_jaccard_join),
+    "op11_hyperminhash": _table("documents", hyperminhash.op11_hyperminhash),
     "op12_spelling_variants": _table("documents", spelling.op12_spelling_variants),
     "op13_periodic_runs": _table("documents", runs.op13_periodic_runs),
 }
