@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.functions import clock, maths
 from rollcall.operators.joins import interval_join
+from rollcall.plans import heads
 
 WINDOW = ["SubgroupKey", "DateKey", "FromTimeKey", "UntilTimeKey"]
 CURRENT_SCHEME = "enc_"
@@ -23,28 +24,35 @@ def time_windows(lectures: DataFrame) -> DataFrame:
     return lectures.select(*WINDOW).distinct()
 
 
+def spanned(windows: DataFrame, grace_minutes: int = 0) -> DataFrame:
+    """Windows with the seconds of the day at which they begin to count and end."""
+    return windows.withColumns({
+        "_from": clock.key_seconds("FromTimeKey") + F.lit(60 * grace_minutes),
+        "_until": clock.key_seconds("UntilTimeKey"),
+    })
+
+
 def window_users(windows: DataFrame, wifi: DataFrame, bridge: DataFrame, grace_minutes: int = 0) -> DataFrame:
     """Distinct users of a subgroup seen inside each of the distinct time windows.
 
     Lectures that share a subgroup and a time window share their head count, so the
     interval join runs over distinct windows and never over fact rows.
     """
-    spans = windows.withColumns({
-        "_from": clock.key_seconds("FromTimeKey") + F.lit(60 * grace_minutes),
-        "_until": clock.key_seconds("UntilTimeKey"),
-    })
     seen = wifi_by_subgroup(wifi, bridge)
-    hits = interval_join(seen, spans, ["SubgroupKey", "DateKey"], "Second", "_from", "_until")
+    hits = interval_join(seen, spanned(windows, grace_minutes), ["SubgroupKey", "DateKey"], "Second", "_from", "_until")
     return hits.select(*WINDOW, "UserKey").distinct()
 
 
 def user_counts(
     fact: DataFrame, wifi: DataFrame, bridge: DataFrame, subgroups: DataFrame, grace_minutes: int = 15
 ) -> DataFrame:
-    """Distinct users per time window; the first minutes of a lecture do not count."""
+    """Distinct users per time window; the first minutes of a lecture do not count.
+
+    Lectures that share a subgroup and a time window share their count, which is taken from words of
+    members (``heads``): users don't meet windows.
+    """
     known = time_windows(fact).join(subgroups.select("SubgroupKey"), "SubgroupKey", "left_semi")
-    users = window_users(known, wifi, bridge, grace_minutes)
-    return users.groupBy(*WINDOW).agg(F.count(F.lit(1)).alias("_present"))
+    return heads.heads_in_spans(spanned(known, grace_minutes), WINDOW, wifi, heads.numbered_members(bridge, "SubgroupKey"), "SubgroupKey", "_present")
 
 
 def roster_sizes(bridge: DataFrame, users: DataFrame, subgroups: DataFrame) -> DataFrame:
@@ -103,9 +111,8 @@ def refresh_occupancy(fact: DataFrame, rooms: DataFrame) -> DataFrame:
 
 def presence_by_minute(wifi: DataFrame, bridge: DataFrame, subgroups: DataFrame) -> DataFrame:
     """Distinct users per time stamp and subgroup, with the subgroup code where known."""
-    counts = wifi.join(bridge, "UserKey").groupBy("DateKey", "TimeKey", "SubgroupKey").agg(
-        F.count_distinct("UserKey").alias("PresentStudents")
-    )
+    seen = wifi.join(heads.numbered_members(bridge, "SubgroupKey"), "UserKey").withColumnRenamed("_bit", "_bits")
+    counts = heads.count_members(seen, ["DateKey", "TimeKey", "SubgroupKey"], "PresentStudents")
     codes = subgroups.select("SubgroupKey", "SubgroupCode")
     return counts.join(codes, "SubgroupKey", "left").select(
         "DateKey", "TimeKey", "SubgroupKey", "SubgroupCode", "PresentStudents"
@@ -129,15 +136,15 @@ def present_by_set(spans: DataFrame, wifi: DataFrame, bridge: DataFrame, out: st
     """Distinct users seen per distinct (DateKey, StartSecond, EndSecond, ``_sig``).
 
     ``spans`` has the sorted set of subgroups as ``_set`` and its text as ``_sig``.  A user belongs
-    to one cohort, so the users of a set are the sum over the cohorts that touch it.  Users meet
-    the distinct time spans once, are counted per cohort there, and only those counts reach the
-    sets: rows grow with connections and with distinct (span, set), never with their product.
+    to one cohort, so the users of a set are the sum over the cohorts that touch it.  Words of users
+    are united per distinct time span and cohort (``heads``), and only those counts reach the sets: rows grow
+    with connections and with distinct (span, set), never with their product.
     Spans without any user are absent.
     """
     span = ["DateKey", "StartSecond", "EndSecond"]
-    seen = wifi.join(user_cohorts(bridge), "UserKey").select("DateKey", "UserKey", "Cohort", clock.key_seconds("TimeKey").alias("_second"))
-    hits = interval_join(seen, spans.select(*span).distinct(), ["DateKey"], "_second", "StartSecond", "EndSecond")
-    counts = hits.select(*span, "Cohort", "UserKey").distinct().groupBy(*span, "Cohort").agg(F.count(F.lit(1)).alias("_users"))
+    distinct = spans.select(*span).distinct().withColumns({"_from": F.col("StartSecond"), "_until": F.col("EndSecond")})
+    members = heads.numbered_members(user_cohorts(bridge), "Cohort")
+    counts = heads.heads_in_spans(distinct, span, wifi, members, "Cohort", "_users")
     return (
         spans.select(*span, "_sig").distinct()
         .join(touched_cohorts(spans, bridge), "_sig")
