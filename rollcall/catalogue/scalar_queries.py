@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rollcall.catalogue.registry import query
-from rollcall.catalogue.source_queries import _STUDENTS, _student_files, course_list
+from rollcall.catalogue.source_queries import _FOUND_STUDENTS, _student_files, course_list
 from rollcall.catalogue.views import CTES, r9, secs
 from rollcall.functions import clock, maths, text
 from rollcall.plans import courses, loads
@@ -300,7 +300,7 @@ def ax_05(v):
     return course_list(v).select("code", stage.try_cast("int").alias("stage"))
 
 
-@query("jx_01_wrapped_documents", f"SELECT SUBGROEPID, count(*) AS Students, count(DISTINCT EMAIL) AS Names FROM ({_STUDENTS}) GROUP BY 1")
+@query("jx_01_wrapped_documents", f"SELECT SUBGROEPID, count(*) AS Students, count(DISTINCT EMAIL) AS Names FROM ({_FOUND_STUDENTS}) GROUP BY 1")
 def jx_01(v):
     return files.student_documents(v.spark, _student_files(v)).groupBy("SUBGROEPID").agg(
         F.count(F.lit(1)).alias("Students"), F.count_distinct("EMAIL").alias("Names")

@@ -50,6 +50,37 @@ def src_02(v):
     return files.delimited(v.spark, path)
 
 
+# cells with separators, quotes and line breaks; one user in 50 has a field too many, one in 7 a field too few
+_NOTE_SQL = """CASE WHEN UserKey % 5 = 0 THEN 'first; "line" of ' || UserName || chr(10) || chr(10) || 'last, line' WHEN UserKey % 5 = 1 THEN '5" pipe' ELSE 'plain' END"""
+
+
+def _noted_files(v) -> str:
+    """Two folders of files: other separators, other orders of columns, each file with its header."""
+    path = scratch_path(v.spark, "noted")
+    key, name = F.col("UserKey"), F.col("UserName")
+    note = F.when(key % 5 == 0, F.concat(F.lit('first; "line" of '), name, F.lit("\n\nlast, line"))).when(key % 5 == 1, '5" pipe').otherwise("plain")
+    # a quote inside a cell that isn't quoted is a character like any other
+    cell = F.when(key % 5 == 0, F.concat(F.lit('"'), F.replace(note, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(note)
+    more = lambda sep: F.when(key % 50 == 3, F.lit(sep + "too many")).otherwise("")
+    semicolons = F.concat(F.concat_ws(";", key.cast("string"), name), F.when(key % 7 == 2, "").otherwise(F.concat(F.lit(";"), cell, more(";"))))
+    commas = F.concat(F.concat_ws(",", cell, key.cast("string")), F.when(key % 7 == 2, "").otherwise(F.concat(F.lit(","), name, more(","))))
+    parity = key % 2
+    line = F.when(parity == 0, semicolons).otherwise(commas)
+    header = F.when(F.col("parity") == 0, "UserKey;UserName;Note").otherwise("Note,UserKey,UserName")
+    # a file for each 1,000 users
+    text = v.users.groupBy(F.floor(key / 1000).alias("file"), parity.alias("parity")).agg(F.concat_ws("\n", F.collect_list(line)).alias("lines"))
+    text.select("file", "parity", F.concat_ws("\n", header, "lines").alias("value")).write.partitionBy("file", "parity").text(path)
+    return path
+
+
+@query("src_02_quoted_records", f"""
+SELECT CAST(UserKey AS VARCHAR) AS UserKey, CASE WHEN UserKey % 2 = 0 OR UserKey % 7 <> 2 THEN UserName END AS UserName,
+  CASE WHEN UserKey % 2 = 1 OR UserKey % 7 <> 2 THEN {_NOTE_SQL} END AS Note
+FROM dim_user WHERE UserKey % 50 <> 3 OR UserKey % 7 = 2""")
+def src_02_quoted(v):
+    return files.delimited(v.spark, _noted_files(v), candidates=";,").select("UserKey", "UserName", "Note")
+
+
 @query("src_03_null_tokens", """
 SELECT CAST(RoomKey AS VARCHAR) AS RoomKey, RoomName, CASE WHEN Capacity > 0 THEN CAST(Capacity AS VARCHAR) END AS Capacity FROM dim_room""")
 def src_03(v):
@@ -78,6 +109,7 @@ def src_05(v):
 
 _STUDENTS = """SELECT b.SubgroupKey AS SUBGROEPID, s.SubgroupCode AS SUBGROEPCODE, u.UserName AS EMAIL
 FROM bridge b JOIN dim_subgroup s ON s.SubgroupKey = b.SubgroupKey JOIN dim_user u ON u.UserKey = b.UserKey"""
+_FOUND_STUDENTS = f"{_STUDENTS} WHERE b.UserKey % 11 <> 10"
 
 
 def _students(v):
@@ -88,24 +120,30 @@ def _students(v):
     )
 
 
+# --- wrappers of student documents: the list stands for %s; the last three hold none that counts
+_WRAPPERS = [
+    '{"students": %s, "count": 1}', '{"students": {"students": %s, "count": 1}}', "%s", '{" Students ": %s}',
+    '{"data": {"page": 1, "STUDENTS": {"note": "[]", "students": %s}}}', '{"count": 1, "result": %s}',
+    '{"z": {"deep": {"deeper": {"list": %s}}}, "a": {"students": [{"EMAIL": "later"}]}}', '{"students": [], "other": %s}', '{"students": %s', '{"text": "[]"}',
+]
+
+
 def _student_files(v) -> str:
-    """One document per 500 users, in the three shapes that occur."""
+    """One document per 500 users, in wrappers of every kind; every eleventh user is in the documents that hold none."""
     path = scratch_path(v.spark, "documents")
-    rows = _students(v).withColumn("doc", F.floor(F.col("UserKey") / 500))
-    docs = rows.groupBy("doc").agg(
+    key = F.col("UserKey")
+    lost = F.when(key % 11 == 10, F.lit(1)).otherwise(0)
+    rows = _students(v).withColumn("doc", F.floor(key / 500) * 2 + lost).withColumn("kind", F.when(lost == 1, 7 + F.floor(key / 500) % 3).otherwise(F.floor(key / 50) % 7))
+    docs = rows.groupBy("doc", "kind").agg(
         F.collect_list(F.struct("SUBGROEPID", "SUBGROEPCODE", "DEELGROEPID", "NAAM", "EMAIL")).alias("s")
     )
-    bare = F.to_json("s")
-    text = (
-        F.when(F.col("doc") % 3 == 0, F.concat(F.lit('{"students": '), bare, F.lit(', "count": 1}')))
-        .when(F.col("doc") % 3 == 1, F.concat(F.lit('{"students": {"students": '), bare, F.lit(', "count": 1}}')))
-        .otherwise(bare)
-    )
-    docs.select("doc", text.alias("value")).write.partitionBy("doc").text(path)
+    wrapper = F.get(F.array(*[F.lit(w) for w in _WRAPPERS]), F.col("kind").cast("int"))
+    text = F.concat(F.when(F.col("kind") % 2 == 0, "\ufeff").otherwise(""), F.replace(wrapper, F.lit("%s"), F.to_json("s")))
+    docs.select("doc", "kind", text.alias("value")).write.partitionBy("doc", "kind").text(path)
     return path
 
 
-@query("src_06_student_documents", _STUDENTS)
+@query("src_06_student_documents", _FOUND_STUDENTS)
 def src_06(v):
     return files.student_documents(v.spark, _student_files(v)).select("SUBGROEPID", "SUBGROEPCODE", "EMAIL")
 
@@ -322,7 +360,7 @@ def snk_08(v):
     return files.delimited(v.spark, path)
 
 
-@query("snk_09_merged_documents", _STUDENTS)
+@query("snk_09_merged_documents", _FOUND_STUDENTS)
 def snk_09(v):
     students = files.student_documents(v.spark, _student_files(v)).drop("source_file")
     path = sinks.merge_documents(students, scratch_path(v.spark, "merged"))
