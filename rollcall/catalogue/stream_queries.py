@@ -109,8 +109,9 @@ def str_05(v):
 
 @query("str_06_backfill", _KEYS)
 def str_06(v):
-    tables = _tables(v)
-    _run(v, tables)
-    stream.backfill(v.wifi_feed, tables, step_seconds=300, source_timezone="UTC")
-    stream.backfill(v.wifi_feed, tables, step_seconds=300, source_timezone="UTC")
+    """Half of the files come as a stream, all are loaded from the folder in batches, and once more."""
+    tables, path = _tables(v), _landed(v, copies=2)
+    _run(v, tables, rows=v.wifi_feed.where(F.dayofmonth("timestamp") < 15))
+    for _ in range(2):
+        stream.backfill_folder(v.spark, path, tables, files_per_batch=1, step_seconds=300, source_timezone="UTC")
     return _named(v, tables)

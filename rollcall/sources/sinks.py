@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollcall.operators.joins import only_new
 
@@ -35,6 +35,24 @@ def replace_partitions(df: DataFrame, path: str, keys: list[str]) -> str:
     return path
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, store = _folder(spark, path)
+    return store.exists(place)
+
+
+def drop_partitions(spark: SparkSession, path: str, key: str, values: list) -> None:
+    """Remove whole partitions of a table; those that aren't there are none the worse."""
+    for value in values:
+        place, store = _folder(spark, f"{path}/{key}={value}")
+        store.delete(place, True)
+
+
 def reload(df: DataFrame, path: str) -> str:
     """Replace the whole table.  ``df`` must not read from ``path``."""
     df.write.mode("overwrite").parquet(path)
