@@ -144,6 +144,20 @@ def distinct_list(c: str | Column, sep: str = ", ") -> Column:
     return F.array_join(F.array_sort(F.collect_set(text)), sep)
 
 
+def distinct_texts(df: DataFrame, keys: list[str], value: str, count: str, out: str, sep: str = ", ") -> DataFrame:
+    """Per key the number of distinct non-null values and their sorted texts, joined; keys without any are absent.
+
+    For groups of any size, where ``distinct_list`` holds a group in one buffer: the distinct (key, value)
+    rows are sorted in ranges, each range joins its own texts of a key, and only these parts are put together,
+    in the order of the ranges.
+    """
+    listed = df.select(*keys, F.col(value).cast("string").alias("_text")).where("_text IS NOT NULL").distinct()
+    ranged = in_ranges(listed, [*keys, "_text"], "texts")
+    parts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), F.array_join(F.array_sort(F.collect_list("_text")), sep).alias("_part"))
+    ordered = F.array_sort(F.collect_list(F.struct("_range", "_part")))
+    return parts.groupBy(*keys).agg(F.sum("_n").alias(count), F.array_join(F.transform(ordered, lambda p: p["_part"]), sep).alias(out))
+
+
 def share(predicate: Column) -> Column:
     return F.avg(predicate.cast("double"))
 

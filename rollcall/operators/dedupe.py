@@ -29,5 +29,17 @@ def with_group_size(df: DataFrame, keys: list[str], out: str) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Every member of a group that occurs more than once."""
-    return with_group_size(df, keys or df.columns, "_copies").where("_copies > 1").drop("_copies")
+    """Every member of a group that occurs more than once; without keys, of rows equal in all columns."""
+    if keys:
+        return with_group_size(df, keys, "_copies").where("_copies > 1").drop("_copies")
+    return with_group_size(same_digest(df), df.columns, "_copies").where("_copies > 1").drop("_copies")
+
+
+def same_digest(df: DataFrame) -> DataFrame:
+    """The rows whose digest over all columns occurs more than once: all repeated rows, and next to no other.
+
+    Digests are counted instead of rows, and are short; whoever wants equal rows compares columns of what is left.
+    """
+    digest = F.xxhash64(*[F.col(c) for c in df.columns])
+    repeated = df.groupBy(digest.alias("_digest")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_digest")
+    return df.withColumn("_own", digest).join(repeated, F.col("_own") == F.col("_digest"), "left_semi").drop("_own")

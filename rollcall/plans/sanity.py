@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollcall.functions import maths
 from rollcall.operators import aggregates
-from rollcall.operators.dedupe import duplicate_rows, with_group_size
+from rollcall.operators.dedupe import duplicate_rows, same_digest, with_group_size
 
 KEY = ["LectureID", "SubgroupKey"]
 
@@ -87,17 +87,15 @@ def repeated_counts(structure: DataFrame) -> DataFrame:
 
 def scenarios(facts: DataFrame) -> DataFrame:
     """Mean and median of the rate under three ways to aggregate."""
-    half = lambda c: aggregates.quantile(c, 0.5)
-    fact = facts.agg(F.avg("AttendanceRate").alias("m"), half("AttendanceRate").alias("d")).select(
+    means = facts.agg(F.avg("AttendanceRate").alias("m"))
+    fact = aggregates.with_percentiles(means, facts, [], {"d": ("AttendanceRate", 0.5)}).select(
         F.lit(SCENARIO_FACT).alias("Methode"), F.col("m").alias("Gemiddelde"), F.col("d").alias("Mediaan")
     )
     rates = lecture_structure(facts).select(
         maths.ratio("MaxUserCount", "SumTotalStudents").alias("a"),
         maths.ratio("SumUserCount", "SumTotalStudents").alias("b"),
     )
-    wide = rates.agg(
-        F.avg("a").alias("ma"), half("a").alias("da"), F.avg("b").alias("mb"), half("b").alias("db")
-    )
+    wide = aggregates.with_percentiles(rates.agg(F.avg("a").alias("ma"), F.avg("b").alias("mb")), rates, [], {"da": ("a", 0.5), "db": ("b", 0.5)})
     lecture = wide.select(F.inline(F.array(
         F.struct(F.lit(SCENARIO_MAX).alias("Methode"), F.col("ma").alias("Gemiddelde"), F.col("da").alias("Mediaan")),
         F.struct(F.lit(SCENARIO_SUM).alias("Methode"), F.col("mb").alias("Gemiddelde"), F.col("db").alias("Mediaan")),
@@ -141,12 +139,12 @@ def subgroup_stability(facts: DataFrame) -> DataFrame:
     stats = facts.groupBy("SubgroupCode").agg(
         F.count_distinct("LectureID").alias("Lessons"),
         F.min("TotalStudents").alias("MinStudents"),
-        aggregates.quantile("TotalStudents", 0.5).alias("MedianStudents"),
         F.max("TotalStudents").alias("MaxStudents"),
         F.avg("TotalStudents").alias("MeanStudents"),
         F.stddev_samp("TotalStudents").alias("StdStudents"),
         F.count_distinct("TotalStudents").alias("UniqueStudentCounts"),
     )
+    stats = aggregates.with_percentiles(stats, facts, ["SubgroupCode"], {"MedianStudents": ("TotalStudents", 0.5)})
     return stats.withColumn("MaxMinRatio", maths.ratio("MaxStudents", "MinStudents"))
 
 
@@ -164,9 +162,9 @@ def low_attendance_profile(facts: DataFrame, column: str, min_rows: int = 20, to
         F.count(F.lit(1)).alias("Rows"),
         F.count_distinct("LectureID").alias("UniqueLectures"),
         F.avg("AttendanceRate").alias("MeanAttendance"),
-        aggregates.quantile("AttendanceRate", 0.5).alias("MedianAttendance"),
         aggregates.share(F.col("AttendanceRate") < 0.20).alias("ShareBelow20"),
     )
+    groups = aggregates.with_percentiles(groups, facts, [column], {"MedianAttendance": ("AttendanceRate", 0.5)})
     return groups.where(F.col("Rows") >= min_rows).orderBy(F.desc("ShareBelow20"), F.desc("Rows"), F.asc(column)).limit(top)
 
 
@@ -201,16 +199,14 @@ def very_low_lectures(facts: DataFrame, n: int = 10) -> DataFrame:
 def status_table(facts: DataFrame) -> DataFrame:
     """One row per check with the number of suspect records and a verdict.
 
-    Two passes over the facts: copies of rows and keys, and one row per lecture that
+    Copies of keys and of whole rows are counted by key and by digest; one row per lecture
     carries everything the other checks need.
     """
-    # rows are compared only where a key repeats
-    repeated = facts.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
-    same = facts.join(repeated.select(*KEY), KEY, "left_semi").groupBy(*facts.columns).agg(F.count(F.lit(1)).alias("_n"))
-    copies = same.agg(
-        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(CHECK_EXACT),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias(CHECK_KEY),
-    )
+    # digests are counted per key; columns are compared only for digests that repeat
+    by_key = facts.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    same = same_digest(facts).groupBy(*facts.columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    total = lambda rows, n, name: rows.agg(F.coalesce(F.sum(n), F.lit(0)).alias(name)).select(name).scalar().alias(name)
+    copies = facts.sparkSession.range(1).select(total(same, "_n", CHECK_EXACT), total(by_key, "_rows", CHECK_KEY))
     rate, room = F.col("AttendanceRate"), F.col("_capacity")
     lectures = with_recalculated(facts).groupBy("LectureID").agg(
         F.count(F.lit(1)).alias("_rows"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rollcall.functions import clock
-from rollcall.operators.aggregates import distinct_list
+from rollcall.operators.aggregates import distinct_list, distinct_texts
 from rollcall.operators.windows import bounded_sessions, island_sessions
 
 MAX_BREAK_MINUTES = 30
@@ -148,21 +148,18 @@ def session_attendance(rows: DataFrame, schedule: DataFrame) -> DataFrame:
     """Present and administrative students per session, without user ids.
 
     Two steps: the highest count per subgroup over the blocks, then the sum over
-    subgroups, so a student of two half blocks counts once.
+    subgroups, so a student of two half blocks counts once.  Rooms are a relation of (session, room) rows,
+    counted and joined to texts range by range (``distinct_texts``).
     """
-    per_subgroup = rows.groupBy("FullDate", "SessionID", "SubgroupCode").agg(
-        F.max("UserCount").alias("_present"),
-        F.max("TotalStudents").alias("_students"),
-        F.collect_set("RoomCode").alias("_rooms"),
-    )
-    rooms = F.array_sort(F.array_distinct(F.flatten(F.collect_list("_rooms"))))
-    per_session = per_subgroup.groupBy("FullDate", "SessionID").agg(
+    key = ["FullDate", "SessionID"]
+    per_subgroup = rows.groupBy(*key, "SubgroupCode").agg(F.max("UserCount").alias("_present"), F.max("TotalStudents").alias("_students"))
+    per_session = per_subgroup.groupBy(*key).agg(
         F.sum("_present").alias("EstimatedPresentStudents"),
         F.sum("_students").alias("AdministrativeExpectedStudents"),
         F.count(F.lit(1)).alias("NumberOfSubgroups"),
-        rooms.alias("_rooms"),
     )
-    named = per_session.withColumns({
-        "NumberOfDistinctRooms": F.size("_rooms"), "Rooms": F.array_join("_rooms", ", "),
-    }).drop("_rooms")
-    return named.join(schedule, ["FullDate", "SessionID"], "left")
+    rooms = distinct_texts(rows, key, "RoomCode", "NumberOfDistinctRooms", "Rooms")
+    named = per_session.join(rooms, key, "left").withColumns({
+        "NumberOfDistinctRooms": F.coalesce("NumberOfDistinctRooms", F.lit(0)).cast("int"), "Rooms": F.coalesce("Rooms", F.lit("")),
+    })
+    return named.join(schedule, key, "left")

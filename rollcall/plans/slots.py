@@ -26,12 +26,14 @@ def slot_expectation(sessions: DataFrame) -> DataFrame:
 
 
 def slot_maximum(sessions: DataFrame) -> DataFrame:
-    """The session with the highest count per slot; the earliest on equal counts."""
-    ordered = sessions.withColumn("_down", -F.col("EstimatedPresentStudents"))
-    best = keep_one(
-        ordered.where("EstimatedPresentStudents is not null"), ["SessionSlot"], ["_down", "FullDate", "SessionID"]
-    )
-    return best.select(
+    """The session with the highest count per slot; the earliest on equal counts.
+
+    The slot is decided on numbers and keys; its room list is only read for the session chosen.
+    """
+    ordered = sessions.select("SessionSlot", "FullDate", "SessionID", (-F.col("EstimatedPresentStudents")).alias("_down"))
+    best = keep_one(ordered.where("_down is not null"), ["SessionSlot"], ["_down", "FullDate", "SessionID"])
+    chosen = sessions.join(best.select("SessionSlot", "FullDate", "SessionID"), ["SessionSlot", "FullDate", "SessionID"], "left_semi")
+    return chosen.select(
         "SessionSlot", F.col("FullDate").alias("DateOfMaximum"), "SessionID", "SessionStart", "SessionEnd",
         F.col("EstimatedPresentStudents").alias("MaximumObservedStudents"), "Rooms",
     )
