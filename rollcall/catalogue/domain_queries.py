@@ -375,12 +375,16 @@ def dom_19_quality(v):
     return course_types.quality_summary(v.typed_schedule, v.course_results)
 
 
-CTES.setdefault("lecture_results", f"""
+CTES.setdefault("lecture_results", """
 SELECT l.*, coalesce(e.n, 0) AS TotalStudents, coalesce(p.n, 0) AS UserCount, CASE WHEN coalesce(e.n, 0) > 0 THEN coalesce(p.n, 0) / CAST(e.n AS DOUBLE) END AS AttendanceRate
 FROM (SELECT LectureID, min(FullDate) AS FullDate, min(ClassName) AS ClassName, min(LessonType) AS LessonType, string_agg(DISTINCT SubgroupCode, ', ' ORDER BY SubgroupCode) AS SubgroupCodes FROM typed_schedule GROUP BY 1) l
-LEFT JOIN (SELECT LectureID, count(DISTINCT UserKey) AS n FROM typed_schedule JOIN bridge USING (SubgroupKey) GROUP BY 1) e ON e.LectureID = l.LectureID
-LEFT JOIN (SELECT s.LectureID, count(DISTINCT w.UserKey) AS n FROM typed_schedule s JOIN bridge b ON b.SubgroupKey = s.SubgroupKey
-           JOIN fact_wifi w ON w.UserKey = b.UserKey AND w.DateKey = s.DateKey AND {secs('w.TimeKey')} BETWEEN s.StartSecond AND s.EndSecond GROUP BY 1) p ON p.LectureID = l.LectureID""")
+LEFT JOIN (SELECT LectureID, CAST(sum(n) AS BIGINT) AS n FROM lecture_cohort GROUP BY 1) e ON e.LectureID = l.LectureID
+LEFT JOIN (SELECT t.LectureID, CAST(sum(k.n) AS BIGINT) AS n FROM lecture_cohort t JOIN (SELECT DISTINCT LectureID, DateKey, StartSecond, EndSecond FROM typed_schedule) s ON s.LectureID = t.LectureID
+           JOIN lecture_users k ON k.DateKey = s.DateKey AND k.StartSecond = s.StartSecond AND k.EndSecond = s.EndSecond AND k.Cohort = t.Cohort GROUP BY 1) p ON p.LectureID = l.LectureID""")
+CTES.setdefault("lecture_cohort", "SELECT DISTINCT LectureID, Cohort, n FROM typed_schedule JOIN cohort_member USING (SubgroupKey)")
+CTES.setdefault("lecture_users", f"""
+SELECT DateKey, StartSecond, EndSecond, Cohort, count(DISTINCT UserKey) AS n FROM (SELECT DISTINCT DateKey, StartSecond, EndSecond FROM typed_schedule) s
+JOIN fact_wifi w USING (DateKey) JOIN user_cohort USING (UserKey) WHERE {secs('w.TimeKey')} BETWEEN StartSecond AND EndSecond GROUP BY ALL""")
 
 
 @query("dom_20_lecture_results", f"SELECT LectureID, FullDate::VARCHAR AS FullDate, ClassName, LessonType, SubgroupCodes, TotalStudents, UserCount, {r9('AttendanceRate')} AS AttendanceRate FROM lecture_results")

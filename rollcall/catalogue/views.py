@@ -403,14 +403,19 @@ CTES: dict[str, str] = {
               FROM course_blocks GROUP BY ClassName, NormalizedClassName, LessonType, FullDate, SessionID)""",
     "course_links": """SELECT DISTINCT SessionID, SubgroupKey FROM typed_schedule s
         JOIN course_blocks k ON k.ClassName = s.ClassName AND k.FullDate = s.FullDate AND k.StartSecond = s.StartSecond AND k.EndSecond = s.EndSecond""",
+    # users with equal sets of subgroups are a cohort; distinct spans are counted per cohort once, whatever the sessions in them
+    "user_cohort": "SELECT UserKey, list(SubgroupKey ORDER BY SubgroupKey) AS Cohort FROM bridge GROUP BY 1",
+    "cohort_member": "SELECT Cohort, n, unnest(Cohort) AS SubgroupKey FROM (SELECT Cohort, count(*) AS n FROM user_cohort GROUP BY 1)",
+    "session_cohort": "SELECT DISTINCT SessionID, Cohort, n FROM course_links JOIN cohort_member USING (SubgroupKey)",
+    "session_users": f"""SELECT FullDate, a, b, Cohort, count(DISTINCT UserKey) AS n FROM (SELECT DISTINCT FullDate, a, b FROM course_sessions) c
+        JOIN fact_wifi w ON w.DateKey = CAST(strftime(c.FullDate, '%Y%m%d') AS INTEGER) AND {secs('w.TimeKey')} BETWEEN c.a AND c.b
+        JOIN user_cohort USING (UserKey) GROUP BY ALL""",
     "course_results": f"""SELECT s.* EXCLUDE (a, b), coalesce(e.n, 0) AS ExpectedStudents, coalesce(p.n, 0) AS PresentStudents,
         CASE WHEN coalesce(e.n, 0) > 0 THEN coalesce(p.n, 0) / CAST(e.n AS DOUBLE) END AS AttendanceRate
         FROM course_sessions s
-        LEFT JOIN (SELECT SessionID, count(DISTINCT UserKey) AS n FROM course_links JOIN bridge USING (SubgroupKey) GROUP BY 1) e ON e.SessionID = s.SessionID
-        LEFT JOIN (SELECT c.SessionID, count(DISTINCT w.UserKey) AS n FROM course_sessions c JOIN course_links l ON l.SessionID = c.SessionID
-                   JOIN bridge b ON b.SubgroupKey = l.SubgroupKey
-                   JOIN fact_wifi w ON w.UserKey = b.UserKey AND w.DateKey = CAST(strftime(c.FullDate, '%Y%m%d') AS INTEGER)
-                     AND {secs('w.TimeKey')} BETWEEN c.a AND c.b GROUP BY 1) p ON p.SessionID = s.SessionID""",
+        LEFT JOIN (SELECT SessionID, CAST(sum(n) AS BIGINT) AS n FROM session_cohort GROUP BY 1) e ON e.SessionID = s.SessionID
+        LEFT JOIN (SELECT t.SessionID, CAST(sum(k.n) AS BIGINT) AS n FROM session_cohort t JOIN course_sessions c ON c.SessionID = t.SessionID
+                   JOIN session_users k ON k.FullDate = c.FullDate AND k.a = c.a AND k.b = c.b AND k.Cohort = t.Cohort GROUP BY 1) p ON p.SessionID = s.SessionID""",
     "course_valid": "SELECT * FROM course_results WHERE ExpectedStudents > 0",
     # bounded sessions per day, folded by recursion over the ordered blocks
     "day_blocks": f"""SELECT FullDate, StartSecond, EndSecond, SessionNumber, strftime(FullDate, '%Y%m%d') || '_' || CAST(SessionNumber AS VARCHAR) AS SessionID
