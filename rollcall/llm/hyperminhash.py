@@ -40,6 +40,11 @@ def also_below(n: int, percent: int) -> bool:
     return k > 1 and 100 * (FULL * k - 1) >= percent * n
 
 
+def sketch_sizes(n: int, percent: int) -> list[int]:
+    """The numbers of buckets that a set of ``n`` shingles is sketched with."""
+    return [bucket_count(n), bucket_count(n) // 2] if also_below(n, percent) else [bucket_count(n)]
+
+
 def sketch(shingles: np.ndarray, k: int) -> np.ndarray:
     """The registers of a set with ``k`` buckets: REGISTERS / k hash functions deal it into k buckets each.
 
@@ -93,81 +98,83 @@ def least_estimate(percent: int) -> float:
     return j - ERRORS * math.sqrt(j * (1 - j) / REGISTERS)
 
 
-def named_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, class`` of each row: equal sets have one class; null for texts without words."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, words) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())],
-                ["doc_id", "text_hash", "n_shingles", "class"])
+def sketched_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, class, keys`` of each row: equal sets have one class; null for texts without words.
 
-    rows = texts(docs, "doc_id").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(digest, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, n_shingles long, class long")
-
-
-def class_sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``class, n, k, own, lower``: the sketch of each class, and one with half the buckets where linked sets may have that."""
+    ``keys`` are those of the bands of the set's sketches; a class that repeats in a batch of rows has them once.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made: dict[int, tuple] = {}
-            for text in batch.column(0).to_pylist():
+            sizes, classes, places, registers, buckets = [], [], [], [], []
+            seen: set[int] = set()
+            for at, text in enumerate(batch.column(2).to_pylist()):
                 own = shingle_set(text, words)
-                if len(own) and (name := set_digest(own)) not in made:
-                    k = bucket_count(len(own))
-                    made[name] = (name, len(own), k, sketch(own, k).tobytes(), sketch(own, k // 2).tobytes() if also_below(len(own), percent) else None)
-            columns = [*zip(*made.values())] or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.binary()] * 2)], ["class", "n", "k", "own", "lower"])
-
-    made = texts(docs).mapInArrow(build, "class long, n long, k long, own binary, lower binary")
-    return stored(made.groupBy("class").agg(*[F.first(c).alias(c) for c in ("n", "k", "own", "lower")]), "sketches")
-
+                sizes.append(len(own))
+                classes.append(set_digest(own) if len(own) else None)
+                if len(own) and classes[-1] not in seen:
+                    seen.add(classes[-1])
+                    for k in sketch_sizes(len(own), percent):
+                        places.append(at)
+                        registers.append(sketch(own, k))
+                        buckets.append(k)
+            keys = [[] for _ in sizes]
+            for i in range(0, len(places), 1000):
+                made = band_keys(np.stack(registers[i:i + 1000]), np.array(buckets[i:i + 1000])).view(np.int64)
+                for at, row in zip(places[i:i + 1000], made):
+                    keys[at].append(row)
+            bounds = np.cumsum([0, *(BANDS * len(k) for k in keys)])
+            flat = np.concatenate([*(row for k in keys for row in k), np.zeros(0, np.int64)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))],
+                ["doc_id", "text_hash", "n_shingles", "class", "keys"])
 
-def band_members(sketches: DataFrame) -> DataFrame:
-    """``key, class, low``: the classes that share a band with others, and the lowest one of each band's key."""
+    rows = texts(docs, "doc_id").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return stored(rows.mapInArrow(build, f"doc_id {kind}, text_hash long, n_shingles long, class long, keys array<long>"), "rows")
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for column, half in (("own", 0), ("lower", 1)):
-                part = batch.filter(pa.compute.is_valid(batch.column(column)))
-                for i in range(0, part.num_rows, 1000):
-                    some = part.slice(i, 1000)
-                    registers = np.frombuffer(b"".join(some.column(column).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                    keys = band_keys(registers, some.column("k").to_numpy() >> half)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(some.column("class").to_numpy(), BANDS))], ["key", "class"])
 
-    return with_lowest(sketches.select("class", "k", "own", "lower").mapInArrow(deal, "key long, class long"))
+def band_members(rows: DataFrame) -> DataFrame:
+    """``key, class, low``: the classes that share a band with others, and the lowest class of each band's key.
 
+    Keys are dealt out once, for finding the lowest class and for joining it.
+    """
+    dealt = rows.select(F.explode("keys").alias("key"), "class").repartition("key")
+    several = dealt.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key", "low")
+    return stored(dealt.join(several, "key").distinct(), "members")
 
-def with_lowest(members: DataFrame) -> DataFrame:
-    """Adds ``low``, the lowest class of each key; keys of one class go.  The lowest is found before the shuffle is joined, so no key's rows meet."""
-    several = members.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key", "low")
-    return stored(members.join(several, "key"), "members")
 
+def class_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int, percent: int) -> DataFrame:
+    """``class, n, k, own, lower, shingles`` of the classes in ``wanted``: sketches and sets.
 
-def class_sets(docs: DataFrame, named: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``class, shingles array<long>`` of the classes in ``wanted``, each from one row's text, whether that row has an id or not."""
+    ``own`` is the sketch of a class, ``lower`` one with half the buckets where linked sets may have that.  A set is made
+    from one row's text, whether that row has an id or not.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
+            sets = [shingle_set(t, words) for t in batch.column(2).to_pylist()]
+            made = [[sketch(own, k).tobytes() for k in sketch_sizes(len(own), percent)] for own in sets]
             bounds = np.cumsum([0, *map(len, sets)])
+            flat = np.concatenate([*(own.view(np.int64) for own in sets), np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))], ["class", "shingles"])
-
-    # a text stands for its class: the one of the lowest hash, in the row of the lowest id
-    chosen = named.join(wanted, "class").groupBy("class").agg(F.min(F.struct("text_hash", "doc_id")).alias("row"))
-    chosen = chosen.select("class", F.col("row.text_hash").alias("__hash"), F.col("row.doc_id").alias("__id"))
-    rows = texts(docs, "doc_id").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    rows = rows.join(chosen, (F.col("text_hash") == F.col("__hash")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    # rows that repeat give the same set
-    return stored(rows.select("class", "text").mapInArrow(build, "class long, shingles array<long>").dropDuplicates(["class"]), "sets")
-
-
-def estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+                [batch.column(0), batch.column(1), pa.array([len(own) for own in sets], pa.int64()), pa.array([bucket_count(len(own)) for own in sets], pa.int64()),
+                 pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] if len(m) > 1 else None for m in made], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))],
+                ["class", "times", "n", "k", "own", "lower", "shingles"])
+
+    # a text stands for its class: the one of the lowest hash, in the row of the lowest id, which may repeat
+    known = rows.join(wanted, "class").groupBy("class", "text_hash", "doc_id").agg(F.count(F.lit(1)).alias("times"))
+    chosen = known.groupBy("class").agg(F.min(F.struct("text_hash", "doc_id", "times")).alias("row"))
+    chosen = chosen.select("class", F.col("row.times").alias("times"), F.col("row.text_hash").alias("__hash"), F.col("row.doc_id").alias("__id"))
+    found = texts(docs, "doc_id").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    found = found.join(chosen, (F.col("text_hash") == F.col("__hash")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    kind = "class long, times long, n long, k long, own binary, lower binary, shingles array<long>"
+    made = stored(found.select("class", "times", "text").mapInArrow(build, kind), "sets")
+    return made.where("times = 1").unionByName(made.where("times > 1").dropDuplicates(["class"])).drop("times")
+
+
+def estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` with ``alike``, their estimated similarity (0 where their sizes rule out a link)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +190,7 @@ def estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
                     out[i] = estimate(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16), *(np.float64(rows[c][i].as_py()) for c in ("n_a", "n_b")), k)
             yield pa.RecordBatch.from_arrays([rows["a"], rows["b"], pa.array(out)], ["a", "b", "alike"])
 
-    side = lambda s: sketches.select(F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "k", "own", "lower")])
+    side = lambda s: sets.select(F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "k", "own", "lower")])
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a long, b long, alike double")
 
 
@@ -218,7 +225,7 @@ def blocks(members: DataFrame) -> DataFrame:
     return dealt.select("cluster", "class", "label", "own", F.concat_ws(":", F.when(F.col("own"), F.col("label").cast("string")).otherwise(F.lit("pool")), "part").alias("block"))
 
 
-def compare_blocks(clustered: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def compare_blocks(clustered: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` that connect the labels inside each cluster; as many as there are classes at most, for each two blocks.
 
     ``clustered`` has ``cluster, class, label, n``.  Two blocks meet in one task, which holds their sketches and
@@ -263,56 +270,49 @@ def compare_blocks(clustered: DataFrame, sketches: DataFrame, sets: DataFrame, p
     right = kinds.select("cluster", F.col("block").alias("block_b"), F.col("own").alias("own_b"), F.col("label").alias("label_b"))
     meet = kinds.join(right, "cluster").where("block < block_b AND NOT (own AND own_b AND label = label_b) OR block = block_b AND NOT own")
     tasks = meet.select("cluster", F.xxhash64("cluster", "block", "block_b").alias("task"), F.explode(F.array_distinct(F.array("block", "block_b"))).alias("block"))
-    rows = dealt.join(tasks, ["cluster", "block"]).select("task", "class", "label").join(sketches, "class").join(sets, "class")
+    rows = dealt.join(tasks, ["cluster", "block"]).select("task", "class", "label").join(sets, "class")
     return rows.groupBy("task").applyInPandas(link, "a long, b long")
 
 
-def class_links(sketches: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``node, root`` of the classes that links connect.
 
-    Every class is compared with the lowest one of a band's key first: estimated, and in full where near
-    enough.  Where a key still holds several groups, its members are compared with its lowest one, those far
-    from it with the lowest of the far, and so on; then what shares a key and is no chance meeting
-    forms clusters, in which all pairs of different groups are estimated block by block (``compare_blocks``).
+    Every class is compared with the lowest one of one of its keys first: estimated, and in full where near enough.
+    Where a key still holds several groups, its members are compared with its lowest one.  Those that are no
+    chance meeting with it form clusters, in which all pairs of different groups are estimated, block by
+    block (``compare_blocks``).  So two linked classes are compared wherever a key that they share has a lowest class
+    like both of them (they are like it alike, by the triangle inequality), or is one of them.
     """
     least = least_estimate(percent)
 
     def test(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        alike = stored(estimated(pairs, sketches), "estimates")
+        alike = stored(estimated(pairs, sets), "estimates")
         return alike, stored(verified(alike.where(F.col("alike") >= least), sets, percent), "links")
 
-    tried, links = test(members.where("class <> low").groupBy(F.col("class").alias("a")).agg(F.min("low").alias("b")))
+    others = members.where("class <> low")
+    tried, links = test(others.groupBy(F.col("class").alias("a")).agg(F.min("low").alias("b")))
     labels = components(links)
-    met = None
-    while True:
-        placed = labelled(members.where("class <> low"), labels, "class", "low")
-        apart = placed.where("label_class <> label_low").select(F.col("class").alias("a"), F.col("low").alias("b")).distinct()
-        more, joined = test(apart.join(tried, ["a", "b"], "left_anti"))
-        tried, links = stored(tried.unionByName(more), "estimates"), stored(links.unionByName(joined), "links")
-        if joined.take(1):
-            labels = components(links)
-        rows = placed.join(tried.select(F.col("a").alias("class"), F.col("b").alias("low"), "alike"), ["class", "low"], "left")
-        # those of one label are tied together by links already
-        near = F.coalesce(F.col("alike"), F.lit(1.0)) >= CHANCE
-        rows = stored(rows.select("key", "class", "low", (near | (F.col("label_class") == F.col("label_low"))).alias("near")), "met")
-        kept = rows.where("near").select("key", "class", "low")
-        met = kept if met is None else stored(met.unionByName(kept), "met")
-        far = with_lowest(rows.where("NOT near").select("key", "class"))
-        if not far.take(1):
-            break
-        members = far
-    placed = labelled(met, labels, "class", "low")
-    low, high = F.least("label_class", "label_low"), F.greatest("label_class", "label_low")
-    mixed = placed.groupBy("key", "low").agg(F.min(low).alias("l"), F.max(high).alias("h"), F.count(F.lit(1)).alias("size"))
-    mixed = mixed.where("l <> h AND size > 1").select("key", "low")
-    ties = stored(placed.join(mixed, ["key", "low"]).select(F.col("class").alias("a"), F.col("low").alias("b")).distinct(), "ties")
+    apart = labelled(others.select("class", "low").distinct(), labels, "class", "low").where("label_class <> label_low")
+    more, joined = test(apart.select(F.col("class").alias("a"), F.col("low").alias("b")).join(tried, ["a", "b"], "left_anti"))
+    links = stored(links.unionByName(joined), "links")
+    if joined.take(1):
+        labels = components(links)
+    # near ones are estimated to be so, or tied together by links already
+    alike = tried.unionByName(more).select(F.col("a").alias("class"), F.col("b").alias("low"), "alike")
+    placed = labelled(others.join(alike, ["class", "low"], "left"), labels, "class", "low")
+    near = placed.where((F.coalesce(F.col("alike"), F.lit(1.0)) >= CHANCE) | (F.col("label_class") == F.col("label_low")))
+    near = stored(near.select("key", "class", "low", "label_class", "label_low"), "near")
+    # a key of two classes is done; one of several is looked at again if they have different labels
+    mixed = near.groupBy("key").agg(F.min(F.least("label_class", "label_low")).alias("l"), F.max(F.greatest("label_class", "label_low")).alias("h"), F.count(F.lit(1)).alias("size"))
+    mixed = mixed.where("l <> h AND size > 1").select("key")
+    ties = stored(near.join(mixed, "key").select(F.col("class").alias("a"), F.col("low").alias("b")).distinct(), "ties")
     if not ties.take(1):
         return labels
     roots = components(ties)
     inside = roots.select(F.col("node").alias("class"), F.col("root").alias("cluster")).unionByName(
         roots.select(F.col("root").alias("class"), F.col("root").alias("cluster")).distinct())
-    clustered = labelled(inside, labels, "class").join(sketches.select("class", "n"), "class").withColumnRenamed("label_class", "label")
-    joined = stored(compare_blocks(clustered, sketches, sets, percent), "links")
+    clustered = labelled(inside, labels, "class").join(sets.select("class", "n"), "class").withColumnRenamed("label_class", "label")
+    joined = stored(compare_blocks(clustered, sets, percent), "links")
     return components(stored(links.unionByName(joined), "links"))
 
 
@@ -326,18 +326,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Equal sets are one class, sketched once: registers of leading zeros and mantissa (``sketch``).  Hash functions
     and buckets share out a fixed number of registers by the size of the set, so small sets have full
     buckets too, and a set near a step of that scale is sketched on both sides of it.  Classes that share
-    a band of registers are candidates.  A link of two classes can only be missed if no band is shared, or the estimate
-    is off by 5.5 standard errors: less than one in ten million at the least similarity, less above it.
+    a band of registers are candidates (``class_links``).  A link of two classes can only be missed if no band is shared, or the estimate
+    is off by 5.5 standard errors: less than one in ten million at the least similarity, less above it; or if
+    every band they share, 15 on average, has a lowest class unlike them that fell into it by chance.
 
-    Texts without words, null ones too, have no shingles and link with nothing.  Each row is a document;
+    Texts without words, null ones too, have no shingles and link with nothing.  Each row is a document:
     rows of equal doc_id link like others, by their texts.  A row with a null doc_id counts in the links of others,
     and has a null component and ``kept``.  All rows stay; other columns go.
     """
-    named = stored(named_sets(docs, words), "named")
-    sketches = class_sketches(docs, words, percent)
-    members = band_members(sketches)
-    sets = class_sets(docs, named, members.select("class").distinct(), words)
-    roots = class_links(sketches, members, sets, percent)
+    named = sketched_rows(docs, words, percent)
+    members = band_members(named)
+    sets = class_sets(docs, named, members.select("class").distinct(), words, percent)
+    roots = class_links(members, sets, percent)
+    named = named.drop("keys")
     lowest = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("lowest"))
     groups = labelled(lowest, roots, "class")
     reached = groups.groupBy("label_class").agg(F.min("lowest").alias("component"))
