@@ -111,21 +111,22 @@ def edited_likeness(docs: DataFrame, n: int = SHINGLE, scale: int = SCALE) -> Da
     them is returned.  A single document is its own next one.  Null ids come last.
     """
     # plain keys: joins and grouping on a null-safe comparison would deal the rows out differently, once more each
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    name = lambda c: F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit("-"))
     links = neighbours(docs)
-    rows = texts(docs, "doc_id").select(name("doc_id").alias("name"), F.xxhash64("text").alias("digest"), "doc_id", "text")
+    # both joins read these three columns and no other, so the text is dealt out once for both
+    rows = texts(docs, "doc_id").select(name("doc_id").alias("name"), F.xxhash64("text").alias("digest"), "text")
     # the text of each document, sent to the one that it follows: only the part that this one takes, and its sketch
     asked = links.select(name("doc_id").alias("name"), "digest", name("before.doc_id").alias("to_name"), F.col("before.digest").alias("to_digest"),
-                         F.floor(F.col("before.n_chars") / 3).cast("int").alias("take"))
+                         F.col("before.doc_id").alias("to_id"), F.floor(F.col("before.n_chars") / 3).cast("int").alias("take"))
     sent = rows.join(asked, ["name", "digest"]).select(
-        F.col("to_name").alias("name"), F.col("to_digest").alias("digest"),
+        F.col("to_name").alias("name"), F.col("to_digest").alias("digest"), "to_id",
         F.substring("text", F.lit(1), F.col("take")).alias("taken"), sketch(F.col("text"), n, scale).alias("next"))
-    # repeated rows send the same
-    sent = sent.groupBy("name", "digest").agg(F.first("taken").alias("taken"), F.first("next").alias("next"))
-    joined = rows.join(sent, ["name", "digest"], "left")
+    # repeated rows send the same; every document is sent something, and its id with it
+    sent = sent.groupBy("name", "digest").agg(*[F.first(c).alias(c) for c in ("to_id", "taken", "next")])
+    joined = rows.join(sent, ["name", "digest"])
     size = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), size - F.floor(size / 3).cast("int")), F.coalesce("taken", F.lit("")))
-    made = joined.select("doc_id", size.cast("long").alias("n_chars"), edited.alias("edited"), sketch(F.col("text"), n, scale).alias("own"), "next")
+    made = joined.select(F.col("to_id").alias("doc_id"), size.cast("long").alias("n_chars"), edited.alias("edited"), sketch(F.col("text"), n, scale).alias("own"), "next")
     made = made.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "next", sketch(F.col("edited"), n, scale).alias("changed"))
     made = made.select("*", shared(F.col("own"), F.col("changed")).alias("c1"), shared(F.col("own"), F.col("next")).alias("c2"))
     own, changed, following = F.col("own"), F.col("changed"), F.col("next")
