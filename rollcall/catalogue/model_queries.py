@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.catalogue.registry import query
 from rollcall.catalogue.views import CTES, r9
-from rollcall.plans import attendance_model as model, slots
+from rollcall.plans import attendance_model as model, slots, tree_tables
 from rollcall.session import stored
 
 _LAG = "avg(AttendanceRate) OVER (PARTITION BY {g} ORDER BY ClassKey, DateKey, FromTimeKey, LectureID, SubgroupKey ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
@@ -133,6 +133,44 @@ def ml_09_sum(v):
                    (F.reverse(F.array_sort(order)) == order).alias("InOrder"))
 
 
+def _walk_agrees(v, estimator):
+    """The score of the fitted model and that of a walk through the table of its nodes."""
+    train, test = model.split_by_time(stored_features(v))
+    fitted = model.train(train, estimator)
+    keys = ["LectureID", "SubgroupKey"]
+    walked = tree_tables.walked(tree_tables.tree_nodes(fitted), fitted, test, keys)
+    scored = model.predict(fitted, test).select(*keys, "Predicted")
+    return scored.join(walked, keys, "left").select(*keys, F.coalesce(F.abs(F.col("Predicted") - F.col("Score")) < 1e-9, F.lit(False)).alias("Same"))
+
+
+_SAME_ROWS = _TEST_ROWS.replace("InRange", "Same")
+
+
+@query("ml_05_forest_walk", _SAME_ROWS)
+def ml_05_walk(v):
+    return _walk_agrees(v, model.random_forest())
+
+
+@query("ml_06_boosted_walk", _SAME_ROWS)
+def ml_06_walk(v):
+    return _walk_agrees(v, model.boosted_trees(rounds=20))
+
+
+_TRAIN_FEATURES = "(SELECT * FROM features, feature_cut WHERE epoch(CAST(FullDate AS TIMESTAMP)) <= cut)"
+
+
+@query("ml_09_importance_of_nodes", " UNION ALL ".join(
+    [f"SELECT '{c}' AS Feature, true AS Same" for c in model.NUMERIC]
+    + [f"SELECT DISTINCT '{c}_' || CAST({c} AS VARCHAR), true FROM {_TRAIN_FEATURES} WHERE {c} IS NOT NULL" for c in model.CATEGORICAL]))
+def ml_09_nodes(v):
+    """Every input's importance follows from the gains of the nodes that split on it."""
+    train, _ = model.split_by_time(stored_features(v))
+    fitted = model.train(train, model.random_forest())
+    known = model.importances(fitted, top=10_000).withColumnRenamed("Importance", "Known")
+    both = tree_tables.gains(tree_tables.tree_nodes(fitted), fitted).join(known, "Feature", "left")
+    return both.select("Feature", F.coalesce(F.abs(F.col("Importance") - F.col("Known")) < 1e-9, F.lit(False)).alias("Same"))
+
+
 @query("ml_07_predicted_users", f"SELECT LectureID, SubgroupKey, {r9('avg_attendance_subgroup_5 * TotalStudents')} AS PredictedUserCount FROM features")
 def ml_07(v):
     # the lagged mean of the subgroup as the predicted rate

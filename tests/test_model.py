@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.plans import attendance_model as model
+from rollcall.plans import attendance_model as model, tree_tables
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +49,37 @@ def test_chronological_order_is_an_option(facts):
     by_date = model.features(facts, facts.select("ClassKey"), chronological=True)
     first = by_date.where("DateKey = 20240101").orderBy("LectureID").first()
     assert first.avg_attendance_weekday is None
+
+
+@pytest.mark.parametrize("boosted", [False, True])
+def test_nodes_walked_in_sql(spark, facts, tmp_path, boosted):
+    """Scores from the table of nodes: in another engine by a recursive query, in Spark level by level."""
+    import duckdb
+
+    rows = model.features(facts, facts.select("ClassKey"))
+    train, test = model.split_by_time(rows)
+    fitted = model.train(train, model.boosted_trees(rounds=6, depth=4) if boosted else model.random_forest(trees=7, depth=6))
+    nodes = tree_tables.tree_nodes(fitted)
+    known = {r.LectureID: r.Predicted for r in model.predict(fitted, test).collect()}
+    nodes.write.parquet(str(tmp_path / "nodes"))
+    tree_tables.input_cells(fitted, test, "LectureID").write.parquet(str(tmp_path / "cells"))
+    con = duckdb.connect()
+    for name in ("nodes", "cells"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}/*.parquet'")
+    other = dict(con.execute(tree_tables.WALK_SQL).fetchall())
+    walked = {r.LectureID: r.Score for r in tree_tables.walked(nodes, fitted, test, ["LectureID"]).collect()}
+    assert known.keys() == other.keys() == walked.keys()
+    assert all(abs(known[i] - other[i]) < 1e-9 and abs(known[i] - walked[i]) < 1e-9 for i in known)
+    roots = con.execute("SELECT count(*), count(DISTINCT Tree) FROM nodes WHERE Node = 0").fetchone()
+    assert roots == (len(fitted.stages[-1].treeWeights),) * 2
+    # every node but the roots has one parent
+    assert con.execute("""SELECT count(*) FROM nodes n WHERE Node > 0 AND 1 <> (
+        SELECT count(*) FROM nodes p WHERE p.Tree = n.Tree AND (p.LeftNode = n.Node OR p.RightNode = n.Node))""").fetchone() == (0,)
+
+
+def test_importances_follow_from_nodes(spark, facts):
+    rows = model.features(facts, facts.select("ClassKey"))
+    fitted = model.train(rows, model.random_forest(trees=9, depth=5))
+    known = {r.Feature: r.Importance for r in model.importances(fitted, top=1000).collect()}
+    found = {r.Feature: r.Importance for r in tree_tables.gains(tree_tables.tree_nodes(fitted), fitted).collect()}
+    assert known.keys() == found.keys() and all(abs(known[k] - found[k]) < 1e-9 for k in known)
