@@ -169,6 +169,16 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages(spark, [])).count() == 0
 
 
+def test_warc_text_ids_and_plain_paths(spark, tmp_path):
+    """An empty text is an id, null is none; a path without a scheme lies in the default store."""
+    rows = [("", "http://a/", "x" * 200), (None, "http://b/", "y" * 200), ("p", "http://c/", "x" * 200), (None, None, None)]
+    table = spark.createDataFrame(rows, "page_id string, url string, html string")
+    found = warc.round_trip(table, str(tmp_path / "plain")).collect()
+    assert key([(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in found]) == key(
+        [("", "response", None, 200), (None, "response", None, 200), ("p", "revisit", "", 200), (None, "response", None, 0)])
+    assert list((tmp_path / "plain").glob("*.warc.gz"))
+
+
 def test_warc_rolls_over_and_rejects_damage(spark, tmp_path):
     rows = [(i, f"http://h/{i}", f"page {i} " * 40) for i in range(40)]
     planned = warc.plan_records(pages(spark, rows)).coalesce(1)
@@ -289,7 +299,7 @@ def test_line_dedup(spark, odd, none):
     assert "shared by all sites" in bad and "on five sites" in bad and "copied first line" not in bad
     for i, t, _ in rows:
         rest = None if t is None else "\n".join(x for x in t.split("\n") if x.strip() not in bad)
-        if t and len(t) - len(rest) > 0.5 * len(t):
+        if t and not rest.strip():
             rest = t
         assert texts[i].text == rest and texts[i].n_chars == (None if rest is None else len(rest))
     assert len(every(odd, none, lines.op6_line_dedup)) == len(odd_rows())
@@ -396,13 +406,174 @@ def test_mined_url_rules(spark):
     sets = frame.select("page_id", urls.tokens(host, path).alias("tokens"))
     labelled = sets.join(labels, F.col("page_id") == F.col("doc_id")).select("tokens", (F.col("quality") == 0).alias("blocked"))
     data = [(set(r.tokens), r.blocked) for r in labelled.collect()]
-    for r in urls.mine(labelled).collect():
+    for r in urls.mine(labelled, urls.token_names(labelled)).collect():
         inside = [b for t, b in data if set(r.antecedent) <= t]
         assert math.isclose(r.confidence, sum(inside) / len(inside)) and r.confidence >= urls.LEAST_CONFIDENCE
     verdicts = {r.page_id: r.verdict for r in urls.judge(frame, labels, rules=()).collect()}
     assert all((verdicts[i] == "block") == bad for i, _, bad in rows)
 
 
+def brute_verdicts(addresses, labelled):
+    """Verdicts from all combinations of the names of every labelled address."""
+    from itertools import combinations
+
+    sets = [(frozenset(t), b) for t, b in labelled if t]
+    having = defaultdict(set)
+    for k, (own, _) in enumerate(sets):
+        for t in own:
+            having[t].add(k)
+    name = {t: min(u for u in having if having[u] == having[t]) for t in having}
+    blocked = {k for k, (_, b) in enumerate(sets) if b}
+    frequent = [t for t in having if name[t] == t and len(having[t]) >= urls.LEAST_SUPPORT * len(sets)]
+    rank = lambda t: (-len(having[t] & blocked) / len(having[t]), len(having[t]), t)
+    rules = {}
+    for own, _ in set(sets):
+        best = sorted((t for t in own if t in frequent), key=rank)[:urls.MOST_TOKENS]
+        for n in range(1, len(best) + 1):
+            rules.update(dict.fromkeys(frozenset(c) for c in combinations(best, n)))
+    # baskets hold an address's best tokens only
+    baskets = [(frozenset(sorted((t for t in own if t in frequent), key=rank)[:urls.MOST_TOKENS]), b) for own, b in sets]
+    found = set()
+    for rule in rules:
+        inside = [b for own, b in baskets if rule <= own]
+        if sum(inside) >= urls.LEAST_SUPPORT * len(sets) and sum(inside) >= urls.LEAST_CONFIDENCE * len(inside):
+            found.add(rule)
+    return ["block" if any(rule <= {name[t] for t in own if t in name} for rule in found) else "allow" for own in addresses]
+
+
+def test_url_verdicts_equal_brute_force(spark):
+    rng = random.Random(21)
+    rows = []
+    for i in range(500):
+        parts = rng.sample(["a", "b", "c", "win", "free", "x", "news"], rng.randrange(1, 5))
+        bad = {"win", "free"} <= set(parts) or ("x" in parts and rng.random() < 0.95)
+        rows.append((i, f"http://h{rng.choice('pq')}.example.org/" + "/".join(parts + (["both", "always"] if "c" in parts else [])), bad))
+    frame = spark.createDataFrame([(i, u) for i, u, _ in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not bad), 0) for i, _, bad in rows if i % 3], "doc_id long, quality int, toxic int")
+    host, path = urls.host_path(F.col("url"))
+    own = {r.page_id: r.t for r in frame.select("page_id", urls.tokens(host, path).alias("t")).collect()}
+    expected = brute_verdicts([own[i] for i, _, _ in rows], [(own[i], bad) for i, _, bad in rows if i % 3])
+    got = {r.page_id: r.verdict for r in urls.judge(frame, labels, rules=()).collect()}
+    assert [got[i] for i, _, _ in rows] == expected and {"block", "allow"} == set(expected)
+
+
+@pytest.mark.parametrize("shared", [14, 40])
+def test_url_mining_is_bounded(spark, shared):
+    """Pages that share many path words, all or most of them, make no more combinations than ten words do."""
+    rng = random.Random(3)
+    words = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(shared)]
+    rows = [(i, "http://a.example.org/" + "/".join(w for w in words if rng.random() < 0.97), True) for i in range(40)]
+    rows += [(100 + i, f"http://b.example.org/other/{words[i % shared]}", False) for i in range(400)] + [(900, "http://c.example.org/" + "/".join(["very"] * 3000), False)]
+    frame = spark.createDataFrame([(i, u) for i, u, _ in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not bad), 0) for i, _, bad in rows], "doc_id long, quality int, toxic int")
+    verdicts = {r.page_id: r.verdict for r in urls.judge(frame, labels, rules=()).collect()}
+    assert all((verdicts[i] == "block") == bad for i, _, bad in rows)
+
+
+def test_toxicity_equals_brute_force(spark):
+    """Scores follow from chi-square, log-count ratios and a weighted logistic regression solved by Newton's method."""
+    rng = random.Random(31)
+    made = lambda bad: " ".join(rng.choice(["house", "tree", "river", "cloud", "stone", *(["vile", "filth"] if bad else ["calm"])]) for _ in range(12))
+    rows = [(i, made(i % 4 == 0), "s") for i in range(240)]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model, "doc_id").collect()}
+    grams = {i: set(toxicity.buckets(t).tolist()) for i, t, _ in rows}
+    train = [(grams[i], int(i % 4 == 0)) for i in range(200)]
+    n1 = sum(y for _, y in train)
+    n0 = len(train) - n1
+    kept = []
+    for g in sorted(set().union(*(own for own, _ in train))):
+        a, b = (sum(g in own for own, y in train if y == k) for k in (0, 1))
+        c, d = n0 - a, n1 - b
+        if (n0 + n1) * (a * d - b * c) ** 2 / (n0 * n1 * (a + b) * max(c + d, 0.5)) >= toxicity.LEAST_CHI2:
+            kept.append((g, math.log((b + 1) / (n1 + 2)) - math.log((a + 1) / (n0 + 2))))
+    x = np.array([[r if g in own else 0.0 for g, r in kept] + [1.0] for own, _ in train])
+    y = np.array([k for _, k in train], float)
+    weight = np.where(y == 1, n0 / n1, 1.0)
+    weight /= weight.sum()
+    penalty = np.diag([1e-4] * len(kept) + [0.0])
+    beta = np.zeros(len(kept) + 1)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-x @ beta))
+        gradient = x.T @ (weight * (p - y)) + penalty @ beta
+        beta -= np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + penalty + 1e-12 * np.eye(len(beta)), gradient)
+    for i, _, _ in rows:
+        z = sum(r * w for (g, r), w in zip(kept, beta) if g in grams[i]) + beta[-1]
+        assert abs(got[i] - 1 / (1 + math.exp(-z))) < 0.01
+    # a text of the toxic kind may hold none of its words
+    assert sum((got[i] >= 0.5) == (i % 4 == 0) for i in range(240)) > 220
+
+
+def test_quality_estimate_equals_brute_force(spark):
+    """Concentration steps on one group, until its core stays the same."""
+    rng = np.random.default_rng(4)
+    p = len(quality.NAMES)
+    points = np.round(quality.UNIT * np.concatenate([rng.normal([2, 0.5, 0.3, 0.4], 0.5, (260, p)), rng.normal(6, 0.4, (50, p))])).astype(int)
+    rows = spark.createDataFrame([(0, "g", *map(int, q)) for q in points], "level int, group string, " + ", ".join(f"q{i} long" for i in range(p)))
+    found = quality.estimate(rows, 1).first()
+    x, floors = points / quality.UNIT, np.array(quality.FLOORS)
+    centre = np.median(x, axis=0)
+    shape = np.diag((1.4826 * np.median(np.abs(x - centre), axis=0)) ** 2 + floors**2)
+    core = None
+    while True:
+        d2 = np.einsum("ni,ij,nj->n", x - centre, np.linalg.inv(shape), x - centre)
+        step = np.floor(64 * np.log2(d2 + 1e-6))
+        now = step <= np.percentile(step, 100 * quality.CORE)
+        if core is not None and (now == core).all():
+            break
+        core = now
+        centre = x[core].mean(axis=0)
+        shape = np.cov(x[core].T, bias=True) + np.diag(floors**2)
+    assert all(math.isclose(found[f"m{i}"], centre[i], abs_tol=1e-9) for i in range(p))
+    assert all(math.isclose(found[f"v{i}_{j}"], shape[i, j], abs_tol=1e-9) for i in range(p) for j in range(i + 1))
+    assert not core[260:].any()
+
+
+def test_class_scores_follow_from_classes(spark):
+    """Given the classes, transitions, emissions and scores are counted out by hand; probabilities add up to one."""
+    rng = random.Random(17)
+    rows = [(i, " ".join(rng.choice([f"n{rng.randrange(30)}", f"v{rng.randrange(30)} the"]) for _ in range(rng.randrange(40))), "s") for i in range(200)]
+    docs, held = documents(spark, rows), rows[:20] + [(900, "n1 unseen the n2", "s"), (901, None, "s")]
+    counts, words, model = lm.train(docs)
+    place = {int(h): k for k, h in enumerate(words.hashes)}
+
+    def classes_of(text):
+        h, group = lm.tokens(text)
+        return [int(model.classes[place[int(x)]]) if int(x) in place else int(model.endings[g]) for x, g in zip(h, group)], [int(x) for x in h]
+
+    steps, seen, size, types = np.zeros((lm.CLASSES, lm.CLASSES)), Counter(), Counter(), defaultdict(set)
+    for _, t, _ in rows:
+        own, h = classes_of(t)
+        for before, c, x in zip(own[-1:] + own[:-1], own, h):
+            steps[before, c] += 1
+            seen[x] += 1
+            size[c] += 1
+            types[c].add(x)
+    forward = (steps + 0.5) / (steps.sum(axis=1) + 0.5 * lm.CLASSES)[:, None]
+    emission = lambda c, x: (seen[x] + 0.5) / (size[c] + 0.5 * (len(types[c]) + 1))
+    got = {r.doc_id: r.score for r in lm.score(documents(spark, held), counts, words, model).collect()}
+    for i, t, _ in held:
+        own, h = classes_of(t or "")
+        expected = sum(math.log10(forward[b, c] * emission(c, x)) for b, c, x in zip(own[-1:] + own[:-1], own, h))
+        assert math.isclose(got[i], expected, rel_tol=1e-9), (i, got[i], expected)
+    # after any class: all words of all classes, and one unseen word in each
+    assert np.allclose([sum(forward[b, c] * (sum(emission(c, x) for x in types[c]) + emission(c, -1)) for c in range(lm.CLASSES)) for b in range(4)], 1)
+
+
+def test_words_settle_where_their_neighbours_say(spark):
+    """Words in the place of nouns and of verbs come into classes of their own, however they end."""
+    rng = random.Random(19)
+    made = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    nouns, verbs = [made() for _ in range(60)], [made() for _ in range(60)]
+    rows = [(i, " ".join(f"the {rng.choice(nouns)} {rng.choice(verbs)} a {rng.choice(nouns)} ." for _ in range(15)), "s") for i in range(300)]
+    _, words, model = lm.train(documents(spark, rows))
+    place = {int(h): k for k, h in enumerate(words.hashes)}
+    own = lambda w: int(model.classes[place[int(lm.tokens(w)[0][0])]])
+    assert not {own(w) for w in nouns} & {own(w) for w in verbs}
+
+
 def test_class_model(spark, odd, none):
     rng = random.Random(11)
     nouns, verbs = [f"n{k}" for k in range(40)], [f"v{k}" for k in range(40)]
@@ -431,7 +602,7 @@ def test_class_model_is_a_distribution(spark):
     rows = [(i, " ".join(rng.choice(["aa", "bb", "cc", "dd", "ee"]) for _ in range(30)), "s") for i in range(50)]
     counts, words, model = lm.train(documents(spark, rows))
     assert np.allclose((10 ** model.steps).sum(axis=1), 1)
-    own = model.classes[words.elements]
+    own = model.classes
     for c in set(own):
         inside = (words.counts[own == c] + 0.5).sum() + 0.5  # and what is left for unknown words
         assert math.isclose(math.log10(inside), model.sizes[c], rel_tol=1e-9)
@@ -481,7 +652,42 @@ def test_jaccard_odd_rows(odd, none):
     assert len(found) == len(odd_rows())
     assert all(r.component_id == r.doc_id for r in found)
     kept = jaccard.stage_near_duplicates(odd)
-    assert kept.columns == odd.columns and kept.count() == len(odd_rows())
+    # one row is there twice
+    assert kept.columns == odd.columns and kept.count() == len(odd_rows()) - 1
+    assert jaccard.stage_near_duplicates(none).count() == 0
+
+
+def test_jaccard_links_through_a_row_without_id(spark):
+    words = [f"w{i}" for i in range(120)]
+    a, n, b = words, words[:60] + ["p", "q"] + words[62:], words[:60] + ["p", "q"] + words[62:90] + ["r"] + words[91:]
+    rows = [(1, " ".join(a), "s"), (None, " ".join(n), "s"), (2, " ".join(b), "s")]
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_join(documents(spark, rows), 5, 90).collect()}
+    assert found == {1: 1, None: None, 2: 1}
+    # not without it
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_join(documents(spark, [rows[0], rows[2]]), 5, 90).collect()} == {1: 1, 2: 2}
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated ids, null ids, two texts of one id: one row stays of each group, and all without words."""
+    words = [f"w{i}" for i in range(100)]
+    text, near, other = " ".join(words), " ".join(words[:97] + ["x", "y", "z"]), " ".join(words[::-1])
+    rows = [(5, text, "a"), (5, text, "b"), (None, text, "a"), (None, near, "a"), (5, near, "a"), (7, other, "a"), (None, other, "b"),
+            (None, "only without id", "a"), (None, "only without id", "a"), (8, "", "a"), (8, "", "a"), (None, None, "a")]
+    kept = jaccard.stage_near_duplicates(documents(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in kept if r.doc_id != 5) == sorted(
+        [("7", other), ("None", "only without id"), ("8", ""), ("8", ""), ("None", "")])
+    assert [r.text in (text, near) for r in kept if r.doc_id == 5] == [True]
+
+
+def test_mixing_takes_rows_by_source(spark):
+    """Rows with null or repeated ids and equal sizes in several sources: each source is taken as often as the mix says."""
+    rows = [(None, f"one two three {k}", "a") for k in range(3)] + [(None, "a b c d", "b")] + [(4, "u v w x", "a"), (4, "u v w x", "b"), (4, "u v w x", "b")]
+    rows += [(100 + k, "many words here now", "c") for k in range(30)] + [(None, "e f g h", None)] * 2
+    docs = documents(spark, rows)
+    expected = Counter()
+    for r in mixing.mix(docs).collect():
+        expected[r.source] += r.copies
+    assert Counter(r.source for r in mixing.stage_mix(docs).collect()) == +expected
 
 
 def test_linked_sets_share_a_pivot():
