@@ -21,9 +21,12 @@ ROUNDS = 6
 #: The others move together with all words that end alike.
 OWN_SHARE = 1 / 20_000
 GROUPS = 1024
-#: words with this share or more have their counts sent to every task: a million at most, 16 bytes each.
+#: words with this share or more have their counts and classes sent to every task: a million at most, 24 bytes each.
 #: Counts of the others are joined to the documents.
 SENT_SHARE = 1 / 1_000_000
+#: of the words that are sent, those seen so often move by themselves at last, all of them once.
+#: Further rounds fit the training texts more closely and others less (README).
+LEAST_COUNT = 5
 #: token at the end of a text
 END = 0
 SMOOTH = 0.5
@@ -44,8 +47,9 @@ class Vocabulary:
 
 @dataclass(frozen=True)
 class Model:
-    """Class of each element, log10 of transitions between classes and of each class's emission denominator."""
+    """Class of each ending group and of each word that is sent, log10 of transitions between classes and of each class's emission denominator."""
 
+    endings: np.ndarray
     classes: np.ndarray
     steps: np.ndarray
     sizes: np.ndarray
@@ -206,25 +210,135 @@ def exchange(pairs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> tuple
     return assigned, table
 
 
-def train(docs: DataFrame) -> tuple[DataFrame, Vocabulary, Model]:
+def token_classes(words: Vocabulary, endings: np.ndarray, classes: np.ndarray, h: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every token the number of its word among those sent (-1 for others), and its class."""
+    if not len(words.hashes):
+        return np.full(len(h), -1), endings[group]
+    at = np.minimum(np.searchsorted(words.hashes, h), len(words.hashes) - 1)
+    known = words.hashes[at] == h
+    return np.where(known, at, -1), np.where(known, classes[at], endings[group])
+
+
+def class_steps(train: DataFrame, words: Vocabulary, endings: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """How often one class follows another in the training texts, a row of CLASSES squared counts from each task."""
+    sent = train.sparkSession.sparkContext.broadcast((words, endings, classes))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                _, own = token_classes(*sent.value, *tokens(text))
+                table += np.bincount(np.concatenate([own[-1:], own[:-1]]) * CLASSES + own, minlength=len(table))
+        there = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(table[there])], ["cell", "n"])
+
+    table = np.zeros(CLASSES * CLASSES)
+    for r in train.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most CLASSES squared rows
+        table[r["cell"]] = r["n"]
+    return table.reshape(CLASSES, CLASSES)
+
+
+def word_neighbours(train: DataFrame, words: Vocabulary, endings: np.ndarray, classes: np.ndarray, least_count: int) -> DataFrame:
+    """``word, cell, n``: how often each class stands after (cell = class) and before (cell = CLASSES + class) a word seen ``least_count`` times.
+
+    Tasks add up chunks of tokens, and what they have added up, before anything is shuffled.
+    """
+    sent = train.sparkSession.sparkContext.broadcast((words, endings, classes))
+    cells = 2 * CLASSES
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, endings, classes = sent.value
+        free = may_move(words, least_count)
+        sums, held, size = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
+
+        def add() -> tuple[np.ndarray, np.ndarray]:
+            keys, n = _summed(held)
+            both, at = np.unique(np.concatenate([sums[0], keys]), return_inverse=True)
+            return both, np.bincount(at, np.concatenate([sums[1], n])).astype(np.int64)
+
+        def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys // cells), pa.array(keys % cells), pa.array(n)], ["word", "cell", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                at, own = token_classes(words, endings, classes, *tokens(text))
+                some = (at >= 0) & free[at]
+                held.append(np.concatenate([(at * cells + np.append(own[1:], own[:1]))[some], (at * cells + CLASSES + np.append(own[-1:], own[:-1]))[some]]))
+                size += len(at)
+                if size >= CHUNK:
+                    sums, held, size = add(), [], 0
+                    # a task's sums are bounded too
+                    if len(sums[0]) >= 4 * CHUNK:
+                        yield rows(*sums)
+                        sums = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if held:
+            sums = add()
+        for i in range(0, len(sums[0]), CHUNK):
+            yield rows(sums[0][i:i + CHUNK], sums[1][i:i + CHUNK])
+
+    return train.mapInArrow(count, "word long, cell long, n long")
+
+
+def may_move(words: Vocabulary, least_count: int) -> np.ndarray:
+    return (words.counts >= least_count) & (words.hashes != END)
+
+
+def settle(train: DataFrame, words: Vocabulary, endings: np.ndarray, classes: np.ndarray, table: np.ndarray,
+           least_count: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the words that are sent, and the transition counts, after each word seen ``least_count`` times has moved by itself.
+
+    The words' neighbours are counted by class in one pass over the texts and dealt out by word, and each word moves
+    to the class in which its tokens are likeliest, the others staying where they are.
+    """
+    movable = int(may_move(words, least_count).sum())
+    if not movable:
+        return classes, table
+
+    def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = list(batches)
+        if not held:
+            return
+        rows = pd.concat(held, ignore_index=True)
+        here, at = np.unique(rows["word"].to_numpy(), return_inverse=True)
+        counts = np.zeros((len(here), 2 * CLASSES))
+        np.add.at(counts, (at, rows["cell"].to_numpy()), rows["n"].to_numpy())
+        for i in range(0, len(here), 1000):
+            part = slice(i, i + 1000)
+            best = best_classes(counts[part, :CLASSES], counts[part, CLASSES:], classes[here[part]], table)
+            other = best != classes[here[part]]
+            yield pd.DataFrame({"word": here[part][other], "class": best[other]})
+
+    # a task holds some 2,000 words with two rows of classes each
+    counted = word_neighbours(train, words, endings, classes, least_count).repartition(math.ceil(movable / 2000), "word")
+    counted = counted.groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    # a row for each word that moves: a million at most
+    moved = counted.mapInPandas(move, "word long, class long").toPandas()
+    settled = classes.copy()
+    settled[moved["word"].to_numpy(np.int64)] = moved["class"].to_numpy(np.int64)
+    return settled, class_steps(train, words, endings, settled)
+
+
+def train(docs: DataFrame, least_count: int = LEAST_COUNT) -> tuple[DataFrame, Vocabulary, Model]:
     """Counts of all tokens of the training texts, the frequent ones, and the class model."""
     rows = texts(docs)
     counts = count_tokens(rows)
     words = vocabulary(counts)
     if not words.tokens:
-        return counts, words, Model(np.arange(GROUPS) % CLASSES, np.full((CLASSES, CLASSES), -math.log10(CLASSES)), np.full(CLASSES, math.log10(SMOOTH)))
+        return counts, words, Model(np.arange(GROUPS) % CLASSES, np.zeros(0, np.int64), np.full((CLASSES, CLASSES), -math.log10(CLASSES)), np.full(CLASSES, math.log10(SMOOTH)))
     assigned, table = exchange(count_pairs(rows, words), words)
-    # tokens and types of each class: frequent words by element, the others by ending
+    endings = assigned[:GROUPS]
+    classes, table = settle(rows, words, endings, assigned[words.elements], table, least_count)
+    # tokens and types of each class: words that are sent by themselves, the others by ending
     rare = counts.where((F.col("n") < words.tokens * SENT_SHARE) & (F.col("hash") != END)).groupBy("ending").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # at most GROUPS rows
     size, types = np.zeros(CLASSES), np.zeros(CLASSES)
-    np.add.at(size, assigned[words.elements], words.counts)
-    np.add.at(types, assigned[words.elements], 1)
+    np.add.at(size, classes, words.counts)
+    np.add.at(types, classes, 1)
     for r in rare:
-        size[assigned[r["ending"]]] += r["n"]
-        types[assigned[r["ending"]]] += r["v"]
+        size[endings[r["ending"]]] += r["n"]
+        types[endings[r["ending"]]] += r["v"]
     steps = np.log10((table + SMOOTH) / (table.sum(axis=1) + SMOOTH * CLASSES)[:, None])
-    return counts, words, Model(assigned, steps, np.log10(size + SMOOTH * (types + 1)))
+    return counts, words, Model(endings, classes, steps, np.log10(size + SMOOTH * (types + 1)))
 
 
 def score(docs: DataFrame, counts: DataFrame, words: Vocabulary, model: Model) -> DataFrame:
@@ -243,8 +357,8 @@ def score(docs: DataFrame, counts: DataFrame, words: Vocabulary, model: Model) -
             out: list[tuple] = []
             for text in batch.column(1).to_pylist():
                 h, group = tokens(text)
-                count, element = placed(words, h, group)
-                own = model.classes[element]
+                at, own = token_classes(words, model.endings, model.classes, h, group)
+                count = np.where(at >= 0, words.counts[at], -1) if len(words.counts) else at
                 steps = model.steps[np.concatenate([own[-1:], own[:-1]]), own].sum() - model.sizes[own].sum()
                 known = count >= 0
                 rare, times = np.unique(h[~known], return_counts=True)
@@ -278,7 +392,8 @@ def class_model_scores(docs: DataFrame, training: DataFrame) -> DataFrame:
     """Scores every row of ``docs`` by a model of the texts of ``training``; adds ``train_tokens``.
 
     Words are runs of anything but white space (9-13, 32), A-Z lower-cased; each text ends with an
-    end token.  ``base_score`` is the add-half unigram score, ``score`` the class model's; perplexity
+    end token.  Classes are made by exchange: first of the most frequent words and of groups of words that end alike, then
+    of each word seen LEAST_COUNT times and with a millionth of all tokens or more (``settle``); rarer words keep their group's class.  ``base_score`` is the add-half unigram score, ``score`` the class model's; perplexity
     is 10 ** (-score / n_tokens).  Words are told apart by 64-bit hashes.
 
     Null and empty texts are one end token.  Without training texts both models are uniform.
