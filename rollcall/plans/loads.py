@@ -16,6 +16,8 @@ NETWORK = "eduroam"
 STAGE_WORD = "trajectschijf"
 CREDIT_WORDS = ["studiepunten", "studiepunt"]
 SECOND_CHANCE = {"wel mogelijk.": True, "niet mogelijk.": False}
+# --- fixed values: columns of the room table ----------------------------------------
+ROOM_COLUMNS = ["RoomKey", "Building", "RoomFloor", "Code", "RoomName", "Category", "Capacity", "Area"]
 # -------------------------------------------------------------------------------------
 
 
@@ -143,9 +145,8 @@ def class_rows(courses: DataFrame, order: list[str]) -> DataFrame:
 
 def room_rows(rooms: DataFrame, prefix: str) -> DataFrame:
     """Rooms of a building that state a capacity."""
-    columns = ["RoomKey", "Building", "RoomFloor", "Code", "RoomName", "Category", "Capacity", "Area"]
-    require(rooms, columns, "room table")
-    cleaned = rooms.select(*[F.when(~F.col(c).isin("NULL", ""), F.col(c)).alias(c) for c in columns])
+    require(rooms, ROOM_COLUMNS, "room table")
+    cleaned = rooms.select(*[F.when(~F.col(c).isin("NULL", ""), F.col(c)).alias(c) for c in ROOM_COLUMNS])
     named = cleaned.where(F.coalesce(F.col("RoomName").startswith(prefix), F.lit(False)))
     typed = to_number(to_number(named, ["RoomKey"]), ["Building", "RoomFloor", "Capacity"], "int")
     return typed.withColumn(

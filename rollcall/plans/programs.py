@@ -165,6 +165,7 @@ def inference_summary(rows: DataFrame) -> DataFrame:
 
 # --- attributes ------------------------------------------------------------------------
 
+# --- fixed values: columns of the result, in order ----------------------------------------
 PREFERRED = [
     "SubgroupKey", "SubgroupCode", "ProgramName", "ProgramFamily", "StudyProgram", "IsIT",
     "ProgramInformationLevel", "ProgramNameSource", "ProgramFamilySource", "InferenceConfidence",
