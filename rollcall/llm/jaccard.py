@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rollcall.llm.common import texts
+from rollcall.llm.common import running_before, texts
 from rollcall.llm.shingles import mix, shingle_set
 from rollcall.session import stored
 
@@ -89,23 +89,28 @@ def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def set_classes(docs: DataFrame, words: int, percent: int, frequent: Broadcast) -> DataFrame:
-    """``doc_id, n_shingles, class, last``: equal sets have one class; null for texts without words."""
+    """``doc_id, text_hash, n_shingles, class, last``: equal sets have one class; null for texts without words."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+            sets = [shingle_set(t, words) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64()),
                  pa.array([set_pivots(s, percent, frequent.value)[1] if len(s) else None for s in sets], pa.int64())],
-                ["doc_id", "n_shingles", "class", "last"])
+                ["doc_id", "text_hash", "n_shingles", "class", "last"])
 
-    rows = texts(docs, "doc_id")
-    return rows.mapInArrow(digest, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, class long, last long")
+    rows = hashed_texts(docs)
+    return rows.mapInArrow(digest, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, n_shingles long, class long, last long")
+
+
+def hashed_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, text``: what tells rows apart, whether they have an id or not."""
+    return texts(docs, "doc_id").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
 
 
 def regions(docs: DataFrame, words: int, percent: int, frequent: Broadcast) -> DataFrame:
-    """``pivot, class, rank, size``: the members of every region with several classes, ranked by class.
+    """``pivot, class, rank, size``: the members of every region with several classes, ranked by class (0, else 1, in large ones).
 
     Each task gives out a class once, so copies combine before the shuffle.
     """
@@ -123,12 +128,16 @@ def regions(docs: DataFrame, words: int, percent: int, frequent: Broadcast) -> D
             if pivots:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(pivots)), pa.array(np.concatenate(owners))], ["pivot", "class"])
 
-    dealt = texts(docs).mapInArrow(deal, "pivot long, class long")
-    region = Window.partitionBy("pivot")
-    several = dealt.withColumn("low", F.min("class").over(region)).withColumn("high", F.max("class").over(region))
-    members = several.where("low <> high").select("pivot", "class").distinct()
-    ranked = members.withColumn("rank", F.row_number().over(region.orderBy("class")) - 1)
-    return stored(ranked.withColumn("size", F.count(F.lit(1)).over(region)), "regions")
+    dealt = stored(texts(docs).mapInArrow(deal, "pivot long, class long"), "dealt")
+    # combined before the shuffle, so the members of a large region never meet
+    mixed = dealt.groupBy("pivot").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("pivot", "low")
+    members = stored(dealt.join(mixed, "pivot").select("pivot", "class", "low").distinct(), "members")
+    sized = members.join(members.groupBy("pivot").agg(F.count(F.lit(1)).alias("size")), "pivot")
+    # only small regions are ranked; in a large one the first is told from the others
+    region = Window.partitionBy("pivot").orderBy("class")
+    small = sized.where(F.col("size") <= SMALL_REGION).withColumn("rank", F.row_number().over(region) - 1)
+    large = sized.where(F.col("size") > SMALL_REGION).withColumn("rank", F.when(F.col("class") == F.col("low"), 0).otherwise(1))
+    return stored(small.unionByName(large).select("pivot", "class", "rank", "size"), "regions")
 
 
 def clusters(members: DataFrame, named: DataFrame, percent: int) -> DataFrame:
@@ -165,18 +174,11 @@ def clusters(members: DataFrame, named: DataFrame, percent: int) -> DataFrame:
 
 
 def member_sets(docs: DataFrame, named: DataFrame, clustered: DataFrame, words: int) -> DataFrame:
-    """``class, cluster, n, shingles array<long>`` for the clustered classes, from the text of one document of each."""
+    """``class, cluster, n, shingles array<long>`` for the clustered classes, from the text of one row of each, with an id or without."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
         for batch in batches:
-            own = []
-            for name, group, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                made = shingle_set(text, words)
-                # rows of one id may repeat or have different texts; only the class's own set counts
-                if name not in done and set_digest(made) == name:
-                    done.add(name)
-                    own.append((name, group, made.view(np.int64)))
+            own = [(name, group, shingle_set(text, words).view(np.int64)) for name, group, text in zip(*(batch.column(i).to_pylist() for i in range(3)))]
             bounds = np.cumsum([0, *(len(s) for _, _, s in own)])
             flat = np.concatenate([*(s for _, _, s in own), np.zeros(0, np.int64)])
             column = lambda i: pa.array([r[i] for r in own], pa.int64())
@@ -184,9 +186,12 @@ def member_sets(docs: DataFrame, named: DataFrame, clustered: DataFrame, words:
                 [column(0), column(1), pa.array(np.diff(bounds), pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))],
                 ["class", "cluster", "n", "shingles"])
 
-    first = named.join(clustered, "class").groupBy("class", "cluster").agg(F.min("doc_id").alias("__first"))
-    rows = texts(docs, "doc_id").join(first, F.col("doc_id") == F.col("__first")).select("class", "cluster", "text")
-    return stored(rows.mapInArrow(build, "class long, cluster long, n long, shingles array<long>"), "sets")
+    # the text of a class: that of the lowest hash, in the row of the lowest id; equal rows give one set
+    chosen = named.join(clustered, "class").groupBy("class", "cluster").agg(F.min(F.struct("text_hash", "doc_id")).alias("row"))
+    chosen = chosen.select("class", "cluster", F.col("row.text_hash").alias("__hash"), F.col("row.doc_id").alias("__id"))
+    rows = hashed_texts(docs).join(chosen, (F.col("text_hash") == F.col("__hash")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    made = rows.select("class", "cluster", "text").mapInArrow(build, "class long, cluster long, n long, shingles array<long>")
+    return stored(made.dropDuplicates(["class"]), "sets")
 
 
 def joined_cluster(names: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -303,7 +308,9 @@ def class_components(members: DataFrame, sets: DataFrame, percent: int) -> DataF
         return labels
     rest = sets.join(large, "cluster")
     own = members.join(rest.select("class").distinct(), "class").select("pivot", "class", "rank")
-    ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy("pivot").orderBy("class")) - 1)
+    # regions of any size are ranked by running counts over stored ranges
+    ranked = running_before(own.withColumn("rank", F.lit(1)), "pivot", [F.col("class")], "rank", "ranks")
+    ranked = ranked.select("pivot", "class", F.col("__before").alias("rank"))
     return labels.unionByName(large_components(stored(ranked, "large"), rest, percent))
 
 
@@ -369,31 +376,53 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     is joined in one task where it is small, and recurs with documents as pivots where it isn't
     (``class_components``).
 
-    Texts without words, null ones too, have no shingles and link with nothing.  Rows with equal
-    doc_id count as one document in the links; rows with a null one have a null component.
-    All rows stay; other columns go.
+    Texts without words, null ones too, have no shingles and link with nothing.  Each row is a document:
+    rows of equal doc_id link like others, by their texts, and each has the component of its own text.  A
+    row with a null doc_id ties others together like any, and its own component is null.  All rows
+    stay; other columns go.
     """
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, words))
-    named = stored(set_classes(docs, words, percent, frequent), "classes")
-    members = regions(docs, words, percent, frequent)
-    sets = member_sets(docs, named, clusters(members, named, percent), words)
-    labels = class_components(members, sets, percent)
+    named, roots = class_groups(docs, words, percent)
     lowest = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("lowest"))
-    groups = lowest.join(labels, "class", "left").withColumn("group", F.coalesce("label", "class"))
+    groups = lowest.join(roots, "class", "left").withColumn("group", F.coalesce("label", "class"))
     reached = groups.groupBy("group").agg(F.min("lowest").alias("component"))
     found = groups.join(reached, "group").select(F.col("class").alias("__class"), "component")
     joined = named.join(found, named["class"] == found["__class"], "left")
     return joined.select("doc_id", "n_shingles", "class", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def class_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The class of each row (``set_classes``), and ``class, label``: classes that links connect share a label."""
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, words))
+    named = stored(set_classes(docs, words, percent, frequent), "classes")
+    members = regions(docs, words, percent, frequent)
+    sets = member_sets(docs, named, clusters(members, named, percent), words)
+    return named, class_components(members, sets, percent)
+
+
 def op10_jaccard_join(docs: DataFrame) -> DataFrame:
     return jaccard_join(docs, words=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
 def stage_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest doc_id; columns unchanged.
+    """One row of each group of near duplicates, columns unchanged: that of the smallest doc_id, rows without an id last.
 
-    Documents without words all stay, and so do rows without an id.
+    Rows of equal id go by a hash of their text; of rows equal in both, whatever their other columns hold, one
+    stays.  So a table appended twice, with ids or without, is deduplicated.  Documents without words all stay.
     """
-    copies = jaccard_join(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(copies, docs["doc_id"] == copies["__id"], "left_anti")
+    named, roots = class_groups(docs, 5, 80)
+    rows = named.where("class IS NOT NULL").join(roots, "class", "left").withColumn("group", F.coalesce("label", "class"))
+    # false sorts before true: a null id comes last
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = rows.groupBy("group").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    several = rows.join(first.where("n > 1").select("group", "first"), "group")
+    copies = several.groupBy("doc_id", "text_hash").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("n"))
+    keeps = (F.col("text_hash") == F.col("first.text_hash")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    # rows to drop, and rows of which one stays
+    marks = copies.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.when(keeps, F.col("n")).otherwise(0).alias("__n"))
+    marks = marks.where("__n <> 1")
+    own = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    same = (own["__own"] == marks["__hash"]) & own["doc_id"].eqNullSafe(marks["__id"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = own.join(marks, same, "left_anti").select(*columns)
+    equal = own.join(marks.where("__n > 1"), same).groupBy("__id", "__hash").agg(F.first(F.struct(*columns)).alias("__row"))
+    return single.unionByName(equal.select("__row.*"))
