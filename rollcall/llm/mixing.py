@@ -53,7 +53,7 @@ def sampling_key(seed: str, doc_id: Column, weight: Column) -> Column:
 
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[float, ...] = (1.0, 2.0, 3.0),
         most_epochs: int = MOST_EPOCHS, weight: Column | None = None) -> DataFrame:
-    """How often a mix takes each document: ``doc_id, size, source_size, target, copies, taken``.
+    """How often a mix takes each document: ``doc_id, source, size, source_size, target, copies, taken``.
 
     Sources in code point order, null last, weigh ``weights``, repeating.  Where a budget holds
     a source's words several times, complete epochs take every document that often; the rest is
@@ -82,7 +82,7 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[float, ...] = (1.0, 2
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
     extra = (F.col("size") > 0) & (2 * F.col("__before") + F.col("size") <= 2 * rest) & (F.col("epochs") < most_epochs)
     copies = (F.col("epochs") + extra.cast("long")).cast("long")
-    return rows.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 SIZE_SQL = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -122,10 +122,21 @@ def op5_mixing(docs: DataFrame) -> DataFrame:
 def stage_mix(docs: DataFrame) -> DataFrame:
     """The documents as often as the mix takes them, columns unchanged.
 
-    Rows that share id and number of words are taken alike.
+    Rows are told apart by source, id and number of words, nulls like values.  Rows equal in all three are interchangeable
+    for the mix: together they are taken as often as it takes them, one of them once more where it takes some only.
     """
-    copies = mix(docs).groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size")).agg(F.max("copies").alias("__copies"))
+    key = [F.col("source").alias("__source"), F.col("doc_id").alias("__id"), F.col("size").alias("__size")]
+    copies = mix(docs).groupBy(*key).agg(F.min("copies").alias("__copies"), F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__rows"))
     sized = docs.withColumn("__words", word_count(F.coalesce(F.col("text"), F.lit(""))))
-    joined = sized.join(copies, sized["doc_id"].eqNullSafe(copies["__id"]) & (sized["__words"] == copies["__size"]))
-    repeated = joined.withColumn("__again", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = sized["source"].eqNullSafe(copies["__source"]) & sized["doc_id"].eqNullSafe(copies["__id"]) & (sized["__words"] == copies["__size"])
+    joined = sized.join(copies, same)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    extra = F.col("__all") - F.col("__copies") * F.col("__rows")
+    taken = lambda rows, n: rows.withColumn("__again", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select(*columns)
+    # a group of equal rows of which the mix takes some: those are numbered, in ranges of a stored order
+    alike = joined.where((F.col("__rows") == 1) | (extra == 0))
+    some = joined.where((F.col("__rows") > 1) & (extra > 0)).withColumn("__one", F.lit(1)).withColumn(
+        "__group", F.xxhash64(F.struct("__source", "__id", "__size")))
+    numbered = running_before(some, "__group", [F.col("__words"), F.xxhash64("text")], "__one", "extra")
+    more = F.col("__copies") + (F.col("__before") < F.col("__all") - F.col("__copies") * F.col("__rows")).cast("long")
+    return taken(alike, F.col("__copies")).unionByName(taken(numbered, more))

@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     found = entry.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in found)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in found)] == []
     assert "pipeline" in found
 
 
