@@ -15,8 +15,12 @@ LEAST_WORDS = 10
 MOST_REPEAT_PERCENT = 20
 #: statistics become whole numbers of 1 / UNIT, so that sums are exact in any order
 UNIT = 256
-#: share of a group that the estimate is made from, and steps towards it
-CORE, STEPS = 0.75, 4
+#: share of a group that the estimate is made from
+CORE = 0.75
+#: steps end where no group's core changes, as a rule after five to ten; rounded distances could let one go round in circles
+MOST_STEPS = 40
+#: a table of so many groups at most (3 MB) is sent to the rows; with more of them it is joined
+SENT_GROUPS = 10_000
 #: so many documents of its own weigh as much in a group's centre and covariance as its language's, and in a language's as all documents'
 SHRINK = 20
 #: standard deviation of every statistic that all documents' covariance is drawn to by the same weight
@@ -123,40 +127,47 @@ def sums(rows: DataFrame) -> DataFrame:
     return rows.groupBy("level", "group").agg(*columns)
 
 
-def measured(rows: DataFrame, shapes: DataFrame) -> DataFrame:
+def with_groups(rows: DataFrame, table: DataFrame, groups: int) -> DataFrame:
+    """Rows with their group's row of the table; its size, ``groups``, is known, so the rows of a group needn't meet."""
+    return rows.join(F.broadcast(table) if groups <= SENT_GROUPS else table, ["level", "group"])
+
+
+def measured(rows: DataFrame, shapes: DataFrame, groups: int) -> DataFrame:
     """Rows with ``d2``, the squared distance to their group's centre."""
     p = len(NAMES)
     d2 = squared_distance([F.col(f"q{i}") / UNIT for i in range(p)], [F.col(f"m{i}") for i in range(p)],
                           {(i, j): F.col(f"l{i}_{j}") for i in range(p) for j in range(i + 1)})
-    joined = rows.join(shapes, ["level", "group"])
+    joined = with_groups(rows, shapes, groups)
     # distances in steps of a 64th of an octave: the cut of a group needs a bounded number of counters
     return joined.withColumn("d2", d2).withColumn("step", F.floor(64 * F.log2(F.col("d2") + 1e-6)).cast("int"))
 
 
-def estimate(rows: DataFrame) -> DataFrame:
-    """Centre and covariance of each group: ``level, group, m*, v*``.
+def estimate(rows: DataFrame, groups: int) -> DataFrame:
+    """Centre and covariance of each of the ``groups`` groups: ``level, group, m*, v*``.
 
     Minimum covariance determinant by concentration steps: start from the centre of medians with
     median deviations, then again and again estimate mean and covariance from the core, the
-    share of rows nearest to the last centre.  All sums are exact whole numbers, medians and cuts
+    share of rows nearest to the last centre, until the cores stay the same.  All sums are exact whole numbers, medians and cuts
     come from bounded counters, and both combine before any shuffle, so a group may be any share of the table.
     """
     p = len(NAMES)
-    # a row for each group, stored: with its size known the planner sends it to the rows, and no group's rows have to meet
     medians = stored(rows.groupBy("level", "group").agg(*[F.percentile(f"q{i}", 0.5).alias(f"c{i}") for i in range(p)]), "mcd-medians")
-    spread = rows.join(medians, ["level", "group"]).groupBy("level", "group").agg(
+    spread = with_groups(rows, medians, groups).groupBy("level", "group").agg(
         *[F.first(f"c{i}").alias(f"c{i}") for i in range(p)],
         *[F.percentile(F.abs(F.col(f"q{i}") - F.col(f"c{i}")), 0.5).alias(f"a{i}") for i in range(p)])
     scale = lambda i: F.sqrt((1.4826 * F.col(f"a{i}") / UNIT) ** 2 + FLOORS[i] ** 2)
     shapes = spread.select("level", "group", *[(F.col(f"c{i}") / UNIT).alias(f"m{i}") for i in range(p)],
                            *[(scale(i) if i == j else F.lit(0.0)).alias(f"l{i}_{j}") for i in range(p) for j in range(i + 1)])
-    shapes = stored(shapes, "mcd-start")
-    for _ in range(STEPS):
-        near = measured(rows, shapes)
+    shapes, before = stored(shapes, "mcd-start"), None
+    for _ in range(MOST_STEPS):
+        near = measured(rows, shapes, groups)
         cut = stored(near.groupBy("level", "group").agg(F.percentile("step", CORE).alias("cut")), "mcd-cut")
-        core = near.drop(*[c for c in shapes.columns if c not in ("level", "group")]).join(cut, ["level", "group"]).where("step <= cut")
+        core = with_groups(near.drop(*[c for c in shapes.columns if c not in ("level", "group")]), cut, groups).where("step <= cut")
         found = stored(moments(sums(core)), "mcd-step")
-        shapes = factored(found)
+        now = found.agg(F.bit_xor(F.xxhash64(*found.columns)), F.count(F.lit(1))).first()
+        if now == before:
+            break
+        shapes, before = factored(found), now
     return found
 
 
@@ -199,7 +210,8 @@ def judge(docs: DataFrame, tail: float = TAIL, shrink: int = SHRINK) -> DataFram
     tree = stored(reduce(DataFrame.unionByName, [
         counted.groupBy(F.lit(k).alias("level"), keys[k].alias("group"), keys[min(k + 1, 2)].alias("above")).agg(
             weight(F.sum("n")).alias("weight"), F.any_value("lang").alias("lang"), F.any_value("source").alias("source")) for k in keys]), "tree")
-    found = tree.join(estimate(rows), ["level", "group"])
+    groups = tree.count()
+    found = tree.join(estimate(rows, groups), ["level", "group"])
     at = lambda table, k: table.where(F.col("level") == k)
     broad = [(F.col("weight") * F.col(c) + (1 - F.col("weight")) * F.lit(BROAD**2 if c in DIAGONAL else 0.0)).alias(c) for c in SPREADS]
     top = at(found, 2).select(*[c for c in found.columns if c not in SPREADS], *broad)
@@ -208,12 +220,13 @@ def judge(docs: DataFrame, tail: float = TAIL, shrink: int = SHRINK) -> DataFram
     shapes = stored(shapes, "mcd")
     normal = chi_square_quantile(CORE, p)
     plain = shapes.drop("above", "weight", "lang", "source")
-    reach = stored(measured(rows, plain).groupBy("level", "group").agg(F.pow(F.lit(2.0), F.percentile("step", CORE) / 64).alias("core")), "mcd-reach")
+    reach = stored(measured(rows, plain, groups).groupBy("level", "group").agg(F.pow(F.lit(2.0), F.percentile("step", CORE) / 64).alias("core")), "mcd-reach")
     cores = tree.join(reach, ["level", "group"])
     top = at(cores, 2).withColumn("core", F.col("weight") * F.col("core") + (1 - F.col("weight")) * F.lit(normal))
     middle = drawn(at(cores, 1), top, "above", ["core"])
     own = drawn(at(cores, 0), middle, "above", ["core"]).select("group", "core")
     own = stored(at(shapes, 0).join(own, "group").drop("level", "group", "above", "weight").withColumnsRenamed({"lang": "__lang", "source": "__source"}), "mcd-own")
+    own = F.broadcast(own) if groups <= SENT_GROUPS else own
     far = base.join(own, base["lang"].eqNullSafe(own["__lang"]) & base["source"].eqNullSafe(own["__source"]), "left").drop("__lang", "__source")
     d2 = squared_distance([F.greatest(F.col(f"q{i}") / UNIT, F.col(f"m{i}")) if i else F.col("q0") / UNIT for i in range(p)],
                           [F.col(f"m{i}") for i in range(p)], {(i, j): F.col(f"l{i}_{j}") for i in range(p) for j in range(i + 1)})
