@@ -8,7 +8,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.session import scratch_path, stored
 
@@ -17,6 +17,8 @@ CRLF = b"\r\n"
 LEAST_REVISIT = 100
 ARCHIVE_BYTES = 256 << 20
 BLOCK = 1 << 16
+#: record id of a page without an id; an empty text is an id
+NO_PAGE = "<urn:nopage>"
 
 
 def _open(path: str, mode: str):
@@ -27,17 +29,23 @@ def _open(path: str, mode: str):
     return store.open_output_stream(place, compression=None) if mode == "w" else store.open_input_stream(place, compression=None)
 
 
-def _folder(path: str) -> None:
+def _folder(spark: SparkSession, path: str) -> str:
+    """Makes the folder and returns its address: a path without a scheme belongs to the cluster's default store, not to an executor's disk."""
     from pyarrow import fs
 
-    store, place = fs.FileSystem.from_uri(path)
-    store.create_dir(place, recursive=True)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    # Arrow takes a plain path for a local one, which it is here
+    full = path if full.startswith("file:") else full
+    store, inside = fs.FileSystem.from_uri(full)
+    store.create_dir(inside, recursive=True)
+    return full
 
 
-def frame(kind: str, record: str, url: str, payload: bytes, size: int, digest: str, refers_to: str | None) -> bytes:
+def frame(kind: str, record: str | None, url: str, payload: bytes, size: int, digest: str, refers_to: str | None) -> bytes:
     """One record as its own gzip member: header lines, blank line, block, two line ends."""
     block = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n").encode() + payload
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{record}>", f"WARC-Target-URI: {url}",
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", "WARC-Record-ID: " + (NO_PAGE if record is None else f"<urn:page:{record}>"), f"WARC-Target-URI: {url}",
              "WARC-Date: 1970-01-01T00:00:00Z", "Content-Type: application/http; msgtype=response",
              f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}"]
     if refers_to is not None:
@@ -105,7 +113,7 @@ def parse(pieces: Iterator[bytes]) -> dict:
     kind = fields["warc-type"]
     if kind == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
         raise ValueError(f"record {fields['warc-record-id']}: payload differs from its length or digest")
-    named = lambda x: x.removeprefix("<urn:page:").removesuffix(">") if x else None
+    named = lambda x: x.removeprefix("<urn:page:").removesuffix(">") if x and x != NO_PAGE else None
     return {"record": named(fields["warc-record-id"]), "url": fields["warc-target-uri"], "record_type": kind,
             "refers_to": named(fields.get("warc-refers-to")), "payload_bytes": size, "payload_digest": digest,
             "payload": payload if kind == "response" else None}
@@ -135,7 +143,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
     Each task writes archives of its own under new names, and begins another one beyond
     ``archive_bytes``; a repeated task leaves files that no list names.
     """
-    _folder(folder)
+    folder = _folder(records.sparkSession, folder)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, path, count, size = None, "", 0, 0
@@ -146,7 +154,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
                         path, count, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
                         out = _open(path, "w")
                     whole = refers is None
-                    data = frame("response" if whole else "revisit", "" if page is None else page, url.replace("\r", "%0D").replace("\n", "%0A"),
+                    data = frame("response" if whole else "revisit", page, url.replace("\r", "%0D").replace("\n", "%0A"),
                                  bytes(payload) if whole else b"", length, digest, refers)
                     out.write(data)
                     count, size = count + 1, size + len(data)
@@ -205,8 +213,7 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
     folder = folder or scratch_path(pages.sparkSession, "warc")
     records = read_archives(write_archives(plan_records(pages), folder))
-    page = F.when(F.col("record") != "", F.col("record")).cast(kind)
-    return records.select(page.alias("page_id"), "url", "record_type", F.col("refers_to").cast(kind).alias("refers_to"),
+    return records.select(F.col("record").cast(kind).alias("page_id"), "url", "record_type", F.col("refers_to").cast(kind).alias("refers_to"),
                           "payload_bytes", "payload_digest", "payload")
 
 
