@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall.functions import clock
 from rollcall.functions.clock import whole
-from rollcall.operators.windows import in_ranges, running_before
 
 #: members that one whole number holds
 WORD = 64
+#: members of a part of a large group, about; a part has far fewer words than this
+PART = 4096
 
 
 def numbered_members(pairs: DataFrame, group: str, member: str = "UserKey") -> DataFrame:
     """Distinct (group, member) with ``_word`` and ``_bit``: the place of the member among those of its group.
 
-    Members are numbered densely inside each group, so a group of thirty is one word, however its keys
-    are spread.  Numbers run inside stored ranges: a group may be any share of the table.
+    Members are numbered densely, so a group of thirty is one word, however its keys are spread.  A
+    group of more than PART members is dealt out by a hash into parts of about so many, numbered for
+    themselves, so a group may be any share of the table.
     """
-    order = [group, member]
-    listed = pairs.select(*order).dropna().distinct().withColumn("_one", F.lit(1))
-    placed = running_before(in_ranges(listed, order, "members"), [group], order, "_one", "_at")
-    return placed.select(*order, whole(F.col("_at"), WORD).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_at") % WORD).cast("int")).alias("_bit"))
+    listed = pairs.select(group, member).dropna().distinct()
+    sizes = listed.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
+    part = F.pmod(F.xxhash64(member), F.ceil(F.col("_size") / PART))
+    dealt = listed.join(sizes, group).withColumn("_part", part)
+    at = F.row_number().over(Window.partitionBy(group, "_part").orderBy(member)) - 1
+    placed = dealt.withColumn("_at", at)
+    word = F.col("_part") * PART + whole(F.col("_at"), WORD)
+    return placed.select(group, member, word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_at") % WORD).cast("int")).alias("_bit"))
 
 
 def count_members(rows: DataFrame, keys: list[str], out: str) -> DataFrame:

@@ -50,6 +50,16 @@ def test_members_are_numbered_densely(spark):
         sorted((x.SubgroupKey, x._word, x.n, x.bits) for x in words.collect()) == [(0, 0, 64, 64), (0, 1, 36, 36), (1, 0, 64, 64), (1, 1, 36, 36)]
 
 
+def test_large_groups_are_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(heads, "PART", 256)
+    bridge = spark.createDataFrame([(u * 31, 1 if u % 5 else 2) for u in range(3000)], schemas.BRIDGE)
+    numbered = heads.numbered_members(bridge, "SubgroupKey")
+    places = numbered.groupBy("SubgroupKey").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_word", "_bit").alias("places"), F.count_distinct("_word").alias("words"))
+    assert sorted((x.SubgroupKey, x.n, x.places) for x in places.collect()) == [(1, 2400, 2400), (2, 600, 600)]
+    # each part of a group has one word that isn't full at most
+    assert all(x.words <= x.n / 64 + 2 + x.n / 256 for x in places.collect())
+
+
 def test_presence_counts_users_once(spark):
     wifi = spark.createDataFrame([(20240101, 90000, 1), (20240101, 90000, 1), (20240101, 90000, 2), (20240101, 90500, 2)], "DateKey int, TimeKey int, UserKey bigint")
     bridge = spark.createDataFrame([(1, 7), (2, 7), (2, 7), (2, 8)], schemas.BRIDGE)
