@@ -98,6 +98,38 @@ def test_scratch_folder_comes_from_the_cluster(spark):
     assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+class Cluster:
+    """A session as a cluster's master would show it, with the settings given."""
+
+    def __init__(self, spark, **settings):
+        self.real, self.conf, self.settings = spark, self, {"spark.master": "spark://host:7077", "spark.checkpoint.dir": None, **settings}
+        self.sparkContext, self.range, self.read, self.master = self, spark.range, spark.read, self.settings["spark.master"]
+        self.applicationId = spark.sparkContext.applicationId
+        self.defaultParallelism, self._jsc = spark.sparkContext.defaultParallelism, spark.sparkContext._jsc
+
+    def get(self, key, *default):
+        return self.settings[key] if key in self.settings else self.real.conf.get(key, *default)
+
+    def getCheckpointDir(self):
+        return self.settings.get("set")
+
+
+def test_a_cluster_may_share_a_mounted_folder_or_the_warehouse(spark, tmp_path):
+    mounted, warehouse = f"file://{tmp_path}/mounted", f"file:{tmp_path}/warehouse"
+    assert session.scratch_root(Cluster(spark, **{"spark.checkpoint.dir": mounted + "/"})) == mounted
+    assert session.scratch_root(Cluster(spark, **{"spark.sql.warehouse.dir": warehouse})) == warehouse
+    assert session.scratch_root(Cluster(spark, **{"spark.sql.warehouse.dir": warehouse, "set": f"{tmp_path}/set"})) == f"{tmp_path}/set"
+    # executors that are processes of their own have temporary folders of their own
+    assert session.scratch_root(Cluster(spark, **{"spark.master": "local-cluster[3,4,1024]", "spark.sql.warehouse.dir": warehouse})) == warehouse
+
+
+def test_a_cluster_is_refused_a_folder_that_is_not_shared(spark, tmp_path):
+    one = Cluster(spark, **{"spark.checkpoint.dir": f"file://{tmp_path}/own"})
+    one.range = lambda start, end, step, parts: spark.range(start, end - 1, step, parts)  # as if a file stayed elsewhere
+    with pytest.raises(RuntimeError, match="don't share"):
+        session.scratch_root(one)
+
+
 def test_schemas_parse(spark):
     for name in ("DIM_DATE", "DIM_TIME", "DIM_ROOM", "DIM_SUBGROUP", "DIM_CLASS", "FACT_LECTURE", "DIM_USER", "BRIDGE", "FACT_WIFI"):
         assert spark.createDataFrame([], getattr(schemas, name)).columns
