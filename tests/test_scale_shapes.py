@@ -185,3 +185,22 @@ def test_describe_equals_pandas(spark):
     s = pd.Series(values)
     assert [out.p10, out.p25, out.p50, out.p90] == [s.quantile(p) for p in (0.1, 0.25, 0.5, 0.9)]
     assert abs(out["std"] - s.std()) < 1e-9
+
+
+def test_session_users_are_not_compared(spark):
+    """A user of two subgroups of a session comes once, though no pair is shuffled or made distinct."""
+    r = random.Random(8)
+    spans = [(36000, 43200), (39600, 50400), (54000, 57600)]
+    made = [(f"s{i}", f"2024-01-{1 + i % 2:02d}", *r.choice(spans), r.sample(range(4), 2)) for i in range(30)]
+    sessions = spark.createDataFrame(made, "SessionID string, day string, SessionStartSecond int, SessionEndSecond int, _set array<bigint>").select(
+        "SessionID", F.to_date("day").alias("FullDate"), "SessionStartSecond", "SessionEndSecond", F.array_sort("_set").alias("_set"))
+    links = {(u, g) for u in range(25) for g in r.sample(range(5), 2)}
+    hits = {(20240101 + r.randrange(3), 10000 * r.randrange(9, 17), u) for u in range(30) for _ in range(4)}
+    out = course_types.present_users(
+        sessions, spark.createDataFrame(list(hits), "DateKey int, TimeKey int, UserKey long"), spark.createDataFrame(list(links), "UserKey long, SubgroupKey long"))
+    seconds = lambda k: k // 10000 * 3600
+    expected = {(s, u) for s, day, a, b, own in made for d, t, u in hits
+                if d == int(day.replace("-", "")) and a <= seconds(t) <= b and any((u, g) in links for g in own)}
+    assert rows(out) == sorted(expected, key=lambda x: (x[0], str(x[1])))
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not plan[0].startswith("Aggregate") and plan[1].strip(" +-").startswith("Join Inner")
