@@ -1,6 +1,9 @@
 """Small hand-made frames, one per rule that is easy to get wrong."""
 
 import datetime as dt
+import re
+import sys
+import unicodedata
 
 import pytest
 from pyspark.errors import PySparkException
@@ -255,6 +258,19 @@ def test_titles_match_without_accents_and_signs(spark):
     assert [r[0] for r in df.select(text.normalise_title("t")).collect()] == ["economie gestion 2", "financieel", ""]
 
 
+def test_titles_of_every_character_fold_without_python(spark):
+    """Each character between letters, and whole blocks of them, as Python's decomposition of the text has it."""
+    def folded(t):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+        return re.sub("[^a-z0-9]+", " ", plain.lower()).strip()
+
+    every = [chr(i) for i in (*range(0xD800), *range(0xE000, sys.maxunicode + 1))]
+    texts = ["".join(f"a{c}B" for c in every[i:i + 400]) for i in range(0, len(every), 400)] + ["".join(every[i:i + 700]) for i in range(0, len(every), 700)]
+    out = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", text.normalise_title("t").alias("t"))
+    assert "Python" not in out._jdf.queryExecution().toString()
+    assert {r.i: r.t for r in out.collect()} == {i: folded(t) for i, t in enumerate(texts)}
+
+
 def test_group_project_rules_in_order(spark):
     def literal(form):
         return f"[[{{'moment': 'x', 'format': '{form}', 'percentage': '1'}}]]"
