@@ -204,3 +204,17 @@ def test_session_users_are_not_compared(spark):
     assert rows(out) == sorted(expected, key=lambda x: (x[0], str(x[1])))
     plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert not plan[0].startswith("Aggregate") and plan[1].strip(" +-").startswith("Join Inner")
+
+
+def test_lectures_are_grouped_once(spark):
+    """The result reads the stored lectures, not the timetable for each of its uses."""
+    names = "LectureID long, SubgroupCode string, SubgroupKey long, DateKey int, StartSecond int, EndSecond int, ClassName string"
+    made = [(1, "A", 1, 20240101, 36000, 43200, "x"), (1, "B", 2, 20240101, 36000, 43200, "x"), (2, "B", 2, 20240102, 36000, 43200, "y")]
+    schedule = spark.createDataFrame(made, names).withColumns({
+        "FullDate": F.to_date(F.col("DateKey").cast("string"), "yyyyMMdd"), "NormalizedClassName": F.col("ClassName"),
+        "LessonType": F.lit(course_types.GROUP), "ProgramName": F.lit("p")})
+    bridge = spark.createDataFrame([(1, 1), (1, 2), (2, 2)], "UserKey long, SubgroupKey long")
+    wifi = spark.createDataFrame([(20240101, 103000, 1), (20240102, 103000, 3)], "DateKey int, TimeKey int, UserKey long")
+    out = course_types.lecture_results(schedule, wifi, bridge).select("LectureID", "SubgroupCodes", "TotalStudents", "UserCount")
+    assert "SubgroupCode#" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(out) == [(1, "A, B", 2, 1), (2, "B", 2, 0)]
