@@ -8,6 +8,7 @@ from tests.conftest import rows
 DATA = "/root/testdata/sf0.001"
 NAMES = [
     "ag_06_session_metrics",
+    "ag_07_lesson_metrics",
 ]
 
 
