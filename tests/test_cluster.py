@@ -9,6 +9,7 @@ DATA = "/root/testdata/sf0.001"
 NAMES = [
     "ag_06_session_metrics",
     "ag_07_lesson_metrics",
+    "ag_14_row_of_group_maximum",
 ]
 
 
