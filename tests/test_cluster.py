@@ -10,6 +10,7 @@ NAMES = [
     "ag_06_session_metrics",
     "ag_07_lesson_metrics",
     "ag_14_row_of_group_maximum",
+    "ag_18_weekly_weighted_rate",
 ]
 
 
