@@ -11,6 +11,7 @@ NAMES = [
     "ag_07_lesson_metrics",
     "ag_14_row_of_group_maximum",
     "ag_18_weekly_weighted_rate",
+    "ag_19_two_level",
 ]
 
 
