@@ -12,6 +12,7 @@ NAMES = [
     "ag_14_row_of_group_maximum",
     "ag_18_weekly_weighted_rate",
     "ag_19_two_level",
+    "ag_22_box_plot",
 ]
 
 
