@@ -13,6 +13,7 @@ NAMES = [
     "ag_18_weekly_weighted_rate",
     "ag_19_two_level",
     "ag_22_box_plot",
+    "ag_25_profile_activitydomain",
 ]
 
 
