@@ -14,6 +14,7 @@ NAMES = [
     "ag_19_two_level",
     "ag_22_box_plot",
     "ag_25_profile_activitydomain",
+    "ag_25_profile_classprogramstage",
 ]
 
 
