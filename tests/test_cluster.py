@@ -15,6 +15,7 @@ NAMES = [
     "ag_22_box_plot",
     "ag_25_profile_activitydomain",
     "ag_25_profile_classprogramstage",
+    "ag_25_profile_fromhour",
 ]
 
 
