@@ -16,6 +16,7 @@ NAMES = [
     "ag_25_profile_activitydomain",
     "ag_25_profile_classprogramstage",
     "ag_25_profile_fromhour",
+    "ag_25_profile_numbersemester",
 ]
 
 
