@@ -17,6 +17,7 @@ NAMES = [
     "ag_25_profile_classprogramstage",
     "ag_25_profile_fromhour",
     "ag_25_profile_numbersemester",
+    "ag_25_profile_namedaydutch",
 ]
 
 
