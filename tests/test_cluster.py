@@ -18,6 +18,7 @@ NAMES = [
     "ag_25_profile_fromhour",
     "ag_25_profile_numbersemester",
     "ag_25_profile_namedaydutch",
+    "dom_12_session_attendance",
 ]
 
 
