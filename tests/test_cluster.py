@@ -19,6 +19,7 @@ NAMES = [
     "ag_25_profile_numbersemester",
     "ag_25_profile_namedaydutch",
     "dom_12_session_attendance",
+    "dom_13_corrected_sessions",
 ]
 
 
