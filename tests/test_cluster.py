@@ -20,6 +20,7 @@ NAMES = [
     "ag_25_profile_namedaydutch",
     "dom_12_session_attendance",
     "dom_13_corrected_sessions",
+    "ag_26_contrast",
 ]
 
 
