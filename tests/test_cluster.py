@@ -21,6 +21,7 @@ NAMES = [
     "dom_12_session_attendance",
     "dom_13_corrected_sessions",
     "ag_26_contrast",
+    "dom_13_slot_comparison",
 ]
 
 
