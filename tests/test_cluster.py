@@ -22,6 +22,7 @@ NAMES = [
     "dom_13_corrected_sessions",
     "ag_26_contrast",
     "dom_13_slot_comparison",
+    "dom_13_slot_expectation",
 ]
 
 
