@@ -23,6 +23,7 @@ NAMES = [
     "ag_26_contrast",
     "dom_13_slot_comparison",
     "dom_13_slot_expectation",
+    "dom_14_first_week_sensitivity",
 ]
 
 
