@@ -24,6 +24,7 @@ NAMES = [
     "dom_13_slot_comparison",
     "dom_13_slot_expectation",
     "dom_14_first_week_sensitivity",
+    "dom_13_slot_summary",
 ]
 
 
