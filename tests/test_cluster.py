@@ -25,6 +25,7 @@ NAMES = [
     "dom_13_slot_expectation",
     "dom_14_first_week_sensitivity",
     "dom_13_slot_summary",
+    "dom_15_slot_assignment",
 ]
 
 
