@@ -26,6 +26,7 @@ NAMES = [
     "dom_14_first_week_sensitivity",
     "dom_13_slot_summary",
     "dom_15_slot_assignment",
+    "dom_15_latest_on_tie",
 ]
 
 
