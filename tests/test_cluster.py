@@ -27,6 +27,7 @@ NAMES = [
     "dom_13_slot_summary",
     "dom_15_slot_assignment",
     "dom_15_latest_on_tie",
+    "dom_16_group_sizes",
 ]
 
 
