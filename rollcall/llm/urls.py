@@ -14,7 +14,7 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK = "verdict=block"
 LEAST_SUPPORT, LEAST_CONFIDENCE = 0.001, 0.9
-#: tokens of an address that rules are mined from
+#: names of an address up to which FP-growth may make all combinations of them; longer ones are mined name by name
 MOST_TOKENS = 10
 #: equal addresses that one row stands for while they are dealt out
 PORTION = 1_000
@@ -54,38 +54,36 @@ def token_names(labelled: DataFrame) -> DataFrame:
     return stored(named.select("token", "name", "n"), "token-names")
 
 
-def told_baskets(labelled: DataFrame, names: DataFrame, least_support: float, most_tokens: int) -> DataFrame:
-    """``items``: of each address the ``most_tokens`` frequent names most often blocked, and BLOCK if it is blocked.
+def told_sets(labelled: DataFrame, names: DataFrame, least_support: float) -> tuple[DataFrame, DataFrame]:
+    """The distinct token sets as ``id, n, b, items`` and the names as ``token, n, b``; ``n`` addresses have them, ``b`` of them blocked.
 
-    A rule is made of such names, so no address has more than 2 ** most_tokens combinations.
+    ``names`` are those of enough blocked addresses, for a rule with any other has too few.  ``items`` are the ones that some
+    allowed address has as well; a name of blocked addresses only is a rule, and nothing more certain contains it.
     """
-    shares = labelled.select("blocked", F.explode("tokens").alias("token")).groupBy("token").agg(F.avg(F.col("blocked").cast("double")).alias("share"))
     size = labelled.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    telling = stored(names.where((F.col("token") == F.col("name")) & (F.col("n") >= least_support * size)).join(shares, "token"), "telling")
-    sets = labelled.groupBy("tokens", "blocked").agg(F.count(F.lit(1)).alias("times"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("share")).alias("down"), "n", "token"))), 1, most_tokens)
-    chosen = sets.select("tokens", "blocked", "times", F.explode("tokens").alias("token")).join(telling, "token").groupBy("tokens", "blocked", "times").agg(best.alias("best"))
-    all_sets = sets.join(chosen.select("tokens", "blocked", "best"), ["tokens", "blocked"], "left")
-    items = F.coalesce(F.transform("best", lambda t: t["token"]), F.array().cast("array<string>"))
-    items = F.when(F.col("blocked"), F.concat(items, F.array(F.lit(BLOCK)))).otherwise(items)
-    # a row for each address again; those of one set that many have are dealt out in portions
-    portions = all_sets.select(items.alias("items"), "times", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / PORTION).cast("int"))).alias("portion"))
+    sets = labelled.groupBy("tokens").agg(F.count(F.lit(1)).alias("n"), F.count_if("blocked").alias("b"))
+    sets = stored(sets.withColumn("id", F.monotonically_increasing_id()), "token-sets")
+    having = sets.select("id", "n", "b", F.explode("tokens").alias("token")).join(names.where("token = name").select("token"), "token")
+    told = having.groupBy("token").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).where(F.col("b") >= least_support * size)
+    told = stored(told.withColumn("size", size), "told")
+    items = having.select("id", "token").join(told.where("b < n").select("token"), "token").groupBy("id").agg(F.array_sort(F.collect_list("token")).alias("items"))
+    whole = sets.drop("tokens").join(items, "id", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    return stored(whole, "told-sets"), told
+
+
+def baskets(sets: DataFrame) -> DataFrame:
+    """``items``: a row for each address again, with BLOCK if it is blocked; those of one set that many have are dealt out in portions."""
+    bad = F.struct(F.concat("items", F.array(F.lit(BLOCK))).alias("items"), F.col("b").alias("times"))
+    good = F.struct(F.col("items").alias("items"), (F.col("n") - F.col("b")).alias("times"))
+    kinds = sets.select("id", F.inline(F.array(bad, good))).where("times > 0")
+    portions = kinds.select("id", "items", "times", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / PORTION).cast("int"))).alias("portion"))
     rest = F.least(F.lit(PORTION), F.col("times") - PORTION * F.col("portion")).cast("int")
-    return portions.repartition(F.xxhash64("items", "portion")).select(F.explode(F.array_repeat("items", rest)).alias("items"))
+    return portions.repartition(F.xxhash64("id", "items", "portion")).select(F.explode(F.array_repeat("items", rest)).alias("items"))
 
 
-def mine(labelled: DataFrame, names: DataFrame, least_support: float = LEAST_SUPPORT, least_confidence: float = LEAST_CONFIDENCE,
-         most_tokens: int = MOST_TOKENS) -> DataFrame:
-    """Token combinations that say block: ``antecedent array<string>, confidence, support, index_token``.
-
-    ``labelled`` has ``tokens`` and ``blocked`` (boolean).  FP-growth finds the frequent combinations of the tokens of an
-    address that are blocked most often, ``most_tokens`` of them; tokens that always come together count as
-    one, by their name (``token_names``).  A rule stays with enough confidence and support and if no part of it is as confident.  Its rarest
-    token is the one it is found by.  An address takes part in 2 ** most_tokens combinations at most, and a combination
-    needs its share of all addresses: there are fewer than 2 ** most_tokens / least_support of them, whatever the number of addresses.
-    """
-    baskets = stored(told_baskets(labelled, names, least_support, most_tokens), "baskets")
-    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(baskets)
+def by_growth(sets: DataFrame, least_support: float, least_confidence: float) -> DataFrame:
+    """Rules of any number of names, by FP-growth over whole baskets: ``antecedent, confidence, support``; none has a part as confident."""
+    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(stored(baskets(sets), "baskets"))
     rules = stored(model.associationRules.where(F.element_at("consequent", 1) == BLOCK).select(
         F.array_sort("antecedent").alias("antecedent"), "confidence", "support"), "rules")
     masks = F.sequence(F.lit(1), F.expr("cast(shiftleft(1, size(antecedent)) - 2 as int)"))
@@ -93,7 +91,56 @@ def mine(labelled: DataFrame, names: DataFrame, least_support: float = LEAST_SUP
     parts = rules.where(F.size("antecedent") > 1).select("antecedent", "confidence", F.explode(part).alias("part"))
     known = rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("part_confidence"))
     beaten = parts.join(known, "part").where(F.col("part_confidence") >= F.col("confidence")).select("antecedent").distinct()
-    kept = rules.join(beaten, "antecedent", "left_anti")
+    return rules.join(beaten, "antecedent", "left_anti")
+
+
+def by_levels(sets: DataFrame, told: DataFrame, least_support: float, least_confidence: float) -> DataFrame:
+    """The rules of ``by_growth`` where addresses are long, a name more in each round.
+
+    Only combinations that can still grow into a rule do: each part is shared by more addresses (else the part says the same)
+    and some allowed address has it (else nothing is more certain), so the many combinations of a sure pair are not made.
+    Counts are over whole token sets.  A set's combinations are rows, by their first names, so they are counted
+    before any shuffle and no task holds all of a set's.
+    """
+    rule = lambda level: level.where((F.col("confidence") >= least_confidence) & (F.col("confidence") > F.col("best"))).select(
+        "antecedent", "confidence", (F.col("b") / F.col("size")).alias("support"))
+    level = told.where("b < n").select(F.array("token").alias("antecedent"), "n", "b", "size", (F.col("b") / F.col("n")).alias("confidence"), F.lit(0.0).alias("best"))
+    held = sets.select("id", "n", "b", F.array().cast("array<string>").alias("head"), F.col("items").alias("lasts"))
+    size, rules = told.agg(F.any_value("size").alias("size")).select("size").scalar(), [rule(level)]
+    while True:
+        known = level.where("confidence < 1").select(F.col("antecedent").alias("part"), F.col("n").alias("part_n"), F.greatest("confidence", "best").alias("part_best"))
+        held = held.where("size(lasts) > 1").select("id", "n", "b", "head", "lasts", F.explode(F.sequence(F.lit(1), F.size("lasts") - 1)).alias("at"))
+        held = held.select("id", "n", "b", F.concat("head", F.slice("lasts", F.col("at"), F.lit(1))).alias("head"),
+                           F.slice("lasts", F.col("at") + 1, F.size("lasts")).alias("lasts"))
+        each = held.select("id", "n", "b", "head", F.explode("lasts").alias("last")).withColumn("antecedent", F.concat("head", F.array("last")))
+        counted = each.groupBy("antecedent").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).where(F.col("b") >= least_support * size)
+        part = F.transform("antecedent", lambda _, k: F.filter("antecedent", lambda x, i: i != k))
+        checked = counted.select("antecedent", "n", "b", F.explode(part).alias("part")).join(known, "part").groupBy("antecedent", "n", "b").agg(
+            F.count(F.lit(1)).alias("parts"), F.min("part_n").alias("least_n"), F.max("part_best").alias("best"))
+        grown = checked.where("parts = size(antecedent) AND n < least_n")
+        level = stored(grown.select("antecedent", "n", "b", size.alias("size"), (F.col("b") / F.col("n")).alias("confidence"), "best"), "grown")
+        rules.append(rule(level))
+        still = level.where("confidence < 1").select("antecedent")
+        if still.isEmpty():
+            return reduce(DataFrame.unionByName, rules)
+        held = stored(each.join(still, "antecedent", "left_semi").groupBy("id", "n", "b", "head").agg(F.array_sort(F.collect_list("last")).alias("lasts")), "held")
+
+
+def mine(labelled: DataFrame, names: DataFrame, least_support: float = LEAST_SUPPORT, least_confidence: float = LEAST_CONFIDENCE,
+         most_tokens: int = MOST_TOKENS) -> DataFrame:
+    """Token combinations that say block: ``antecedent array<string>, confidence, support, index_token``.
+
+    ``labelled`` has ``tokens`` and ``blocked`` (boolean).  Tokens that always come together count as one, by their
+    name (``token_names``).  A rule stays with enough confidence and support and if no part of it is as confident.  Its rarest
+    token is the one it is found by.  FP-growth finds the frequent combinations where no address has more than ``most_tokens``
+    names to combine, for it makes all combinations of an address; longer ones are mined by ``by_levels``.  Both count whole
+    addresses and give the same rules.
+    """
+    sets, told = told_sets(labelled, names, least_support)
+    longest = sets.agg(F.max(F.size("items"))).first()[0]
+    mined = by_growth(sets, least_support, least_confidence) if (longest or 0) <= most_tokens else by_levels(sets, told, least_support, least_confidence)
+    sure = told.where("b = n").select(F.array("token").alias("antecedent"), F.lit(1.0).alias("confidence"), (F.col("b") / F.col("size")).alias("support"))
+    kept = stored(mined.select("antecedent", "confidence", "support").unionByName(sure), "kept")
     single = names.select("token", F.col("n").alias("freq"))
     rarest = kept.select("antecedent", F.explode("antecedent").alias("token")).join(single, "token").groupBy("antecedent").agg(
         F.min_by("token", F.struct("freq", "token")).alias("index_token"))
