@@ -83,3 +83,17 @@ def test_importances_follow_from_nodes(spark, facts):
     known = {r.Feature: r.Importance for r in model.importances(fitted, top=1000).collect()}
     found = {r.Feature: r.Importance for r in tree_tables.gains(tree_tables.tree_nodes(fitted), fitted).collect()}
     assert known.keys() == found.keys() and all(abs(known[k] - found[k]) < 1e-9 for k in known)
+
+
+def test_walks_stay_inside_the_row(spark, facts):
+    """No row is joined, exploded or grouped for a tree or a level, and no saved table holds more than one tree."""
+    rows = model.features(facts, facts.select("ClassKey"))
+    train, test = model.split_by_time(rows)
+    fitted = model.train(train, model.random_forest(trees=3, depth=4))
+    nodes = tree_tables.tree_nodes(fitted)
+    assert nodes.select("Tree", F.input_file_name().alias("f")).groupBy("f").agg(F.count_distinct("Tree").alias("n")).agg(F.max("n")).first()[0] == 1
+    stored = test.localCheckpoint()
+    plan = tree_tables.walked(nodes, fitted, stored, ["LectureID"])._jdf.queryExecution().optimizedPlan().toString()
+    # lines with a colon belong to the subquery
+    own = [line for line in plan.splitlines() if not line.lstrip().startswith(":")]
+    assert not any(word in line for line in own for word in ("Join", "Generate", "Aggregate [")), plan
