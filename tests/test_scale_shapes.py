@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from rollcall.operators import joins, windows
-from rollcall.operators.aggregates import describe
+from rollcall.operators.aggregates import describe, session_metrics
 from rollcall.operators.dedupe import duplicate_rows, keep_one, with_group_size
 from rollcall.plans import course_types, presence, programs
 from tests.conftest import rows
@@ -218,3 +218,27 @@ def test_lectures_are_grouped_once(spark):
     out = course_types.lecture_results(schedule, wifi, bridge).select("LectureID", "SubgroupCodes", "TotalStudents", "UserCount")
     assert "SubgroupCode#" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert rows(out) == [(1, "A, B", 2, 1), (2, "B", 2, 0)]
+
+
+def test_rows_of_metrics_are_built_once(spark):
+    """Sums and percentiles read stored rows, and the counted values are read back, not counted again."""
+    made = [("a" if i % 3 else None, f"s{i}", 10, i % 7, (i % 7) / 10) for i in range(60)]
+    df = spark.createDataFrame(made, "k string, SessionID string, ExpectedStudents long, PresentStudents long, AttendanceRate double")
+    out = session_metrics(df.withColumn("SessionID", F.concat(F.lit("built-"), "SessionID")), ["k"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "built-" not in plan and plan.count("Join") == 2
+    got = {r.k: (r.SessionCount, r.MedianAttendanceRate, r.Percentile90) for r in out.collect()}
+    for k in ("a", None):
+        rates = pd.Series([x[4] for x in made if x[0] == k])
+        assert got[k] == (len(rates), pytest.approx(rates.quantile(0.5)), pytest.approx(rates.quantile(0.9)))
+
+
+def test_sets_meet_no_cohorts(spark):
+    """Users of a set come from its own subgroups: sums leave the join, no (set, cohort) is made distinct."""
+    sets = spark.createDataFrame([(1, [1, 2]), (2, [3])], "id int, _set array<bigint>")
+    bridge = spark.createDataFrame([(u, (u + d) % 4) for u in range(20) for d in (0, 1)], "UserKey bigint, SubgroupKey bigint")
+    out = presence.summed_over_sets(sets, ["id"], presence.expected_counts(bridge), [], "n")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and plan.count("Join") == 1
+    want = {i: len({u for u in range(20) if {u % 4, (u + 1) % 4} & set(s)}) for i, s in ((1, [1, 2]), (2, [3]))}
+    assert {r.id: r.n for r in out.collect()} == want
