@@ -242,3 +242,10 @@ def test_sets_meet_no_cohorts(spark):
     assert plan.count("Aggregate [") == 1 and plan.count("Join") == 1
     want = {i: len({u for u in range(20) if {u % 4, (u + 1) % 4} & set(s)}) for i, s in ((1, [1, 2]), (2, [3]))}
     assert {r.id: r.n for r in out.collect()} == want
+
+
+def test_unread_columns_are_not_shuffled_by_the_check(spark):
+    df = spark.createDataFrame([(1, "a", "long text"), (2, "b", "long text")], "k int, x string, unread string")
+    out = joins.unique_on(df, ["k"], "rows").select("k", "x")
+    assert "unread" not in out._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
+    assert rows(out) == [(1, "a"), (2, "b")]
