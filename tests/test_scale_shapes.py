@@ -249,3 +249,14 @@ def test_unread_columns_are_not_shuffled_by_the_check(spark):
     out = joins.unique_on(df, ["k"], "rows").select("k", "x")
     assert "unread" not in out._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
     assert rows(out) == [(1, "a"), (2, "b")]
+
+
+def test_sessions_are_dealt_out_for_subgroups(spark):
+    """What meets the users is a row for each subgroup of a session, whatever the number of cohorts."""
+    sessions = spark.createDataFrame([("s", 36000, 43200, [1, 2])], "SessionID string, SessionStartSecond int, SessionEndSecond int, _set array<bigint>")
+    sessions = sessions.withColumn("FullDate", F.to_date(F.lit("2024-01-01")))
+    bridge = spark.createDataFrame([(u, s) for u in range(9) for s in (1, 10 + u)] + [(0, 2)], "UserKey long, SubgroupKey long")
+    wifi = spark.createDataFrame([(20240101, 110000, u) for u in range(9)], "DateKey int, TimeKey int, UserKey long")
+    out = course_types.present_users(sessions, wifi, bridge)
+    assert sorted(r.UserKey for r in out.collect()) == list(range(9))
+    assert "Cohort" not in out._jdf.queryExecution().optimizedPlan().toString()
